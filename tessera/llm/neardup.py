@@ -10,9 +10,13 @@ so sketches merge by maximum and equal registers are about as likely as the Jacc
 3. In each bucket every member meets the bucket's smallest id (a star, not all pairs). The joint likelihood of the
    registers and the known set sizes estimates the similarity; pairs more than SIGMAS deviations below the threshold go.
 4. Each member's likeliest partner is verified on full sets; the links give components.
-5. What is left are pairs that share a bucket and are in different components. All of them are estimated and, if likely,
-   verified; pairs inside a component cannot change the result. So a bucket of n alike texts costs n checks, and no bucket
-   is capped.
+5. What is left are pairs that share a bucket and are in different components; pairs inside a component cannot change the
+   result. Their members' shingles are put in one order, rare ones first. Texts at the threshold must share a shingle among
+   the first n - ceil(t n) + 1 of either, early enough for the rest to reach the overlap (prefix and position filters, both
+   exact). A text that only resembles others below the threshold has rare shingles of its own in front and meets nobody.
+   In each such shingle's list every member meets the one with the fewest rare shingles before it; then what is still in
+   different components and passes both filters is verified pair by pair. So n alike texts cost in the order of n checks,
+   whether above or below the threshold, and no bucket is capped.
 
 Scale: texts move once for the members of candidate pairs, sketches are 256 bytes a document, buckets 24 bytes a band.
 Hot classes and buckets are aggregated map-side before they are dealt out; joins to their one row are split by AQE.
@@ -28,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import Saved, by_ids
@@ -202,6 +206,63 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int, mad
     return links.df
 
 
+def _reach(n: str, place: str, m: str, other: str, num: int, den: int) -> str:
+    """The sizes and what follows a shared shingle allow the overlap that the threshold asks for."""
+    return f"{den} * least({n}, {m}) >= {num} * greatest({n}, {m}) AND {num + den} * (1 + least({n} - {place}, {m} - {other})) >= {num} * ({n} + {m})"
+
+
+def _shingler(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                sets = [shingle_set(t.as_py(), k) for t in part.column("text")]
+                n = np.array([len(x) for x in sets], np.int64)
+                reps = np.repeat(part.column("doc_id").to_numpy(), n)
+                yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(np.repeat(n, n)), pa.array(np.concatenate(sets).view(np.int64))], ["rep", "n", "token"])
+
+    return run
+
+
+def _prefixes(ids: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(rep, n, token, place): the shingles in the prefix of each set that another set has too; place counts from 1, rare ones first."""
+    texts = by_ids(docs, ids.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    tokens = Saved(texts.mapInArrow(_shingler(k), "rep bigint, n bigint, token bigint"), "tokens")
+    met = tokens.df.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = tokens.df.join(met, "token")
+    by_rep = Window.partitionBy("rep")
+    placed = shared.withColumn("place", F.col("n") - F.count(F.lit(1)).over(by_rep) + F.row_number().over(by_rep.orderBy("df", "token")))
+    return placed.where(f"place <= n - ceil({num} * n / {den}) + 1").select("rep", "n", "token", "place")
+
+
+def _placed(rows: DataFrame, labels: Saved) -> DataFrame:
+    """``rows`` with the component of rep; itself where it has no link."""
+    return rows.join(labels.df.select(F.col("v").alias("rep"), F.col("comp").alias("__comp")), "rep", "left").withColumn("comp", F.coalesce("__comp", "rep")).drop("__comp")
+
+
+def _several(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose key holds several components, with the largest of these as ``big``."""
+    sizes = rows.groupBy(key, "comp").agg(F.count(F.lit(1)).alias("size"))
+    split = sizes.groupBy(key).agg(F.max_by("comp", F.struct("size", "comp")).alias("big"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return rows.join(split.select(key, "big"), key)
+
+
+def _across(pairs: DataFrame, labels: Saved) -> DataFrame:
+    """The pairs (a, b) whose ends are in different components."""
+    a = labels.df.select(F.col("v").alias("a"), F.col("comp").alias("ca"))
+    b = labels.df.select(F.col("v").alias("b"), F.col("comp").alias("cb"))
+    return pairs.join(a, "a", "left").join(b, "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
+
+
+def _open_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs across components that pass both filters: all but a token's largest component against all others."""
+    x = rows.where("comp <> big").select("token", F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("place").alias("px"), "big")
+    y = rows.select("token", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("place").alias("py"))
+    # a pair of two small components comes up from both sides; one is enough
+    met = x.join(y, "token").where(f"cx <> cy AND (cy = big OR cx < cy) AND {_reach('nx', 'px', 'ny', 'py', num, den)}")
+    return met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; links are pairs with den * intersection >= num * union."""
     docs = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -221,24 +282,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     first = Saved(likely.groupBy("a").agg(F.max_by("b", F.struct("est", "b")).alias("b")), "first")
     links = _verified(first.df, docs, k, num, den, made)
     labels = components(links)
-    # what shares a bucket across components: all but the largest component against all others
-    known = labels.df.select(F.col("v").alias("rep"), "comp")
-    placed = Saved(members.df.join(known, "rep", "left").select("bucket", "rep", "n", F.coalesce("comp", "rep").alias("comp")), "placed")
-    sizes = placed.df.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
-    split = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("size", "comp")).alias("big"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    mixed = Saved(placed.df.join(split.select("bucket", "big"), "bucket"), "mixed")
-    x = mixed.df.where("comp <> big").select("bucket", F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), "big")
-    y = mixed.df.select("bucket", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"))
-    # a pair of two small components comes up from both sides; one is enough
-    open_ = x.join(y, "bucket").where(f"cx <> cy AND (cy = big OR cx < cy) AND {den} * least(nx, ny) >= {num} * greatest(nx, ny)")
-    open_ = open_.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-    tested = first.df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    second = Saved(_with_sketches(open_.join(tested, ["a", "b"], "left_anti"), classes.df, num, den, least), "second")
-    if second.df.limit(1).count():
-        more = _verified(second.df, docs, k, num, den, made)
-        labels.drop()
-        labels = components(links.union(more))
-    for s in (hubs, members, first, placed, mixed, second, *made):
+    # the members of buckets that hold several components
+    placed = _placed(members.df.select("bucket", "rep"), labels)
+    mixed = Saved(_several(placed, "bucket").select("rep").distinct(), "mixed")
+    rest = Saved(_prefixes(mixed.df, docs, k, num, den), "prefixes")
+    hub = rest.df.groupBy("token").agg(F.min_by(F.struct("rep", "n", "place"), F.struct("place", "rep")).alias("h"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    near = _placed(rest.df, labels).join(hub.select("token", "h.*").toDF("token", "h", "nh", "ph"), "token").where(f"rep <> h AND {_reach('n', 'place', 'nh', 'ph', num, den)}")
+    shared = near.groupBy(F.col("rep").alias("a"), F.col("h").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    best = shared.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
+    second = Saved(_across(best, labels), "second")
+    for part in (second, None):
+        if part is None:
+            several = Saved(_several(_placed(rest.df, labels), "token"), "several")
+            part = third = Saved(_open_pairs(several.df, num, den), "third")
+        if part.df.limit(1).count():
+            links = links.union(_verified(part.df, docs, k, num, den, made))
+            labels.drop()
+            labels = components(links)
+    for s in (hubs, members, first, mixed, rest, second, several, third, *made):
         s.drop()
     component = classes.df.select("key", "rep").join(labels.df.select(F.col("v").alias("rep"), "comp"), "rep").select("key", "comp")
     # classes without links need no row: their component is the representative

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +59,15 @@ def by_ids(df: DataFrame, ids: DataFrame, key: str, how: str, limit: int = BROAD
     return df.join(F.broadcast(ids) if n <= limit else ids, key, how)
 
 
+def batches_of(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Slices of ``rows`` rows; memory that Arrow has freed goes back after each batch, so that workers stay small."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+        del b
+        pa.default_memory_pool().release_unused()
+
+
 def split_of(doc_id: Column, parts: int) -> Column:
     """crc32 of the id's decimal text, modulo ``parts``; null ids are in part -1."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts, F.lit(-1))

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import batches_of
+
 Q = 8
 ERROR = 0.08
 MAX_INDEX = 4_000_000
@@ -207,7 +209,7 @@ _OUT = "doc_id bigint, item_id bigint, start bigint, end bigint, edits bigint"
 def _searcher(index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = index.value
-        for b in batches:
+        for b in batches_of(batches):
             rows = [(d, *h) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True) if t.is_valid for h in ix.hits(t.as_py())]
             cols = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "item_id", "start", "end", "edits"])
@@ -247,7 +249,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, limit: int = MAX_IN
     def keeper(index):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ix = index.value
-            for b in batches:
+            for b in batches_of(batches):
                 yield b.filter(pa.array([not (t.is_valid and ix.hits(t.as_py())) for t in b.column("text")], pa.bool_()))
 
         return run

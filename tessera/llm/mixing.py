@@ -5,8 +5,8 @@ document's number of copies is a Poisson variable with that mean: the inverse of
 that a hash of seed and id gives. So a document's copies depend on its id and its source's rate only, in any order and on any
 cluster. Copies are put in a global random order by range-partitioning on a hash of seed, id and copy.
 
-Scale: one pass counts rows per source (combined map-side); the rates are one row a source and the join is broadcast only if
-Spark finds them small; the copies are shuffled once, by ranges of a hash, so a hot source is spread evenly.
+Scale: one pass counts rows per source (combined map-side); the rates are one row a source and are broadcast only
+after their size has been summed; the copies are shuffled once, by ranges of a hash, so a hot source is spread evenly.
 
 Defined cases: a null source is a source of its own; a null id hashes as the text 'null'; repeated rows are replicated alike;
 a source without a weight gets none of the mix; an empty table gives an empty mix; other columns come along.
@@ -17,8 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import Saved
+
 #: The largest mean repetition rate; beyond it a source is too small for its weight, and the mix is refused.
 MAX_RATE = 10_000.0
+#: Numbers in all the rates' distribution functions that may be broadcast: 8 MB.
+MAX_NUMBERS = 1_000_000
 _NONE = "\x00null"
 
 
@@ -42,9 +46,8 @@ transform(
 
 def rates(docs: DataFrame, weights: dict[str, float] | None = None, rows: int | None = None, group: str = "source") -> DataFrame:
     """(source, rate, cdf): the mean copies a document of each source needs. ``weights`` None: all sources alike; ``rows`` None: as many as there are."""
-    counts = docs.groupBy(F.coalesce(F.col(group).cast("string"), F.lit(_NONE)).alias("__source")).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("sources"))
-    row = total.first()
+    counts = Saved(docs.groupBy(F.coalesce(F.col(group).cast("string"), F.lit(_NONE)).alias("__source")).agg(F.count(F.lit(1)).alias("n")), "sources").df
+    row = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("sources")).first()
     want, sources = float(rows if rows is not None else row.total or 0), max(1, row.sources)
     if weights is None:
         weight = F.lit(1.0 / sources)
@@ -63,7 +66,10 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, rows: int |
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, rows: int | None = None, seed: int = 42, group: str = "source", ordered: bool = True) -> DataFrame:
     """Every row of ``docs`` as often as its Poisson count says, with ``copy`` (from 1) and ``shuffle_key``, in the order of the key."""
     source = F.coalesce(F.col(group).cast("string"), F.lit(_NONE))
-    joined = docs.withColumn("__source", source).join(rates(docs, weights, rows, group).select("__source", F.col("cdf").alias("__cdf")), "__source")
+    rate = Saved(rates(docs, weights, rows, group).select("__source", F.col("cdf").alias("__cdf")), "rates").df
+    size = rate.agg(F.sum(F.lit(4) + F.coalesce(F.size("__cdf"), F.lit(0)))).first()[0] or 0
+    # beyond that the join shuffles, and AQE splits hot sources
+    joined = docs.withColumn("__source", source).join(F.broadcast(rate) if size <= MAX_NUMBERS else rate, "__source")
     count = F.when(F.col("__cdf").isNull(), F.lit(0)).otherwise(F.expr("size(filter(__cdf, c -> c <= __u))"))
     counted = joined.withColumn("__u", uniform(seed, F.col("doc_id"))).withColumn("__n", count).drop("__cdf", "__u", "__source").where("__n > 0")
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n")

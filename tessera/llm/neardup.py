@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Saved, by_ids
+from tessera.llm.common import Saved, batches_of, by_ids
 
 REGISTERS, ROWS = 128, 4
 B, A, Q = 1.001, 20.0, 2**16 - 2
@@ -130,7 +130,7 @@ def likely_similarity(ka: np.ndarray, kb: np.ndarray, na: np.ndarray, nb: np.nda
 
 def _sketcher(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batches_of(batches):
             n, keys, regs = [], [], []
             for t in batch.column("text"):
                 s = shingle_set(t.as_py(), k)
@@ -143,7 +143,7 @@ def _sketcher(k: int):
 
 
 def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in batches_of(batches):
         if not b.num_rows:
             continue
         ka, kb = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("ra", "rb"))
@@ -154,7 +154,7 @@ def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verifier(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple = (None, None)
-        for batch in batches:
+        for batch in batches_of(batches):
             keep = []
             for a, b in zip(batch.column("ta"), batch.column("tb"), strict=True):
                 x, y = shingle_set(a.as_py(), k), b.as_py()
@@ -213,7 +213,7 @@ def _reach(n: str, place: str, m: str, other: str, num: int, den: int) -> str:
 
 def _shingler(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batches_of(batches):
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
                 sets = [shingle_set(t.as_py(), k) for t in part.column("text")]

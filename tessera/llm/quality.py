@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import labelled, split_of
+from tessera.llm.common import batches_of, labelled, split_of
 
 BITS = 18
 DIMS = 1 << BITS
@@ -152,7 +152,7 @@ def score(model: dict, slots: np.ndarray) -> float:
 
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     f = Features()
-    for b in batches:
+    for b in batches_of(batches):
         slots = pa.array([f(t or "") for t in b.column("text").to_pylist()], pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays([b.column("y"), slots], ["y", "slots"])
 
@@ -171,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int
 def _scorer(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f, m = Features(), model.value
-        for b in batches:
+        for b in batches_of(batches):
             out = pa.array([score(m, f(t.as_py() or "")) for t in b.column("text")], pa.float64())
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns) if b.schema.names[i] != "text"), out], [n for n in b.schema.names if n != "text"] + ["score"])
 
@@ -193,7 +193,7 @@ def keep_good(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f, m = Features(), shipped.value
-        for b in batches:
+        for b in batches_of(batches):
             keep = pa.array([score(m, f(t.as_py() or "")) >= 0.5 for t in b.column("text")], pa.bool_())
             yield b.filter(keep)
 

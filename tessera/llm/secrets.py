@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BROADCAST_IDS, exists, remove, shared_dir
+from tessera.llm.common import BROADCAST_IDS, batches_of, exists, remove, shared_dir
 
 #: The kinds in the order in which spans of one start are listed: the base kinds first, then those the rule set adds.
 KINDS = ("assign", "access", "hex", "pem", "github", "slack", "jwt")
@@ -63,7 +63,7 @@ _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
 def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in batches_of(batches):
         rows: dict[str, list] = {n: [] for n in FINDINGS.names}
         for blob, text in zip(batch.column("blob").to_pylist(), batch.column("text"), strict=True):
             spans = find_spans(text.as_py())

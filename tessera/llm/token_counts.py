@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import batches_of
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern of the vocabulary (fixed value).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -133,7 +135,7 @@ class TokenTree:
 def _counter(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode_ordinary
-        for b in batches:
+        for b in batches_of(batches):
             rows: tuple[list, ...] = ([], [], [], [], [])
             for text, edits in zip(b.column("text"), b.column("edits"), strict=True):
                 tree = TokenTree(text.as_py() or "", encode)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import labelled, split_of
+from tessera.llm.common import batches_of, labelled, split_of
 
 ORDER = 5
 CALM = 5.0
@@ -160,7 +160,7 @@ def _counted(table):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shown = [[], []]
-        for b in batches:
+        for b in batches_of(batches):
             for y, t in zip(b.column("y").to_pylist(), b.column("text"), strict=True):
                 s = symbols(t.as_py() or "", table.value)
                 if len(s):
@@ -176,7 +176,7 @@ def _counted(table):
 def _scored(model, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        for b in batches:
+        for b in batches_of(batches):
             x = np.array([evidence(t.as_py() or "", m) for t in b.column("text")]).reshape(-1, len(TOP) + 2)
             yield pa.RecordBatch.from_arrays([b.column(names[0]), *(pa.array(x[:, i]) for i in range(x.shape[1]))], [names[0], *(f"e{i}" for i in range(x.shape[1]))])
 
@@ -243,7 +243,7 @@ def score_documents(docs: DataFrame, model: dict, parts: int = 5, held: int = 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
-        for b in batches:
+        for b in batches_of(batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([probability(t.as_py() or "", m) for t in b.column("text")], pa.float64())], ["doc_id", "score"])
 
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.col("text"))

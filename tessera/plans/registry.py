@@ -1,4 +1,314 @@
-"""The registered queries of the engine's own operators."""
+"""The registered queries of the engine's own operators, over whole tables, and the same as SQL where SQL can express it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.functions import labels as L
+from tessera.functions import numbers as N
+from tessera.functions import text as X
+from tessera.functions import urls as U
+from tessera.operators import cluster as C
+from tessera.operators import feeds, matching, stories, validation
+from tessera.plans import adapters as A
+from tessera.sources import sinks
+from tessera.storage import Stored
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+_STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(set(X.STOPWORDS))) + "]"
+
+
+def _tokens(c: str) -> str:
+    plain = f"regexp_replace(regexp_replace(lower({c}), '[‘’“”]', '''', 'g'), '[^a-z0-9$%.'' -]', ' ', 'g')"
+    words = f"list_transform(string_split_regex({plain}, '[\\s''-]+'), lambda t: regexp_replace(t, '^[.$%]+|[.$%]+$', '', 'g'))"
+    return f"list_filter({words}, lambda t: (length(t) >= 3 OR regexp_matches(t, '^[0-9]+$')) AND NOT list_contains({_STOP}, t))"
+
+
+_TITLE = "trim(regexp_replace({c}, '[\\s]+[-–—|·][\\s]+[^-–—|·]{{2,40}}$', ''), ' ' || chr(9) || chr(10) || chr(13))"
+_BOIL = X.BOILERPLATE.replace("\\z", "$").replace("'", "''")
+_DIGEST = f"(regexp_matches({_TITLE.format(c='title')}, '{X.DIGEST_TITLE}'))"
+_VECS = f"""{A.ITEMS_SQL},
+inc AS (SELECT * FROM it WHERE NOT regexp_matches({_TITLE.format(c='title')}, '{_BOIL}') AND NOT {_DIGEST}),
+tok AS (SELECT ord, unnest({_tokens(_TITLE.format(c='title'))}) AS term, 3 AS k FROM inc UNION ALL SELECT ord, unnest({_tokens('excerpt')}) AS term, 1 AS k FROM inc),
+tf AS (SELECT ord, term, sum(k) AS tf FROM tok GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+raw AS (SELECT ord, term, tf, df, (1 + ln(tf)) * (ln(((SELECT count(*) FROM inc) + 1) / (df + 1)) + 1) AS raw FROM tf JOIN df USING (term)),
+vec AS (SELECT ord, term, tf, df, raw / sqrt(sum(raw * raw) OVER (PARTITION BY ord)) AS w FROM raw)"""
+
+
+@query(f"WITH {A.ITEMS_SQL} SELECT ord, title, excerpt FROM it")
+def excerpts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.items(spark, sf_dir).select("ord", "title", "excerpt")
+
+
+@query(f"WITH {_VECS} SELECT ord, count(*) AS terms, sum(tf)::BIGINT AS tf, round(sum(w), 5) AS total FROM vec GROUP BY ord")
+def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vecs = C.vectors(C.exclude(A.items(spark, sf_dir))[0])
+    return vecs.groupBy("ord").agg(F.count(F.lit(1)).alias("terms"), F.sum("tf").alias("tf"), F.round(F.sum("w"), 5).alias("total"))
+
+
+@query(f"""WITH {_VECS},
+b AS (SELECT vec.ord, term, outlet_id, ord_ AS t FROM vec JOIN (SELECT ord AS ord_, outlet_id FROM inc) ON ord = ord_ WHERE df BETWEEN 2 AND 120),
+p AS (SELECT DISTINCT x.ord AS i, y.ord AS j FROM b x JOIN b y ON x.term = y.term AND x.ord < y.ord AND x.outlet_id IS DISTINCT FROM y.outlet_id AND y.t - x.t <= 72 * 60),
+s AS (SELECT i, j, sum(a.w * c.w) AS sim FROM p JOIN vec a ON a.ord = i JOIN vec c ON c.ord = j AND a.term = c.term GROUP BY i, j)
+SELECT i, j, round(sim, 5) AS sim FROM s WHERE sim >= 0.36""")
+def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = C.exclude(A.items(spark, sf_dir))[0]
+    vecs = Stored(C.vectors(items), "vectors").df
+    return C.similar_pairs(items, vecs).select("i", "j", F.round("sim", 5).alias("sim"))
+
+
+@query()
+def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All clusters: components of similar pairs, pruned for cohesion."""
+    c = C.cluster_items(A.items(spark, sf_dir))
+    return c.select("cluster_id", "outlet_count", F.size("items").alias("n_items"), F.transform("items", lambda i: i["ord"]).alias("ords"), "countries", "leans", "similarity").orderBy(F.desc("outlet_count"), F.desc("n_items"), "cluster_id")
+
+
+@query()
+def stories_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stories that at least two independent sources report, with regions."""
+    c = stories.with_regions(C.cluster_items(A.items(spark, sf_dir)).where("outlet_count >= 2"))
+    return c.select("cluster_id", "outlet_count", F.size("items").alias("n_items"), F.col("region.regions").alias("regions"), "similarity", "countries")
+
+
+QUERIES["stories"] = QUERIES.pop("stories_found")
+
+
+@query()
+def quota_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = Stored(stories.with_regions(C.cluster_items(A.items(spark, sf_dir))), "regions").df
+    picked, _ = stories.select_by_region(c, {"Canada": 3, "India": 3, "Europe": 3, "Global": 3}, 12)
+    return picked.select("slot", "cluster_id", "quota_region", F.round("rank_score", 4).alias("rank_score"))
+
+
+@query()
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of all stories of two outlets or more: sources, framing, conflicts, verification."""
+    c = Stored(stories.with_regions(C.cluster_items(A.items(spark, sf_dir)).where("outlet_count >= 2")), "stories").df
+    documents = spark.createDataFrame([], "cluster_id bigint, title string, url string, published date, publisher string, doc_type string, ref string")
+    c = stories.verify(c, documents, "2024-02-01")
+    flat = c.select("cluster_id", F.inline("items"))
+    outlets = A.roster(spark, sf_dir).withColumn("mbfc", F.lit(None).cast("struct<bias:string,url:string>"))
+    articles = spark.createDataFrame([], "url string, ok boolean, quotes array<string>, figures array<struct<value:string,context:string>>")
+    return stories.candidates(c, outlets, articles, stories.conflicts(flat)).drop("verification", "framing")
+
+
+@query(f"""WITH {A.ITEMS_SQL}, s AS (SELECT *, CASE lean WHEN 'left' THEN 'left' WHEN 'lean_left' THEN 'left' WHEN 'centre' THEN 'centre' WHEN 'lean_right' THEN 'right' WHEN 'right' THEN 'right' END AS side FROM items),
+g AS (SELECT regexp_extract(title, '^.', 0) AS g, count(side) AS on_axis, count(DISTINCT side) AS sides, count(*) AS n FROM s GROUP BY 1)
+SELECT g, on_axis >= 2 AND sides >= 2 AS applies, on_axis, (n - on_axis) AS off_axis,
+  CASE WHEN on_axis >= 2 AND sides >= 2 THEN NULL WHEN on_axis < 2 THEN 'only ' || on_axis || ' of ' || n || ' items come from outlets placed on the left-right axis' ELSE 'one side' END AS reason FROM g""")
+def framing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Framing of items grouped by the first letter of their titles."""
+    i = A.items(spark, sf_dir).withColumn("g", F.regexp_extract("title", "^.", 0))
+    g = i.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("ord", "outlet", "outlet_id", "lean", "country", "title", "url"))).alias("items")).withColumn("f", stories.frame(F.col("items")))
+    on = F.aggregate("f.views", F.lit(0).cast("bigint"), lambda a, v: a + F.size(v["outlets"]))
+    reason = F.when(F.col("f.axis.reason").startswith("coverage sits"), "one side").otherwise(F.col("f.axis.reason"))
+    return g.select("g", F.col("f.axis.applies").alias("applies"), on.alias("on_axis"), F.size("f.off_axis").cast("bigint").alias("off_axis"), reason.alias("reason"))
+
+
+def _terms(terms: list[str], c: str) -> str:
+    return " + ".join(f"(regexp_matches({c}, '(^|[^a-z]){t}([^a-z]|$)', 'i'))::INT" for t in terms)
+
+
+@query("WITH " + A.ITEMS_SQL + ", t AS (SELECT ord, title || ' ' || excerpt AS t, country FROM it) SELECT ord, " + ", ".join(
+    f"(3 * ({_terms(stories.STRONG[r], 't')}) + {_terms(stories.WEAK[r], 't')} + (country IN ({', '.join(repr(x) for x in stories.PUBLISHERS[r])}))::INT)::INT AS {r.lower()}" for r in stories.STRONG) + " FROM t")
+def region_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = stories.regions(F.concat_ws(" ", "title", "excerpt"), F.array("country"))
+    return A.items(spark, sf_dir).withColumn("r", r).select("ord", *(F.col("r.scores")[x].alias(x.lower()) for x in stories.STRONG))
+
+
+@query(f"""WITH {A.ITEMS_SQL}, q AS (SELECT ord, unnest(regexp_extract_all(regexp_replace(coalesce(title || '. ' || excerpt, ''), '\\s+', ' ', 'g'), '(?i)([$€£₹]|\\bUS\\$|\\bC\\$)?\\s?(\\d[\\d,]*(?:\\.\\d+)?)\\s*(percent|per cent|%|thousand|million|billion|trillion|bn|tn|k|m|b)?')) AS m FROM it),
+p AS (SELECT ord, regexp_extract(m, '[$€£₹]|US\\$|C\\$') AS c, replace(regexp_extract(m, '\\d[\\d,]*(?:\\.\\d+)?'), ',', '')::DOUBLE AS v, lower(regexp_extract(m, '(?i)(percent|per cent|%|thousand|million|billion|trillion|bn|tn|k|m|b)$')) AS u FROM q)
+SELECT ord, count(*) AS n, round(sum(least(1e6, v * CASE WHEN u IN ('thousand', 'k') THEN 1e3 WHEN u IN ('million', 'm') THEN 1e6 WHEN u IN ('billion', 'bn', 'b') THEN 1e9 WHEN u IN ('trillion', 'tn') THEN 1e12 ELSE 1 END)), 3) AS total FROM p WHERE NOT (c = '' AND u = '' AND v < 1000) GROUP BY ord""")
+def quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = A.items(spark, sf_dir).select("ord", F.explode(N.quantities(F.concat("title", F.lit(". "), "excerpt"))).alias("q"))
+    return q.groupBy("ord").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.least(F.lit(1e6), "q.value")), 3).alias("total"))
+
+
+@query()
+def numeric_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Disagreeing numbers among items whose titles begin alike."""
+    i = A.items(spark, sf_dir).withColumn("cluster_id", F.xxhash64(F.regexp_extract("title", r"^\S+", 0)))
+    return stories.conflicts(i).withColumn("readings", F.to_json("readings"))
+
+
+@query(f"""WITH {A.ITEMS_SQL}, r AS (SELECT outlet, ord, unnest(regexp_extract_all(title, '\\b([A-Z][\\w.''-]+(?:\\s+[A-Z][\\w.''-]+){{0,3}})\\b', 1)) AS term, generate_subscripts(regexp_extract_all(title, '\\b([A-Z][\\w.''-]+(?:\\s+[A-Z][\\w.''-]+){{0,3}})\\b', 1), 1) AS pos FROM items),
+c AS (SELECT outlet, term, count(*) AS n, min(ord * 1000000 + pos) AS first FROM r WHERE length(term) >= 4 GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY outlet ORDER BY n DESC, length(term) DESC, first) AS rn FROM c)
+SELECT outlet AS cluster_id, list(term ORDER BY rn) AS terms FROM k WHERE rn <= 6 GROUP BY outlet""")
+def key_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stories.key_terms(A.items(spark, sf_dir).withColumnRenamed("outlet", "cluster_id"))
+
+
+@query(f"""WITH {A.ITEMS_SQL}, b AS (SELECT outlet, list_aggregate(list_sort(list('https://' || outlet || '.example.com/' || ord)), 'string_agg', '|') AS s FROM items GROUP BY outlet),
+h AS (SELECT outlet, list_reduce(list_prepend(2166136261::UBIGINT, list_transform(string_split(s, ''), lambda x: ascii(x)::UBIGINT)), lambda h, x: (xor(h, x) * 16777619::UBIGINT) % 4294967296::UBIGINT) AS h FROM b)
+SELECT outlet, h::BIGINT AS hash FROM h""")
+def story_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The FNV-1a hash under a story's id, over the urls of each outlet's items."""
+    g = A.items(spark, sf_dir).groupBy("outlet").agg(stories.candidate_id(F.collect_list("url")).alias("id"))
+    return g.select("outlet", F.conv(F.substring("id", 2, 20), 36, 10).cast("bigint").alias("hash"))
+
+
+@query(f"WITH {A.ITEMS_SQL} SELECT ord, regexp_matches({_TITLE.format(c='title')}, '{_BOIL}') AS boilerplate, {_DIGEST} AS digest FROM items")
+def excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.items(spark, sf_dir).select("ord", X.is_boilerplate(F.col("title")).alias("boilerplate"), X.is_digest(F.col("title"), F.col("url")).alias("digest"))
+
+
+_CANON = """regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1) || '://' || lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) || regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/$', '')
+ || CASE WHEN len(kept) = 0 THEN '' ELSE '?' || array_to_string(kept, '&') END"""
+_KEPT = "list_filter(string_split(regexp_extract(url, '\\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '(?i)^(utm_|fbclid|gclid|ref|cmpid|smid)')) AS kept"
+
+
+@query(f"SELECT page_id, {_CANON} AS canonical FROM (SELECT page_id, url, {_KEPT} FROM pages)")
+def canonical_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.table(spark, sf_dir, "pages").select("page_id", U.canonical(F.col("url")).alias("canonical"))
+
+
+@query(f"WITH c AS (SELECT page_id, {_CANON} AS k FROM (SELECT page_id, url, {_KEPT} FROM pages)) SELECT min(page_id) AS ord, count(*) AS n FROM c GROUP BY k")
+def deduped_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = A.table(spark, sf_dir, "pages").select(F.col("page_id").alias("ord"), "url", F.when(F.col("page_id") % 3 == 0, "rss").otherwise("gdelt").alias("via"))
+    n = p.groupBy(U.canonical(F.col("url")).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return C.dedupe(p).select("ord", U.canonical(F.col("url")).alias("k")).join(n, "k").select("ord", "n")
+
+
+@query("""SELECT page_id, regexp_extract(lower(regexp_extract(url, '://([^/?#]*)', 1)), '([^.]+\\.[^.]+)$', 1) AS domain, regexp_matches(url, '(?i)^[a-z]+://[^/?#]*[^?#]*/search\\b') OR regexp_matches(url, '(?i)[?&](q|query|s|search|searchterm|keyword|keywords|term|terms|text|kw|phrase)(=|&|#|$)') AS search FROM pages""")
+def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.table(spark, sf_dir, "pages").select("page_id", U.registrable(F.col("url")).alias("domain"), U.is_search_endpoint(F.col("url")).alias("search"))
+
+
+@query()
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes, figures and counts of every page's prose."""
+    d = stories.distil(X.paragraphs(F.col("html")))
+    return A.table(spark, sf_dir, "pages").withColumn("d", d).select("page_id", "d.quotes", "d.quoted_words", "d.word_count", "d.paragraph_count", F.size("d.figures").alias("n_figures"))
+
+
+@query()
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.table(spark, sf_dir, "pages").select("page_id", X.strip_html(F.col("html")).alias("text"), U.declared_feeds(F.col("html"), F.col("url")).alias("feeds"), U.feed_verdict(F.col("html"), F.lit(None).cast("string"))["is_feed"].alias("is_feed"))
+
+
+@query(f"""WITH {A.ROSTER_SQL}, last AS (SELECT domain, arg_max(id, pos) AS id, arg_max(lean, pos) AS lean FROM roster WHERE domain IS NOT NULL GROUP BY domain),
+i AS (SELECT c_custkey AS ord, 's' || (c_custkey % 60) || '.co.uk' AS domain FROM customer)
+SELECT ord, id AS outlet_id, lean, id IS NOT NULL AS matched FROM i LEFT JOIN last USING (domain)""")
+def roster_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = A.ratings(spark, sf_dir).select(F.col("pos").alias("ord"), F.concat(F.lit("http://news."), "source_url", F.lit("/a?b=1")).alias("url"), F.lit(None).cast("string").alias("outlet_id"), F.lit(None).cast("string").alias("lean"))
+    return matching.match_to_roster(i, A.roster(spark, sf_dir)).select("ord", "outlet_id", "lean", "matched")
+
+
+_KEY = "regexp_replace(regexp_replace(regexp_replace(lower(name), '\\(.*?\\)', ' ', 'g'), '\\b(the|news|online|daily|post|times|com)\\b', ' ', 'g'), '[^a-z0-9]+', '', 'g')"
+
+
+@query(f"""WITH {A.ROSTER_SQL}, {A.RATINGS_SQL}, d AS (SELECT domain, arg_min(name, pos) AS dn, arg_min(coalesce(mbfc_url, ''), pos) AS dl FROM ratings GROUP BY domain),
+n AS (SELECT {_KEY} AS k, arg_min(name, pos) AS kn FROM ratings GROUP BY 1)
+SELECT id, CASE WHEN dn IS NOT NULL AND dl <> '' THEN 'applied' WHEN dn IS NOT NULL THEN 'missed' WHEN kn IS NOT NULL THEN 'review' ELSE 'missed' END AS status,
+  CASE WHEN dn IS NOT NULL THEN 'domain' WHEN kn IS NOT NULL THEN 'name' END AS matched_on, coalesce(dn, kn) AS rating_name FROM roster LEFT JOIN d USING (domain) LEFT JOIN n ON {_KEY.replace('name', 'roster.name')} = k""")
+def rating_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.rating_ladder(A.roster(spark, sf_dir), A.ratings(spark, sf_dir))
+
+
+@query(f"""WITH {A.ROSTER_SQL}, {A.RATINGS_SQL} SELECT pos FROM ratings WHERE domain IN (SELECT domain FROM roster WHERE domain IS NOT NULL) OR {_KEY} IN (SELECT {_KEY} FROM roster)""")
+def trimmed_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.trim_ratings(A.ratings(spark, sf_dir), A.roster(spark, sf_dir)).select("pos")
+
+
+@query(f"""WITH {A.ROSTER_SQL}, {A.RATINGS_SQL}, i AS (SELECT mbfc_id, max(pos) AS pi FROM ratings GROUP BY 1), d AS (SELECT domain, max(pos) AS pd FROM ratings GROUP BY 1)
+SELECT id, coalesce(pi, pd) AS rating_pos, CASE WHEN pi IS NOT NULL THEN 'id' WHEN pd IS NOT NULL THEN 'domain' END AS rated_by FROM roster LEFT JOIN i ON i.mbfc_id = roster.id AND roster.pos % 2 = 0 LEFT JOIN d ON d.domain = roster.domain""")
+def rating_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = A.roster(spark, sf_dir).select("id", F.when(F.col("pos") % 2 == 0, F.col("id")).alias("mbfc_id"), F.lit(None).cast("string").alias("domain"), F.lit(None).cast("string").alias("site"), F.regexp_replace("feed", "/rss$", "").alias("feed"))
+    return matching.rating_lookup(o, A.ratings(spark, sf_dir)).select("id", "rating_pos", "rated_by")
+
+
+_RAW = "['left', 'lean left', 'center', 'lean right', 'right', 'mixed']"
+
+
+@query(f"""WITH r AS (SELECT d.source AS outlet_id, ({_RAW})[(d.doc_id % 6)::INT + 1] AS raw, d.doc_id AS pos FROM documents d JOIN labels l USING (doc_id) WHERE l.toxic = 1),
+s AS (SELECT outlet_id, CASE raw WHEN 'left' THEN -2 WHEN 'lean left' THEN -1 WHEN 'center' THEN 0 WHEN 'lean right' THEN 1 WHEN 'right' THEN 2 END AS score FROM r),
+a AS (SELECT outlet_id, count(*) AS n, count(score) AS k, max(score) - min(score) AS spread, avg(score) AS mean, min(score) AS lo FROM s GROUP BY 1),
+o AS (SELECT DISTINCT source AS outlet_id FROM documents)
+SELECT outlet_id, CASE WHEN n IS NULL THEN 'unrated' WHEN k = 0 THEN 'unplaced' WHEN k = 1 THEN 'single_source' WHEN spread <= 1 THEN 'agree' ELSE 'disagree' END AS status, CASE WHEN k > 1 THEN spread END AS spread,
+  CASE WHEN k = 1 THEN lo WHEN k > 1 AND spread <= 1 THEN floor(mean + 0.5)::INT END AS consensus FROM o LEFT JOIN a USING (outlet_id)""")
+def rating_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d, lab = A.table(spark, sf_dir, "documents"), A.table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id")
+    raw = F.get(F.array(*(F.lit(x) for x in ("left", "lean left", "center", "lean right", "right", "mixed"))), (F.col("doc_id") % 6).cast("int"))
+    r = d.join(lab, "doc_id").select(F.col("source").alias("outlet_id"), F.col("doc_id").alias("pos"), F.lit("allsides").alias("provider"), raw.alias("raw"), F.array().cast("array<string>").alias("flags"))
+    o = d.select(F.col("source").alias("outlet_id"), F.lit("centre").alias("roster_lean")).distinct()
+    return matching.consensus(r, o).select("outlet_id", "status", "spread", "consensus")
+
+
+@query(f"WITH {A.ROSTER_SQL} SELECT lean, count(*) AS total, count(*) FILTER (verified) AS ok FROM roster GROUP BY lean")
+def lean_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.lean_balance(A.roster(spark, sf_dir).withColumn("ok", F.col("verified")))
+
+
+@query(f"""WITH {A.ROSTER_SQL}, s AS (SELECT CASE lean WHEN 'left' THEN 'left' WHEN 'lean_left' THEN 'left' WHEN 'centre' THEN 'centre' WHEN 'lean_right' THEN 'right' WHEN 'right' THEN 'right' END AS side, verified FROM roster)
+SELECT t.side AS side, count(*) FILTER (verified) AS ok FROM (VALUES ('left'), ('centre'), ('right')) t(side) LEFT JOIN s ON s.side = t.side GROUP BY 1""")
+def spectrum_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.spectrum_balance(A.roster(spark, sf_dir).withColumn("ok", F.col("verified")))
+
+
+@query(f"""WITH {A.ROSTER_SQL}, r AS (SELECT id AS rid, pos % 2 = 0 AS ok FROM roster WHERE pos % 5 <> 0)
+SELECT id, CASE WHEN rid IS NULL THEN verified ELSE ok END AS verified, CASE WHEN ok THEN 7 END AS feed_items, CASE WHEN rid IS NOT NULL AND NOT ok THEN 'HTTP 404' END AS feed_error FROM roster LEFT JOIN r ON rid = id""")
+def roster_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ro = A.roster(spark, sf_dir)
+    null = F.lit(None).cast("string")
+    res = ro.where("pos % 5 <> 0").select("id", (F.col("pos") % 2 == 0).alias("ok"), F.lit(7).alias("items"), F.lit("HTTP 404").alias("note"), null.alias("redirected"), null.alias("suggested"))
+    return matching.merge_roster(ro, res, "2024-02-01").select("id", "verified", "feed_items", "feed_error")
+
+
+_ROBOTS = "User-agent: *\nDisallow: /en/\nAllow: /en/2*\nDisallow: /*/5$\nUser-agent: other\nDisallow: /\n"
+
+
+@query("""WITH p AS (SELECT DISTINCT regexp_extract(url, '://([^/?#]*)', 1) AS host, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS path FROM pages)
+SELECT host, path, NOT (CASE WHEN regexp_matches(path, '^/en/2.*') THEN false WHEN regexp_matches(path, '^/en/') THEN true WHEN regexp_matches(path, '^/.*/5$') THEN true ELSE false END) AS allowed FROM p""")
+def robots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = A.table(spark, sf_dir, "pages").select(F.regexp_extract("url", "://([^/?#]*)", 1).alias("host"), F.regexp_extract("url", "://[^/?#]*([^?#]*)", 1).alias("path")).distinct()
+    rules = feeds.parse_robots(p.select("host", F.lit(_ROBOTS).alias("text")).distinct(), "tessera")
+    return feeds.robots_allowed(p, rules)
+
+
+@query("""SELECT event_id, ts FROM events WHERE ts >= (TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 72 HOURS)""")
+def fresh_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = A.table(spark, sf_dir, "events").withColumn("published_at", F.col("ts"))
+    return C.fresh(e, "2024-01-20 00:00:00").select("event_id", "ts")
+
+
+@query()
+def card_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule that cards made of the documents break: one card a document, with its own text and no views."""
+    i = A.items(spark, sf_dir)
+    source = F.struct(F.col("outlet").alias("n"), F.col("title").alias("t"), F.col("url").alias("u"), F.col("lean").alias("b"), F.struct(F.lit("roster").alias("provider"), F.lit(None).cast("string").alias("url")).alias("label_source"), F.lit(None).cast("string").alias("kind"))
+    fact = F.struct(F.col("excerpt").alias("t"), F.array(F.lit(0), (F.col("ord") % 3).cast("int")).alias("s"), F.when(F.col("ord") % 2 == 0, "multi").otherwise("single").alias("tier"))
+    views = F.from_json(F.lit("[]"), "array<struct<side:string,label:string,outlet:string,s:array<int>,text:string,status:string>>")
+    cards = i.select(F.col("ord").alias("card"), F.array(source).alias("sources"), F.col("title").alias("headline"), F.col("excerpt").alias("context"), F.lit("x").alias("coverage"), F.array(F.lit("Global")).alias("regions"), F.array(fact).alias("facts"), F.from_json(F.lit("[]"), "array<struct<t:string>>").alias("disputed"), views.alias("views"), F.struct(F.lit(True).alias("applies"), F.lit("left-right").alias("name")).alias("axis"), F.array().cast("array<string>").alias("gaps"), F.lit(None).cast("string").alias("_prose"))
+    return validation.problems(cards)
+
+
+@query()
+def exit_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What would stop a run: sides or leans without a verified outlet."""
+    checks = A.roster(spark, sf_dir).withColumn("ok", F.col("verified"))
+    sides = matching.spectrum_balance(checks).where("ok = 0")
+    leans = matching.lean_balance(checks).where("ok = 0")
+    none = spark.range(0).select(F.lit("error").alias("level"))
+    return sinks.gate(sides, sides, leans, validation.summarise(none))
+
+
+@query("SELECT doc_id, CASE WHEN quality IS NULL THEN NULL ELSE greatest(-3, least(3, floor(((quality * 30 - toxic * 21 - 7)::DOUBLE) / 14 + 0.5)))::INT END AS scale FROM labels")
+def rating_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.table(spark, sf_dir, "labels").select("doc_id", L.ad_fontes_scale((F.col("quality") * 30 - F.col("toxic") * 21 - 7).cast("double")).alias("scale"))

@@ -97,8 +97,8 @@ def tokenise(c: Column) -> Column:
     """Lower-case terms of three characters or more, or digits, without stopwords; repeats stay."""
     plain = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[‘’“”]", "'"), "[^a-z0-9$%.' -]", " ")
     words = F.transform(F.split(plain, r"[\s'-]+"), lambda t: F.regexp_replace(t, r"^[.$%]+|[.$%]+\z", ""))
-    stop = F.array(*(F.lit(w) for w in sorted(set(STOPWORDS))))
-    return F.filter(words, lambda t: ((F.length(t) >= 3) | t.rlike(r"^\d+\z")) & ~F.array_contains(stop, t))
+    # isin with many literals is a hash lookup
+    return F.filter(words, lambda t: ((F.length(t) >= 3) | t.rlike(r"^\d+\z")) & ~t.isin(sorted(set(STOPWORDS))))
 
 
 def is_boilerplate(title: Column) -> Column:

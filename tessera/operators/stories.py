@@ -43,20 +43,21 @@ def _on(side: str):
     return lambda e: e["side"] == side
 
 
-def _found(text: Column, terms: list[str]) -> Column:
-    hits = [F.when(text.rlike(r"(?i)(?<![a-z])" + t.replace("-", r"\-") + "(?![a-z])"), F.lit(t)) for t in terms]
+def _found(text: Column, low: Column, terms: list[str]) -> Column:
+    # a plain search turns most terms away before the pattern with its borders is tried
+    hits = [F.when(low.contains(t) & text.rlike(r"(?i)(?<![a-z])" + t.replace("-", r"\-") + "(?![a-z])"), F.lit(t)) for t in terms]
     return F.filter(F.array(*hits), lambda x: x.isNotNull())
 
 
 def regions(text: Column, countries: Column) -> Column:
     """struct(regions, scores, matched): which regions a story concerns, by named places and, weakly, by who publishes."""
-    return X.let(F.struct(text.alias("t"), countries.alias("c")), lambda x: _regions(x["t"], x["c"]))
+    return X.let(F.struct(text.alias("t"), F.lower(text).alias("low"), countries.alias("c")), lambda x: _regions(x["t"], x["low"], x["c"]))
 
 
-def _regions(text: Column, countries: Column) -> Column:
+def _regions(text: Column, low: Column, countries: Column) -> Column:
     parts = []
     for r in STRONG:
-        strong, weak = _found(text, STRONG[r]), _found(text, WEAK[r])
+        strong, weak = _found(text, low, STRONG[r]), _found(text, low, WEAK[r])
         published = F.exists(countries, _one_of(PUBLISHERS[r]))
         near = F.when(F.coalesce(published, F.lit(False)), F.array(F.lit("(an outlet from the region covered it)"))).otherwise(F.array().cast("array<string>"))
         parts.append(F.struct(F.lit(r).alias("region"), strong.alias("strong"), weak.alias("weak"), near.alias("near")))

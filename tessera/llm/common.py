@@ -2,47 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.storage import Stored as Saved  # noqa: F401
+from tessera.storage import shared_dir  # noqa: F401
+
 #: Ids that a join may broadcast: 8 bytes each and their hash slots, so 32 MB at most.
 BROADCAST_IDS = 1_000_000
 
-_own_dir: dict[str, str] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir. Only where that is unset (tests), a folder of our own."""
-    d = spark.sparkContext.getConf().get("spark.checkpoint.dir") or _own_dir.get("dir")
-    if not d:
-        d = _own_dir["dir"] = "file://" + tempfile.mkdtemp(prefix="tessera-")
-    return d.rstrip("/")
-
-
-class Saved:
-    """A table written to the shared folder: it cuts the lineage and survives lost executors."""
-
-    def __init__(self, df: DataFrame, tag: str):
-        self.spark = df.sparkSession
-        self.path = f"{shared_dir(self.spark)}/{tag}-{uuid.uuid4().hex}"
-        schema = df.schema
-        df.write.parquet(self.path)
-        self.df = self.spark.read.schema(schema).parquet(self.path)
-
-    def drop(self) -> None:
-        """Delete the files; only once no plan that is yet to run reads them."""
-        remove(self.spark, self.path)
-
-
 def remove(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,6 +14,8 @@ from tessera.storage import shared_dir  # noqa: F401
 
 #: Ids that a join may broadcast: 8 bytes each and their hash slots, so 32 MB at most.
 BROADCAST_IDS = 1_000_000
+#: Bytes in an Arrow batch.
+BATCH_BYTES = 8_000_000
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -34,6 +37,14 @@ def by_ids(df: DataFrame, ids: DataFrame, key: str, how: str, limit: int = BROAD
     return df.join(F.broadcast(ids) if n <= limit else ids, key, how)
 
 
+def modest(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_BYTES at most, unless the session asks for less: long texts must not fill an executor."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", str(spark.conf.get(key, "64m")).lower())
+    if not now or not 0 < int(now[1]) * 1024 ** " kmgt".index(now[2] or " ") <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def batches_of(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """Slices of ``rows`` rows; memory that Arrow has freed goes back after each batch, so that workers stay small."""
     for b in batches:

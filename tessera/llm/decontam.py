@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batches_of
+from tessera.llm.common import batches_of, modest
 
 Q = 8
 ERROR = 0.08
@@ -233,6 +233,7 @@ def blocks(benchmark: DataFrame, limit: int = MAX_INDEX) -> Iterator[Index]:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, limit: int = MAX_INDEX) -> DataFrame:
     """(doc_id, item_id, start, end, edits) for each document and each item that it holds: the item's best region."""
+    modest(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.col("text"))
     out = None
@@ -244,6 +245,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, limit: int = MAX_INDEX)
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, limit: int = MAX_INDEX) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; all columns stay; no join, one pass a block of the benchmark."""
+    modest(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
 
     def keeper(index):

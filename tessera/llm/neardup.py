@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Saved, batches_of, by_ids
+from tessera.llm.common import Saved, batches_of, modest, by_ids
 
 REGISTERS, ROWS = 128, 4
 B, A, Q = 1.001, 20.0, 2**16 - 2
@@ -265,6 +265,7 @@ def _open_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; links are pairs with den * intersection >= num * union."""
+    modest(docs.sparkSession)
     docs = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     t = num / den
     least = max(0.0, t - SIGMAS * (t * (1 - t) / REGISTERS) ** 0.5)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batches_of, labelled, split_of
+from tessera.llm.common import batches_of, modest, labelled, split_of
 
 BITS = 18
 DIMS = 1 << BITS
@@ -52,7 +52,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Features:
     """Text to the sorted slots of its n-grams; keeps the shapes of words that it has met, within a bound."""
 
-    def __init__(self, keep: int = 200_000):
+    def __init__(self, keep: int = 100_000):
         self.keep, self.known = keep, {}
 
     def _word(self, w: str) -> tuple[int, int]:
@@ -159,6 +159,7 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int = 3, held: int = 1, per_class: int = PER_CLASS) -> dict:
     """The model from a bounded sample of labelled rows whose split is not ``held``. The sample's ids (2 * per_class) are broadcast."""
+    modest(docs.sparkSession)
     sample = labelled(labels, label, parts, held, per_class)
     texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.col("text")).join(F.broadcast(sample), "doc_id").select("y", "text")
     got = texts.mapInArrow(_slots, "y int, slots array<int>").toArrow()
@@ -180,6 +181,7 @@ def _scorer(model):
 
 def score_documents(docs: DataFrame, model: dict, parts: int = 3, held: int = 1) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row; labels, language, source and id are no inputs of the score."""
+    modest(docs.sparkSession)
     spark = docs.sparkSession
     shipped = spark.sparkContext.broadcast({k: model[k] for k in ("w", "bias", "r", "a", "b")})  # 2 MB, fixed
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.col("text"))
@@ -189,6 +191,7 @@ def score_documents(docs: DataFrame, model: dict, parts: int = 3, held: int = 1)
 
 def keep_good(docs: DataFrame, model: dict) -> DataFrame:
     """The rows of ``docs`` that the model does not reject (score of 0.5 or more), with all their columns; no join, no shuffle."""
+    modest(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast({k: model[k] for k in ("w", "bias", "r", "a", "b")})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

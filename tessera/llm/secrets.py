@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BROADCAST_IDS, batches_of, exists, remove, shared_dir
+from tessera.llm.common import BROADCAST_IDS, batches_of, exists, modest, remove, shared_dir
 
 #: The kinds in the order in which spans of one start are listed: the base kinds first, then those the rule set adds.
 KINDS = ("assign", "access", "hex", "pem", "github", "slack", "jwt")
@@ -105,6 +105,7 @@ class BlobLedger:
 
     def scan(self, docs: DataFrame) -> int:
         """Scan the blobs of ``docs`` that have no row yet and append their findings; returns nothing of the texts."""
+        modest(self.spark)
         blobs = docs.select(blob_of(_text(docs)).alias("blob"), _text(docs).alias("text")).dropDuplicates(["blob"])
         seen = self.rows()
         if seen is not None:

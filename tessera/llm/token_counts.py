@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batches_of
+from tessera.llm.common import batches_of, modest
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern of the vocabulary (fixed value).
@@ -156,6 +156,7 @@ def count_tokens(docs: DataFrame, edits=None, vocabulary: str = VOCABULARY) -> D
 
     ``edits``: a column of array<struct<start int, remove int, insert string>> in code points, applied in order; None for none.
     """
+    modest(docs.sparkSession)
     kind = "array<struct<start:int,remove:int,insert:string>>"
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.col("text"), (edits if edits is not None else F.lit(None)).cast(kind).alias("edits"))
     return rows.mapInArrow(_counter(vocabulary), "doc_id bigint, n_tokens bigint, n_leaves bigint, n_tokens_edited bigint, n_reencoded bigint, n_chars_edited bigint")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batches_of, labelled, split_of
+from tessera.llm.common import batches_of, modest, labelled, split_of
 
 ORDER = 5
 CALM = 5.0
@@ -188,6 +188,7 @@ _EVIDENCE = ", ".join(f"e{i} double" for i in range(len(TOP) + 2))
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 5, held: int = 0, per_class: int = PER_CLASS) -> dict:
     """The model from a bounded sample of labelled rows whose split is not ``held``: two thirds for the counts, the rest for the curve."""
+    modest(docs.sparkSession)
     from tessera.llm.common import Saved
 
     sc = docs.sparkSession.sparkContext
@@ -239,6 +240,7 @@ def probability(text: str, model: dict) -> float:
 
 def score_documents(docs: DataFrame, model: dict, parts: int = 5, held: int = 0) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row; labels, language, source and id are no inputs of the score."""
+    modest(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

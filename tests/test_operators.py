@@ -229,7 +229,8 @@ def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     assert not sinks.write_json(df, f"file://{tmp_path}/o", dry_run=True) and not (tmp_path / "o").exists()
     assert sinks.write_json(df, f"file://{tmp_path}/o")
-    assert '"b":null' in next((tmp_path / "o").glob("part-*")).read_text()
+    # empty partitions may leave files of their own
+    assert '"b":null' in "".join(f.read_text() for f in (tmp_path / "o").glob("part-*"))
     assert "| 1 |  |" in sinks.markdown("R", {"S": df, "E": df.limit(0)}) and "None." in sinks.markdown("R", {"E": df.limit(0)})
     assert sinks.splice('x const S = [1, "]", [2]]; y', "S", "[9]") == "x const S = [9]; y"
     none = spark.range(0)

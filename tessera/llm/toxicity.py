@@ -8,8 +8,10 @@ function of its n-gram (seen) or of its history (unseen): two lookups.
 A text's evidence is its length-normalised log ratio, and the same over its likeliest words; a logistic
 curve, fitted on sample texts that the counts have not seen, makes it a probability.
 
-Characters are lower-cased; whatever is no letter or digit separates words. Fitting takes at most PER_CLASS labelled rows of
-either class (a documented bound, so the model's size is bounded too); scoring reads every whole text, without a shuffle.
+Characters are lower-cased; whatever is no letter or digit separates words. The class counts and the curve are fitted on at
+most PER_CLASS labelled rows of either class (a documented bound). The shared model counts the continuations in all texts, labelled
+or not: each task hands on its distinct n-grams, which are counted on the cluster; only the counts of n-grams that the class counts
+hold come to the driver, so the model is as bounded as the sample. Scoring reads every whole text, without a shuffle.
 
 Defined cases: null and empty texts have no evidence and score as the curve does at zero; null ids are not held out and teach
 nothing; with labels of one class only (or none) every score is the smoothed share of label 1.
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batches_of, modest, labelled, split_of
+from tessera.llm.common import Saved, batches_of, labelled, modest, split_of
 
 ORDER = 5
 CALM = 5.0
@@ -96,33 +98,46 @@ class Slots:
         return out, found
 
 
-def _discount(counts: np.ndarray) -> float:
-    one, two = float((counts == 1).sum()), float((counts == 2).sum())
+def _mask(n: int) -> int:
+    return (1 << (8 * n)) - 1
+
+
+def _discount(one: float, two: float) -> float:
     return one / (one + 2 * two) if one and two else 0.5
 
 
-def kneser_ney(keys: np.ndarray, toxic: np.ndarray, plain: np.ndarray) -> tuple[Slots, Slots]:
-    """Log ratios of the n-grams in ``keys`` (counts per class), and of histories for what neither class has seen."""
-    eight = np.uint64(8)
-    # the shared model: continuation counts, from single symbols up
-    level = keys
-    levels = []
+def continuations(keys: np.ndarray) -> list[tuple]:
+    """For n from ORDER - 1 down to 1: n, the n-grams that end one of the distinct ``keys``, each's number of distinct longer
+    ones, the sum and the number of these over its history, and the discount."""
+    out = []
     for n in range(ORDER - 1, 0, -1):
-        level = np.unique(level & np.uint64((1 << (8 * (n + 1))) - 1))  # distinct (n+1)-grams that end a longer one
-        levels.append((n, *np.unique(level & np.uint64((1 << (8 * n)) - 1), return_counts=True)))
+        keys, counts = np.unique(keys & np.uint64(_mask(n)), return_counts=True)
+        inverse = np.unique(keys >> np.uint64(8), return_inverse=True)[1]
+        out.append((n, keys, counts, np.bincount(inverse, counts)[inverse], np.bincount(inverse)[inverse], _discount(float((counts == 1).sum()), float((counts == 2).sum()))))
+    return out
+
+
+def shared_model(levels: list[tuple], keys: np.ndarray) -> np.ndarray:
+    """The probability of the last symbol of each of ``keys`` after the ORDER - 2 before it, from continuation counts."""
     lower_keys, lower = np.zeros(1, np.uint64), np.array([1 / 256])
-    for n, grams_, counts in reversed(levels):
-        d = _discount(counts)
-        hist, inverse = np.unique(grams_ >> eight, return_inverse=True)
-        total, kinds = np.bincount(inverse, counts), np.bincount(inverse)
-        back = lower[np.searchsorted(lower_keys, grams_ & np.uint64((1 << (8 * (n - 1))) - 1))] if n > 1 else np.full(len(grams_), 1 / 256)
-        lower = np.maximum(counts - d, 0) / total[inverse] + d * kinds[inverse] / total[inverse] * back
+    for n, grams_, counts, total, kinds, d in reversed(levels):
+        back = lower[np.searchsorted(lower_keys, grams_ & np.uint64(_mask(n - 1)))]
+        lower = np.maximum(counts - d, 0) / total + d * kinds / total * back
         lower_keys = grams_
-    shared = lower[np.searchsorted(lower_keys, keys & np.uint64((1 << (8 * (ORDER - 1))) - 1))]
+    return lower[np.searchsorted(lower_keys, keys & np.uint64(_mask(ORDER - 1)))]
+
+
+def kneser_ney(keys: np.ndarray, toxic: np.ndarray, plain: np.ndarray, levels: list[tuple] | None = None) -> tuple[Slots, Slots]:
+    """Log ratios of the n-grams in ``keys`` (counts per class), and of histories for what neither class has seen.
+
+    ``levels`` are the continuation counts that both classes back off to; without them, those of ``keys``.
+    """
+    eight = np.uint64(8)
+    shared = shared_model(levels or continuations(keys), keys)
     hist, inverse = np.unique(keys >> eight, return_inverse=True)
     logs, weights = [], []
     for counts in (toxic, plain):
-        d = _discount(counts)
+        d = _discount(float((counts == 1).sum()), float((counts == 2).sum()))
         total, kinds = np.bincount(inverse, counts, len(hist)), np.bincount(inverse, counts > 0, len(hist))
         back = np.where(total > 0, d * kinds / np.maximum(total, 1), 1.0)
         logs.append(np.log(np.maximum(counts - d, 0) / np.maximum(total, 1)[inverse] + back[inverse] * shared))
@@ -173,6 +188,25 @@ def _counted(table):
     return run
 
 
+def _met(table):
+    """Per partition: its distinct n-grams, some of them more than once. A direct table of bounded size turns most repeats away."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = np.full(1 << 20, np.iinfo(np.uint64).max, np.uint64)
+        for b in batches_of(batches):
+            for t in b.column("text"):
+                s = symbols(t.as_py() or "", table.value)
+                if not len(s):
+                    continue
+                k = grams(s, ORDER)
+                at = ((k * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+                new = np.flatnonzero(last[at] != k)
+                last[at[new]] = k[new]
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(k[new]).astype(np.int64))], ["gram"])
+
+    return run
+
+
 def _scored(model, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
@@ -186,11 +220,28 @@ def _scored(model, names: list[str]):
 _EVIDENCE = ", ".join(f"e{i} double" for i in range(len(TOP) + 2))
 
 
+def gather(docs: DataFrame, wanted: DataFrame, table: np.ndarray) -> list[tuple]:
+    """``continuations`` of the n-grams of all texts of ``docs``; of these, the rows that the n-grams in ``wanted`` (gram) need."""
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    met = Saved(texts.mapInArrow(_met(docs.sparkSession.sparkContext.broadcast(table)), "gram bigint").distinct(), "toxic-grams")
+    longer, made, out = met.df, [met], []
+    for n in range(ORDER - 1, 0, -1):
+        short = F.col("gram").bitwiseAND(F.lit(_mask(n))).alias("gram")
+        made.append(Saved(longer.groupBy(short).agg(F.count(F.lit(1)).alias("n")), "toxic-level"))
+        level, wanted = made[-1].df.withColumn("history", F.shiftright("gram", 8)), wanted.select(short).distinct()
+        totals = level.groupBy("history").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        rows = level.join(wanted, "gram", "left_semi").join(totals, "history").select("gram", "n", "total", "kinds").toArrow().sort_by("gram")
+        once = level.agg(F.count_if(F.expr("n = 1")).alias("one"), F.count_if(F.expr("n = 2")).alias("two")).first()
+        out.append((n, rows.column("gram").to_numpy().astype(np.uint64), *(rows.column(c).to_numpy().astype(float) for c in ("n", "total", "kinds")), _discount(float(once.one), float(once.two))))
+        longer = level
+    for s in made:
+        s.drop()
+    return out
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 5, held: int = 0, per_class: int = PER_CLASS) -> dict:
     """The model from a bounded sample of labelled rows whose split is not ``held``: two thirds for the counts, the rest for the curve."""
     modest(docs.sparkSession)
-    from tessera.llm.common import Saved
-
     sc = docs.sparkSession.sparkContext
     sample = labelled(labels, label, parts, held, per_class)
     texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
@@ -206,10 +257,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int =
     met = sorted((r for r in chars.where("length(c) = 1").collect() if r.c.isalnum()), key=lambda r: (-r.n, r.c))
     table = alphabet_table("".join(r.c for r in met[:254]))
     counts = learn.select("y", "text").mapInArrow(_counted(sc.broadcast(table)), "gram bigint, y int, n bigint")
-    got = counts.groupBy("gram").agg(*(F.coalesce(F.sum(F.when(F.col("y") == y, F.col("n"))), F.lit(0)).alias(f"n{y}") for y in (0, 1))).toArrow()
+    known = Saved(counts.groupBy("gram").agg(*(F.coalesce(F.sum(F.when(F.col("y") == y, F.col("n"))), F.lit(0)).alias(f"n{y}") for y in (0, 1))), "toxic-counts")
+    got = known.df.toArrow()
+    levels = gather(docs, known.df.select("gram"), table)
+    known.drop()
     keys = got.column("gram").to_numpy().astype(np.uint64)
     order = np.argsort(keys)
-    ngrams, histories = kneser_ney(keys[order], got.column("n1").to_numpy()[order].astype(float), got.column("n0").to_numpy()[order].astype(float))
+    ngrams, histories = kneser_ney(keys[order], got.column("n1").to_numpy()[order].astype(float), got.column("n0").to_numpy()[order].astype(float), levels)
     model = {"table": table, "ngrams": ngrams, "histories": histories}
     rows = kept.df.where("curve").select("y", "text").mapInArrow(_scored(sc.broadcast(model), ["y"]), f"y int, {_EVIDENCE}").toArrow()
     x = np.column_stack([rows.column(f"e{i}").to_numpy() for i in range(len(TOP) + 2)])

@@ -188,6 +188,33 @@ def test_kneser_ney_backs_off_alike():
     assert not ngrams.get(np.array([99], np.uint64))[1][0]
 
 
+def test_shared_counts_cover_all_texts(spark, docs):
+    """What the cluster counts is what one machine counts over every text, labelled or not; only the wanted rows come back."""
+    texts = [r.text or "" for r in docs.collect()]
+    table_ = toxicity.alphabet_table("abcdefghijklmnopqrstuvwxyz")
+    met = [toxicity.grams(s, toxicity.ORDER) for t in texts if len(s := toxicity.symbols(t, table_))]
+    keys, some = np.unique(np.concatenate(met)), np.unique(np.concatenate(met[:20]))
+    whole, found = toxicity.continuations(keys), toxicity.gather(docs, spark.createDataFrame([(int(k),) for k in some], "gram bigint"), table_)
+    for (n, grams, *counts, d), (m, rows, *got, e) in zip(whole, found, strict=True):
+        need = np.unique(some & np.uint64((1 << (8 * n)) - 1))
+        at = np.searchsorted(grams, need)
+        assert n == m and d == e and (rows == need).all() and all((c[at] == g).all() for c, g in zip(counts, got, strict=True))
+    assert np.allclose(toxicity.shared_model(found, some), toxicity.shared_model(whole, some))
+    # the probabilities of what may follow one history add up to one but for the share of unseen symbols
+    p = toxicity.shared_model(whole, keys)
+    follow = {}
+    for g, x in zip((keys & np.uint64((1 << 32) - 1)).tolist(), p, strict=True):
+        follow.setdefault(g >> 8, {})[g] = x
+    assert all(sum(v.values()) <= 1 + 1e-9 for v in follow.values())
+
+
+def test_toxicity_of_texts_without_words(spark):
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(["", None, " . ", ""] * 20)], "doc_id bigint, text string")
+    lab = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id bigint, toxic int")
+    rows = toxicity.score_documents(d, toxicity.train(d, lab)).collect()
+    assert len(rows) == 80 and len({r.score for r in rows}) == 1 and 0 <= rows[0].score <= 1
+
+
 # --- urls ------------------------------------------------------------------------------------------------------------
 
 

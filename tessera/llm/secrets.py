@@ -20,11 +20,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BROADCAST_IDS, batches_of, exists, modest, remove, shared_dir
+from tessera.llm.common import batches_of, exists, modest, remove, shared_dir
 
 #: The kinds in the order in which spans of one start are listed: the base kinds first, then those the rule set adds.
 KINDS = ("assign", "access", "hex", "pem", "github", "slack", "jwt")
 RULE_VERSION = 1
+#: Findings that redaction may broadcast, and what a row takes besides its texts.
+BROADCAST_BYTES, ROW_BYTES = 24_000_000, 64
 
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 _ASSIGN_HINTS = ("passw", "secret", "token", "key")
@@ -150,7 +152,9 @@ def redact_secrets(docs: DataFrame, ledger: BlobLedger) -> DataFrame:
     """
     ledger.scan(docs)
     found = ledger.findings().select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
-    if found.limit(BROADCAST_IDS // 8 + 1).count() <= BROADCAST_IDS // 8:
+    # the ledger is a written table, so that summing its bytes is cheap; beyond the limit the join shuffles
+    size = found.agg(F.sum(F.length("__blob") + F.length("__spans") + F.lit(ROW_BYTES)).alias("size")).first().size or 0
+    if size <= BROADCAST_BYTES:
         found = F.broadcast(found)
     names = docs.columns
     joined = docs.withColumn("__blob", blob_of(_text(docs))).join(found, "__blob", "left")

@@ -148,6 +148,15 @@ def test_redaction_keeps_rows_and_columns(spark, none):
     assert secrets.redact_secrets(none, secrets.BlobLedger(spark)).count() == 0
 
 
+def test_redaction_beyond_the_broadcast_limit(spark, monkeypatch):
+    rows = [(i, f"x{i} token: {'abcdefgh' * (1 + i % 3)} y", "en", "s", 1) for i in range(40)] + [(i, "clean", "en", "s", 5) for i in range(40, 60)]
+    d = spark.createDataFrame(rows, DOCS)
+    small = sorted(tuple(r) for r in secrets.redact_secrets(d, secrets.BlobLedger(spark)).collect())
+    monkeypatch.setattr(secrets, "BROADCAST_BYTES", -1)
+    assert sorted(tuple(r) for r in secrets.redact_secrets(d, secrets.BlobLedger(spark)).collect()) == small
+    assert sum("[ASSIGN]" in r[1] for r in small) == 40 and sum(r[1] == "clean" for r in small) == 20
+
+
 # --- classifiers -----------------------------------------------------------------------------------------------------
 
 

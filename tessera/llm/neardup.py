@@ -40,6 +40,8 @@ from tessera.llm.common import Saved, batches_of, modest, by_ids
 REGISTERS, ROWS = 128, 4
 B, A, Q = 1.001, 20.0, 2**16 - 2
 SIGMAS = 6
+#: Bytes of a text that are hashed at a time, and shingles that leave a task at a time.
+PIECE, HELD = 1 << 16, 1 << 17
 
 _rng = np.random.default_rng(20240607)
 _MUL = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -70,17 +72,29 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def _pieces(b: np.ndarray) -> Iterator[np.ndarray]:
+    """``b`` in pieces of about PIECE bytes that end at blanks, so that a long text needs little memory beside its own."""
+    at = 0
+    while len(b) - at > PIECE:
+        end = at + PIECE
+        while end < len(b) and not (blank := np.flatnonzero(_SPACE[b[end : end + PIECE]])).size:
+            end += PIECE
+        end = min(len(b), end + int(blank[0]) if end < len(b) else end)
+        yield b[at:end]
+        at = end
+    yield b[at:]
+
+
 def word_hashes(text: str) -> np.ndarray:
     """A 64-bit hash of every word [^\\x20\\x09-\\x0D]+ of the text, A-Z lower-cased."""
-    b = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    if not len(b):
-        return np.zeros(0, np.uint64)
-    inside = ~_SPACE[b]
-    starts = np.flatnonzero(inside & np.concatenate(([True], ~inside[:-1])))
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    up, down = _power(len(b))
-    return _mix(np.add.reduceat(_BYTE[b] * up[: len(b)] * inside, starts) * down[starts])
+    out = []
+    for b in _pieces(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)):
+        inside = ~_SPACE[b]
+        starts = np.flatnonzero(inside & np.concatenate(([True], ~inside[:-1])))
+        if len(starts):
+            up, down = _power(len(b))
+            out.append(_mix(np.add.reduceat(_BYTE[b] * up[: len(b)] * inside, starts) * down[starts]))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def shingle_set(text: str | None, k: int) -> np.ndarray:
@@ -213,13 +227,21 @@ def _reach(n: str, place: str, m: str, other: str, num: int, den: int) -> str:
 
 def _shingler(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(reps: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+            n = np.array([len(x) for x in sets], np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(reps, np.int64), n)), pa.array(np.repeat(n, n)), pa.array(np.concatenate(sets).view(np.int64))], ["rep", "n", "token"])
+
+        reps, sets, held = [], [], 0
         for batch in batches_of(batches):
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                sets = [shingle_set(t.as_py(), k) for t in part.column("text")]
-                n = np.array([len(x) for x in sets], np.int64)
-                reps = np.repeat(part.column("doc_id").to_numpy(), n)
-                yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(np.repeat(n, n)), pa.array(np.concatenate(sets).view(np.int64))], ["rep", "n", "token"])
+            for rep, t in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                reps.append(rep)
+                sets.append(shingle_set(t.as_py(), k))
+                held += len(sets[-1])
+                if held >= HELD:
+                    yield rows(reps, sets)
+                    reps, sets, held = [], [], 0
+        if reps:
+            yield rows(reps, sets)
 
     return run
 

@@ -70,7 +70,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, rows: int | No
     size = rate.agg(F.sum(F.lit(4) + F.coalesce(F.size("__cdf"), F.lit(0)))).first()[0] or 0
     # beyond that the join shuffles, and AQE splits hot sources
     joined = docs.withColumn("__source", source).join(F.broadcast(rate) if size <= MAX_NUMBERS else rate, "__source")
-    count = F.when(F.col("__cdf").isNull(), F.lit(0)).otherwise(F.expr("size(filter(__cdf, c -> c <= __u))"))
+    # the number goes in as an argument: one that a lambda takes from outside is lost where the optimizer prunes the id
+    count = F.when(F.col("__cdf").isNull(), F.lit(0)).otherwise(F.expr("aggregate(__cdf, named_struct('u', __u, 'n', 0), (a, c) -> named_struct('u', a.u, 'n', a.n + int(c <= a.u)), a -> a.n)"))
     counted = joined.withColumn("__u", uniform(seed, F.col("doc_id"))).withColumn("__n", count).drop("__cdf", "__u", "__source").where("__n > 0")
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n")
     keyed = copies.withColumn("shuffle_key", F.substring(_hash(seed + 1, F.col("doc_id"), F.col("copy")), 1, 16))

@@ -10,7 +10,8 @@ Items too short for a bound of at least one q-gram must occur exactly, as whole
 
 Scale: the index holds the benchmark only. It is shipped to every task while it has at most MAX_INDEX q-grams (proven by
 counting); beyond that the benchmark is cut into blocks of that size and each block is a further pass over the documents,
-so no item is left out. Documents are read whole, one after the other, without a shuffle.
+so no item is left out. Documents are read whole, one after the other, without a shuffle; hits are taken PAIRS at a time, so that
+neither a very long document nor a q-gram that very many items share fills a task.
 
 Defined cases: null and empty texts leak nothing, null and empty items match nothing; repeated items each report;
 repeated rows report again; rows with a null id are reported under null; other columns are ignored.
@@ -30,6 +31,8 @@ from tessera.llm.common import batches_of, modest
 Q = 8
 ERROR = 0.08
 MAX_INDEX = 4_000_000
+#: Hits (a place in a text with one in an item) that are held at a time.
+PAIRS = 1_000_000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _fold: list[np.ndarray] = []
@@ -101,6 +104,8 @@ class Index:
         self.first = np.append(first, len(flat))
         self.owner = np.concatenate(owner)[order] if keys else np.zeros(0, np.int64)
         self.place = np.concatenate(place)[order] if keys else np.zeros(0, np.int64)
+        # sorted, for an item's own part of a q-gram's places
+        self.rank = np.repeat(np.arange(len(self.keys)), np.diff(self.first)) * len(self.ids) + self.owner
         self.k, self.bound = np.array(self.k, np.int64), np.array(self.bound, np.int64)
         self.length = np.array([len(x) for x in self.x], np.int64)
         # a direct table of small size turns most q-grams of a document away
@@ -128,41 +133,77 @@ class Index:
         some, i = some[real], i[real]
         if len(some) < self.bound.min():
             return sorted(out)
-        # blocks of hits bound the memory; bands are counted over the whole document
-        n = self.first[i + 1] - self.first[i]
-        rank = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        post = np.repeat(self.first[i], n) + rank
-        owner = self.owner[post]
-        diagonal = np.repeat(some, n) - self.place[post] + self.length.max()
-        place = self.place[post]
         best: dict[int, tuple[int, int, int]] = {}
-        for half in (0, 1):
-            width = self.width[owner]
-            band = (diagonal + half * (width // 2)) // width
-            key = owner * np.int64(1 << 40) + band
-            found, count = np.unique(key, return_counts=True)
-            for key_ in found[count >= self.bound[found >> 40]].tolist():
-                o, b = key_ >> 40, key_ & ((1 << 40) - 1)
-                if o in best and best[o][2] == 0:
-                    continue
-                own = key == key_
-                spread = diagonal[own]
-                # the lemma counts each q-gram of the item once
-                if len(np.unique(place[own])) < self.bound[o]:
-                    continue
-                item, first = self.x[o], int(self.length.max())
-                likely = int(np.bincount(spread - spread.min()).argmax() + spread.min()) - first
-                if 0 <= likely and np.array_equal(x[likely : likely + len(item)], item):
-                    best[o] = (likely, likely + len(item), 0)
-                    continue
-                w = int(self.width[o])
-                low = b * w - half * (w // 2) - first
-                got = align(item, x, low, low + w - 1, int(self.k[o]))
-                if got and (o not in best or got[2] < best[o][2]):
-                    best[o] = got
+        for low, high in self._ranges(i):
+            for half in (0, 1):
+                for key in self._likely_bands(some, i, low, high, half):
+                    o = key >> 40
+                    if o not in best or best[o][2]:
+                        got = self._verified(x, some, i, o, key & ((1 << 40) - 1), half)
+                        if got and (o not in best or got[2] < best[o][2]):
+                            best[o] = got
         out += [(self.ids[o], int(at[s]), int(at[max(s, e - 1)]) + 1, d) for o, (s, e, d) in best.items()]
         return sorted(out)
 
+    def _ranges(self, i: np.ndarray) -> list[tuple[int, int]]:
+        """Ranges of items that have PAIRS hits at most, or of one item each."""
+        n = len(self.ids)
+        if int((self.first[i + 1] - self.first[i]).sum()) <= PAIRS:
+            return [(0, n)]
+        met, times = np.unique(i, return_counts=True)
+        each = self.first[met + 1] - self.first[met]
+        post = np.repeat(self.first[met] - np.cumsum(each) + each, each) + np.arange(int(each.sum()))
+        total = np.cumsum(np.bincount(self.owner[post], np.repeat(times, each), n))
+        out, low = [], 0
+        while low < n:
+            high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + PAIRS, "right")))
+            out.append((low, high))
+            low = high
+        return out
+
+    def _pairs(self, some: np.ndarray, i: np.ndarray, low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(place in the text, place in the item, item) of the hits on items low to high - 1, in blocks of PAIRS or of one place of the text."""
+        n = len(self.ids)
+        first = np.searchsorted(self.rank, i * n + low)
+        size = np.searchsorted(self.rank, i * n + high) - first
+        ends = np.cumsum(size)
+        at = done = 0
+        while at < len(some):
+            to = max(at + 1, int(np.searchsorted(ends, done + PAIRS, "right")))
+            post = np.repeat(first[at:to] - (ends[at:to] - size[at:to] - done), size[at:to]) + np.arange(int(ends[to - 1]) - done)
+            yield np.repeat(some[at:to], size[at:to]), self.place[post], self.owner[post]
+            at, done = to, int(ends[to - 1])
+
+    def _likely_bands(self, some: np.ndarray, i: np.ndarray, low: int, high: int, half: int) -> list[int]:
+        """The bands (item << 40 | band) with as many hits as the lemma asks for, counted over the whole text."""
+        found, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for at, place, owner in self._pairs(some, i, low, high):
+            width = self.width[owner]
+            key = owner * np.int64(1 << 40) + (at - place + self.length.max() + half * (width // 2)) // width
+            new, times = np.unique(key, return_counts=True)
+            if len(found):
+                new, inverse = np.unique(np.concatenate((found, new)), return_inverse=True)
+                times = np.bincount(inverse, np.concatenate((count, times))).astype(np.int64)
+            found, count = new, times
+        return found[count >= self.bound[found >> 40]].tolist()
+
+    def _verified(self, x: np.ndarray, some: np.ndarray, i: np.ndarray, o: int, band: int, half: int) -> tuple[int, int, int] | None:
+        """The best alignment of an item within a band. The lemma counts each q-gram of the item once; bands short of that go."""
+        item, w = self.x[o], int(self.width[o])
+        low = band * w - half * (w // 2) - int(self.length.max())
+        part = slice(*np.searchsorted(some, (low, low + w - 1 + len(item))))
+        met, diagonals = np.zeros(len(item), bool), np.zeros(w, np.int64)
+        for at, place, _ in self._pairs(some[part], i[part], o, o + 1):
+            inside = (at - place >= low) & (at - place < low + w)
+            met[place[inside]] = True
+            diagonals += np.bincount((at - place)[inside] - low, minlength=w)
+        if met.sum() < self.bound[o]:
+            return None
+        likely = low + int(diagonals.argmax())
+        if likely >= 0 and np.array_equal(x[likely : likely + len(item)], item):
+            return likely, likely + len(item), 0
+        return align(item, x, low, low + w - 1, int(self.k[o]))
+
 
 def _find(x: np.ndarray, short: np.ndarray) -> int:
     """Where ``short`` occurs in ``x`` as whole words, or -1."""

@@ -6,6 +6,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -399,6 +400,29 @@ def test_regions_within_the_budget_are_found():
             assert n not in got or got[n][3] == least
 
 
+def test_hits_in_small_blocks_give_the_same_regions(monkeypatch):
+    rng = random.Random(8)
+    shared = " ".join("".join(rng.choices("abcdef", k=5)) for _ in range(12))
+    items = ["na " * 40, shared + " one end of it", shared + " and quite another", "".join(rng.choices("abc ", k=90))]
+    texts = ["na " * 150, "x " + shared[:-3] + "q one end of it " + "na " * 39 + "no " + items[3], shared * 5, items[3] + items[2]]
+    index = decontam.Index(list(enumerate(items)))
+    whole = [index.hits(t) for t in texts]
+    assert {h[0] for hits in whole for h in hits} == {0, 1, 2, 3}
+    for size in (50, 3000):
+        monkeypatch.setattr(decontam, "PAIRS", size)
+        assert [index.hits(t) for t in texts] == whole
+
+
+def test_hits_of_long_repeating_texts_need_little_memory():
+    index = decontam.Index([(1, "la " * 150), (2, "lo " * 20 + "la " * 30)])
+    tracemalloc.start()
+    hits = index.hits("la " * 8_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [h[0] for h in hits][:1] == [1] and hits[0][3] == 0
+    assert peak < 200_000_000
+
+
 def test_decontamination_defined_cases(spark, odd, none):
     bench = spark.createDataFrame([(1, "A b, c D e f"), (2, None), (3, ""), (4, "not there at all in any text whatsoever"), (1, "A b, c D e f")], "item_id bigint, text string")
     got = decontam.contaminated(odd, bench).collect()

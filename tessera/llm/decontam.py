@@ -135,13 +135,12 @@ class Index:
             return sorted(out)
         best: dict[int, tuple[int, int, int]] = {}
         for low, high in self._ranges(i):
-            for half in (0, 1):
-                for key in self._likely_bands(some, i, low, high, half):
-                    o = key >> 40
-                    if o not in best or best[o][2]:
-                        got = self._verified(x, some, i, o, key & ((1 << 40) - 1), half)
-                        if got and (o not in best or got[2] < best[o][2]):
-                            best[o] = got
+            for half, key in self._likely_bands(some, i, low, high):
+                o = key >> 40
+                if o not in best or best[o][2]:
+                    got = self._verified(x, some, i, o, key & ((1 << 40) - 1), half)
+                    if got and (o not in best or got[2] < best[o][2]):
+                        best[o] = got
         out += [(self.ids[o], int(at[s]), int(at[max(s, e - 1)]) + 1, d) for o, (s, e, d) in best.items()]
         return sorted(out)
 
@@ -164,8 +163,11 @@ class Index:
     def _pairs(self, some: np.ndarray, i: np.ndarray, low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(place in the text, place in the item, item) of the hits on items low to high - 1, in blocks of PAIRS or of one place of the text."""
         n = len(self.ids)
-        first = np.searchsorted(self.rank, i * n + low)
-        size = np.searchsorted(self.rank, i * n + high) - first
+        if (low, high) == (0, n):
+            first, last = self.first[i], self.first[i + 1]
+        else:
+            first, last = np.searchsorted(self.rank, i * n + low), np.searchsorted(self.rank, i * n + high)
+        size = last - first
         ends = np.cumsum(size)
         at = done = 0
         while at < len(some):
@@ -174,18 +176,18 @@ class Index:
             yield np.repeat(some[at:to], size[at:to]), self.place[post], self.owner[post]
             at, done = to, int(ends[to - 1])
 
-    def _likely_bands(self, some: np.ndarray, i: np.ndarray, low: int, high: int, half: int) -> list[int]:
-        """The bands (item << 40 | band) with as many hits as the lemma asks for, counted over the whole text."""
-        found, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    def _likely_bands(self, some: np.ndarray, i: np.ndarray, low: int, high: int) -> list[tuple[int, int]]:
+        """(half, item << 40 | band) of the bands with as many hits as the lemma asks for, counted over the whole text."""
+        found, count = [np.zeros(0, np.int64)] * 2, [np.zeros(0, np.int64)] * 2
         for at, place, owner in self._pairs(some, i, low, high):
-            width = self.width[owner]
-            key = owner * np.int64(1 << 40) + (at - place + self.length.max() + half * (width // 2)) // width
-            new, times = np.unique(key, return_counts=True)
-            if len(found):
-                new, inverse = np.unique(np.concatenate((found, new)), return_inverse=True)
-                times = np.bincount(inverse, np.concatenate((count, times))).astype(np.int64)
-            found, count = new, times
-        return found[count >= self.bound[found >> 40]].tolist()
+            width, diagonal = self.width[owner], at - place + self.length.max()
+            for half in (0, 1):
+                new, times = np.unique(owner * np.int64(1 << 40) + (diagonal + half * (width // 2)) // width, return_counts=True)
+                if len(found[half]):
+                    new, inverse = np.unique(np.concatenate((found[half], new)), return_inverse=True)
+                    times = np.bincount(inverse, np.concatenate((count[half], times))).astype(np.int64)
+                found[half], count[half] = new, times
+        return [(half, key) for half in (0, 1) for key in found[half][count[half] >= self.bound[found[half] >> 40]].tolist()]
 
     def _verified(self, x: np.ndarray, some: np.ndarray, i: np.ndarray, o: int, band: int, half: int) -> tuple[int, int, int] | None:
         """The best alignment of an item within a band. The lemma counts each q-gram of the item once; bands short of that go."""

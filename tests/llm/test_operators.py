@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import random
 import re
 import tracemalloc
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, chat, decontam, mixing, neardup, quality, secrets, token_counts, toxicity, url_filter
+from tessera.llm import ann, chat, decontam, mixing, neardup, quality, queries, secrets, token_counts, toxicity, url_filter
 from tessera.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -298,6 +300,27 @@ def test_mixing_defined_cases(odd, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mixing_gives_rare_sources_their_share(spark, tmp_path):
+    """Rates beyond the tables: 15,000.5 and 25,000, against the SQL."""
+    rows = spark.range(30_001).select(F.col("id").alias("doc_id"), F.when(F.col("id") > 0, "hot").alias("source"))
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op5_mixing(spark, str(tmp_path)).collect()
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+        want = db.execute(queries.ORACLE_SQL["op5_mixing"]).fetchall()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert 14_000 < sum(r.source is None for r in got) < 16_000
+    assert [r.shuffle_key for r in got] == sorted(r.shuffle_key for r in got)
+    few = spark.createDataFrame([(i, "ab"[i % 2], "x") for i in range(6)], "doc_id bigint, source string, text string")
+    counts = {r.doc_id: (r["n"], r["last"]) for r in mixing.mix(few, {"a": 1.0}, rows=75_000).groupBy("doc_id").agg(F.count("text").alias("n"), F.max("copy").alias("last")).collect()}
+    for i in (0, 2, 4):
+        u, k, log, c = int(hashlib.md5(f"42:{i}".encode()).hexdigest()[:13], 16) / 2**52, 0, -25_000.0, 0.0
+        while (c := c + math.exp(log)) <= u:
+            log, k = log + math.log(25_000 / (k + 1)), k + 1
+        assert counts.pop(i) == (k, k)
+    assert not counts
+
+
 # --- nearest neighbours ----------------------------------------------------------------------------------------------
 
 

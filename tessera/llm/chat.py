@@ -2,13 +2,15 @@
 
 Lines that open with > marks are quotes; the number of marks is their level. Runs of lines of one level are passages;
 normalised (lower case, letters and digits only, single blanks) they are hashed and joined to the message of the same
-conversation in which the passage was first written: as its whole body, a paragraph or a line of it. The match of the lowest
-level is what a message replies to; the earliest message wins, so each hash has one row and a phrase that everybody quotes
-joins once per quote. Replies follow what they answer: the order within a conversation is by the turns on the path from the
+conversation in which the passage was first written: as its whole body, a paragraph or a line of it. A passage that was never
+written as a whole before (a trimmed quote, or one of several messages) is looked for paragraph by paragraph, and a paragraph
+that was not line by line; each piece is at most as late as the message it was taken from, so the latest origin of a passage's
+pieces stands for it. The match of the lowest level is what a message replies to; the earliest message wins, so each hash has one row
+and a phrase that everybody quotes joins once per quote. Replies follow what they answer: the order within a conversation is by the turns on the path from the
 thread's first message. Paths are found by pointer doubling over replies only.
 
-Scale: messages without quotes go through one pass; only hashes are joined, one row per (conversation, hash) on one side. The
-final order is by ranges of (conversation, path), so a conversation of any size spreads over tasks, and none is collected.
+Scale: messages without quotes go through one pass; only hashes are joined, one row per (conversation, hash) on one side and one
+for each passage and each of its paragraphs and lines on the other. The final order is by ranges of (conversation, path), so a conversation of any size spreads over tasks, and none is collected.
 
 Defined cases: null text is empty, null roles become 'user', null conversations form one of their own, a null turn sorts first
 and neither quotes nor is quoted; repeated rows repeat; messages of one (conversation, turn) share their replies; other
@@ -27,9 +29,16 @@ _LINES = r"transform(split(text, '\\r?\\n'), l -> named_struct('level', length(r
 _RUNS = """
 aggregate(lines,
   named_struct('runs', cast(array() AS array<struct<level:int,words:string>>), 'level', 0, 'words', ''),
-  (a, l) -> CASE WHEN l.level = a.level THEN named_struct('runs', a.runs, 'level', a.level, 'words', concat(a.words, ' ', l.words))
+  (a, l) -> CASE WHEN l.level = a.level THEN named_struct('runs', a.runs, 'level', a.level, 'words', concat(a.words, '\\n', l.words))
     ELSE named_struct('runs', CASE WHEN a.level > 0 THEN concat(a.runs, array(named_struct('level', a.level, 'words', a.words))) ELSE a.runs END, 'level', l.level, 'words', l.words) END,
   a -> CASE WHEN a.level > 0 THEN concat(a.runs, array(named_struct('level', a.level, 'words', a.words))) ELSE a.runs END)"""
+#: What is looked for of each passage: all of it (part -1), its paragraphs and their lines, where they are not all of it.
+_PIECES = r"""
+flatten(transform(quotes, (q, i) -> concat(
+  array(named_struct('run', i, 'part', -1, 'kind', 0, 'level', q.level, 'words', q.words)),
+  flatten(transform(split(q.words, '\\n\\s*\\n'), (p, j) -> concat(
+    filter(array(named_struct('run', i, 'part', j, 'kind', 1, 'level', q.level, 'words', p)), x -> x.words <> q.words),
+    transform(filter(array_distinct(split(p, '\\n')), l -> l <> p), l -> named_struct('run', i, 'part', j, 'kind', 2, 'level', q.level, 'words', l))))))))"""
 #: The body: lines of level 0, without a line of attribution right before a quote.
 _BODY = r"""
 trim(regexp_replace(array_join(transform(filter(transform(lines, (l, i) -> named_struct('l', l, 'next', coalesce(get(lines, i + 1).level, 0))),
@@ -56,16 +65,19 @@ def parse(messages: DataFrame) -> DataFrame:
 
 def replies(parsed: DataFrame) -> DataFrame:
     """(conv_id, turn, parent): what a message replies to, one row per replying (conversation, turn)."""
-    quotes = parsed.where("quotes IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.explode("quotes").alias("q"))
-    quotes = quotes.select("conv_id", "turn", "q.level", _key(F.col("q.words")).alias("key"), normalised(F.col("q.words")).alias("n")).where("n <> ''").drop("n")
-    quotes = quotes.groupBy("conv_id", "turn", "key").agg(F.min("level").alias("level"))
+    quotes = parsed.where("quotes IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.xxhash64("quotes").alias("m"), F.explode(F.expr(_PIECES)).alias("q"))
+    quotes = quotes.select("conv_id", "turn", "m", "q.run", "q.part", "q.kind", "q.level", _key(F.col("q.words")).alias("key"), normalised(F.col("q.words")).alias("n")).where("n <> ''").drop("n")
     bodies = parsed.where("turn IS NOT NULL AND body <> ''").join(quotes.select("conv_id").distinct().withColumnRenamed("conv_id", "__c"), F.col("conv_id").eqNullSafe(F.col("__c")), "left_semi")
     pieces = F.array_distinct(F.concat(F.array("body"), F.split("body", r"\n\s*\n"), F.split("body", r"\n")))
     origin = bodies.select("conv_id", "turn", F.explode(pieces).alias("piece")).where(normalised(F.col("piece")) != "")
     origin = origin.select(F.col("conv_id").alias("oc"), F.col("turn").alias("parent"), _key(F.col("piece")).alias("okey")).groupBy("oc", "okey").agg(F.min("parent").alias("parent"))
     met = quotes.join(origin, F.col("conv_id").eqNullSafe(F.col("oc")) & (F.col("key") == F.col("okey"))).where("parent < turn")
+    late = (-F.col("parent")).alias("late")
+    # lines count where their paragraph has no origin, paragraphs where the passage has none; of several the latest origin
+    met = met.groupBy("conv_id", "turn", "m", "level", "run", "part").agg(F.min_by("parent", F.struct("kind", late)).alias("parent"))
+    met = met.groupBy("conv_id", "turn", "m", "level", "run").agg(F.min_by("parent", F.struct(F.col("part") >= 0, late)).alias("parent"))
     # the lowest level is the direct one; of several passages the latest origin
-    return met.groupBy("conv_id", "turn").agg(F.min_by("parent", F.struct("level", (-F.col("parent")).alias("late"))).alias("parent"))
+    return met.groupBy("conv_id", "turn").agg(F.min_by("parent", F.struct("level", late)).alias("parent"))
 
 
 def paths(links: DataFrame) -> Saved:

@@ -388,6 +388,31 @@ def test_replies_are_linked_and_ordered(spark):
     assert chat.conversations(df.limit(0)).count() == 0
 
 
+def test_partial_quotes_are_linked(spark):
+    m = [
+        "First paragraph,\nof two lines.\n\nSecond paragraph.\n\nThird one,\nof three\nlines.",
+        "Yes.\nOther words\nat length.",
+        "> First paragraph,\n> of two lines.\n>\n> Second paragraph.\nTwo of three paragraphs.",
+        "> Third one,\n> of three\nTwo of three lines.",
+        "> Yes.\nOf course.\nNo doubt.\n> at length.\nThat too.",
+        "> Of course.\n> No doubt.\nA block between quotes.",
+        ">> of three\n>> lines.\n> Of course.\n> No doubt.\nThe lowest level.",
+        "> Third one,\n> [...]\n> lines.\n> never said before\nTrimmed inside.",
+        "> Second paragraph.\n>\n> Other words\n> and more\nOf two messages.",
+        "Other words\nat length. Yes.",
+        "> Other words at\n> length.\n> Yes.\nAll of it, wrapped anew.",
+        "length.",
+        "> Other words at\n> length.\n> Yes.\nAll of it before a line of it.",
+        "> nothing\n>\n> of the kind\nNo origin.",
+    ]
+    rows = chat.conversations(spark.createDataFrame([(1, i, "user", x) for i, x in enumerate(m)], "conv_id bigint, turn bigint, role string, text string")).collect()
+    assert [r.parent_turn for r in sorted(rows, key=lambda r: r.turn)] == [None, None, 0, 0, 1, 4, 4, 0, 1, None, 9, None, 9, None]
+    assert [r.turn for r in rows][:5] == [0, 2, 3, 7, 1]
+    shared = [(0, "One.\nTwo."), (1, "Three.\nFour."), (2, "Five."), (3, "> One.\n> Two."), (3, "> Four.\n> and more")]
+    rows = chat.conversations(spark.createDataFrame([(1, i, "user", x) for i, x in shared], "conv_id bigint, turn bigint, role string, text string")).collect()
+    assert [r.parent_turn for r in rows if r.turn == 3] == [1, 1]
+
+
 # --- decontamination -------------------------------------------------------------------------------------------------
 
 

@@ -231,8 +231,9 @@ def _answers(part: pa.RecordBatch, graph: tuple, k: int) -> Iterator[pa.RecordBa
         exact = np.where(found >= 0, np.sqrt(exact), np.inf)
         out: list[tuple[int, int, float]] = []
         for r in range(len(queries)):
-            order = np.argsort(exact[r], kind="stable")[: k + 1]
-            order = order[np.isfinite(exact[r][order])]
+            # all that tie with the (k + 1)-th: ids decide among them
+            last = np.sort(exact[r])[: k + 1][-1]
+            order = np.flatnonzero((exact[r] <= last) & np.isfinite(exact[r]))
             own = [(float(exact[r][j]), int(v)) for j in order for v in flat[offsets[found[r][j]] : offsets[found[r][j] + 1]] if v != qid[r]]
             out += [(int(qid[r]), v, d) for d, v in sorted(own)[:k]]
         cols = list(zip(*out, strict=True)) or [(), (), ()]

@@ -362,6 +362,21 @@ def test_nearest_defined_cases(spark):
     assert [(r.query_id, r.vec_id, r.score) for r in ann.search(ann.build_index(few).df, few.where("vec_id = 0")).collect()] == [(0, 1, 1.0)]
 
 
+def test_ties_at_the_cut_go_to_smaller_ids(spark):
+    """Binary vectors, of which more than k + 1 that are found lie at one distance."""
+    rng = np.random.default_rng(3)
+    rows = np.unique(rng.integers(0, 2, (60, 12)), axis=0)
+    rows = rng.permutation(rows[rows.any(1)])
+    df = spark.createDataFrame([(i, [float(y) for y in x]) for i, x in enumerate(rows)], "vec_id bigint, embedding array<float>")
+    got = collections.defaultdict(list)
+    for r in ann.search(ann.build_index(df).df, df).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    for i, x in enumerate(rows):
+        d = ((rows - x) ** 2).sum(1)
+        assert got[i] == sorted((j for j in range(len(rows)) if j != i), key=lambda j: (d[j], j))[:10]
+
+
+
 # --- chats -----------------------------------------------------------------------------------------------------------
 
 

@@ -1,13 +1,13 @@
 """URL filters: host and path rules, then logistic regression on hashed character n-grams of host and path.
 
 Everything is DataFrame functions: parsing, rules, n-grams, training and scoring. The model is trained from a small labelled
-table (at most MAX_LABELLED rows; more are refused) by gradient descent inside one expression: labelled rows and their active
+table (of a larger one the MAX_LABELLED rows that a hash of the url puts first) by gradient descent inside one expression: labelled rows and their active
 slots become one row of arrays, and a fold over the epochs updates the weights. The weights (DIMS numbers at most) come to
 the driver once and go into the scoring expression as a constant; scoring is one pass without a shuffle.
 
 Defined cases: null urls and urls without :// have an empty host and path, no rule, and the verdict of the model's bias;
 null ids are kept; repeated rows are judged alike; other columns are ignored; labelled rows with a null url or label teach
-nothing, and without both labels the model allows all.
+nothing, and without both labels the model allows all; of a url's labels the smallest counts.
 """
 
 from __future__ import annotations
@@ -94,10 +94,8 @@ def train(labelled: DataFrame) -> tuple[list[float], float]:
     host, path = parts(F.col("url"))
     rows = labelled.where("url IS NOT NULL AND label IN (0, 1)").select("url", "label", host.alias("host"), path.alias("path"))
     rows = rows.groupBy("url").agg(F.min("label").cast("double").alias("y"), F.first("host").alias("host"), F.first("path").alias("path"))
-    rows = rows.limit(MAX_LABELLED + 1).withColumn("idx", slots("host", "path"))
+    rows = rows.orderBy(F.xxhash64("url"), "url").limit(MAX_LABELLED).withColumn("idx", slots("host", "path"))
     seen = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("up")).first()
-    if seen.n > MAX_LABELLED:
-        raise ValueError(f"more than {MAX_LABELLED} labelled urls")
     if not seen.n or seen.up in (0.0, float(seen.n)):
         return [0.0] * DIMS, -1.0
     # one row of arrays: its size is bounded by the labelled table's
@@ -115,7 +113,7 @@ def train(labelled: DataFrame) -> tuple[list[float], float]:
 
 
 def judge(pages: DataFrame, model: tuple[list[float], float], rules=RULES, threshold: float = 0.5) -> DataFrame:
-    """(page_id, host, path, rule, score, verdict) for every row; the rule's verdict where one fits, else the model's."""
+    """(page_id, host, path, rule, verdict, score) for every row; the rule's verdict where one fits, else the model's."""
     weights, bias = model
     host, path = parts(F.col("url"))
     rows = pages.select(F.col("page_id"), host.alias("host"), path.alias("path"))
@@ -126,4 +124,4 @@ def judge(pages: DataFrame, model: tuple[list[float], float], rules=RULES, thres
     rule = best_rule(F.col("host"), F.col("path"), rules)
     out = rows.select("page_id", "host", "path", rule.alias("__rule"), score.alias("score"))
     verdict = F.coalesce(F.col("__rule.verdict"), F.when(F.col("score") >= threshold, F.lit("block")).otherwise(F.lit("allow")))
-    return out.select("page_id", "host", "path", F.col("__rule.rule").alias("rule"), "score", verdict.alias("verdict"))
+    return out.select("page_id", "host", "path", F.col("__rule.rule").alias("rule"), verdict.alias("verdict"), "score")

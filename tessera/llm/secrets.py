@@ -2,7 +2,8 @@
 
 Every version of a text is content-addressed by SHA-256. The ledger is a Parquet table of (blob, rule_version) pairs with
 their findings; a scan reads only blobs of which the ledger has no row for the current rules, and joins findings back to
-all paths (documents) that hold the blob.
+all paths (a document, or a document and a version of it) that hold the blob. The version of the rules is a hash of the kinds and
+their patterns, so changed rules scan anew and nothing else does.
 
 Scale: one shuffle of the distinct texts, combined map-side first, so a blob that a third of all rows hold leaves each map
 task once. The join back to paths has one row per blob on one side, and only blobs with findings; AQE splits a hot blob.
@@ -24,7 +25,6 @@ from tessera.llm.common import batches_of, exists, modest, remove, shared_dir
 
 #: The kinds in the order in which spans of one start are listed: the base kinds first, then those the rule set adds.
 KINDS = ("assign", "access", "hex", "pem", "github", "slack", "jwt")
-RULE_VERSION = 1
 #: Findings that redaction may broadcast, and what a row takes besides its texts.
 BROADCAST_BYTES, ROW_BYTES = 24_000_000, 64
 
@@ -38,6 +38,8 @@ _MORE = (
     ("slack", "xox", re.compile(r"xox[abprs]-[A-Za-z0-9-]{10,}")),
     ("jwt", "eyJ", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
 )
+#: What the rules are, told from their own definition.
+RULE_VERSION = hashlib.sha256(repr([KINDS, *((p.pattern, p.flags) for p in (_ASSIGN, _ACCESS, _HEX, *(m[2] for m in _MORE)))]).encode()).hexdigest()[:16]
 
 
 def find_spans(text: str) -> list[tuple[int, int, str]]:
@@ -91,7 +93,7 @@ def blob_of(text: Column) -> Column:
 class BlobLedger:
     """A Parquet table of scanned (blob, rule_version) pairs, partitioned by rule version, in a folder that all executors share."""
 
-    def __init__(self, spark, path: str | None = None, rule_version: int = RULE_VERSION):
+    def __init__(self, spark, path: str | None = None, rule_version: str = RULE_VERSION):
         import uuid
 
         self.spark, self.rule_version = spark, rule_version
@@ -105,15 +107,14 @@ class BlobLedger:
         """What has been scanned under these rules: one row per blob; None before the first scan."""
         return self.spark.read.schema(_LEDGER_DDL).parquet(self._part) if exists(self.spark, self._part) else None
 
-    def scan(self, docs: DataFrame) -> int:
-        """Scan the blobs of ``docs`` that have no row yet and append their findings; returns nothing of the texts."""
+    def scan(self, docs: DataFrame) -> None:
+        """Scan the blobs of ``docs`` that have no row yet and append their findings; nothing of the texts is kept."""
         modest(self.spark)
         blobs = docs.select(blob_of(_text(docs)).alias("blob"), _text(docs).alias("text")).dropDuplicates(["blob"])
         seen = self.rows()
         if seen is not None:
             blobs = blobs.join(seen.select("blob"), "blob", "left_anti")
         blobs.mapInArrow(scan_batches, _LEDGER_DDL).write.mode("append").parquet(self._part)
-        return self.rule_version
 
     def findings(self) -> DataFrame:
         """The blobs with at least one span."""
@@ -123,13 +124,16 @@ class BlobLedger:
         remove(self.spark, self.path)
 
 
-def secret_findings(docs: DataFrame, ledger: BlobLedger) -> DataFrame:
-    """(doc_id, blob, n_assign, n_access, n_hex, base_sha256, spans) for every row of ``docs``; scans what the ledger lacks."""
+def secret_findings(docs: DataFrame, ledger: BlobLedger, paths: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, blob) for every row of ``docs``; scans what the ledger lacks.
+
+    ``paths``: the columns that name a row, such as doc_id and version for a table of all versions of the documents.
+    """
     ledger.scan(docs)
-    paths = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), blob_of(_text(docs)).alias("blob"))
-    out = paths.join(ledger.findings(), "blob", "left")
+    named = [docs[c].cast("bigint").alias(c) if c == "doc_id" else docs[c] for c in paths]
+    out = docs.select(*named, blob_of(_text(docs)).alias("__blob")).join(ledger.findings().withColumnRenamed("blob", "__blob"), "__blob", "left")
     counts = [F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in ("n_assign", "n_access", "n_hex")]
-    return out.select("doc_id", "blob", *counts, F.coalesce("base_sha256", F.lit(_EMPTY_SHA)).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"))
+    return out.select(*paths, *counts, F.coalesce("base_sha256", F.lit(_EMPTY_SHA)).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"), F.col("__blob").alias("blob"))
 
 
 #: Merge overlapping spans, then rebuild the text from what lies between them.

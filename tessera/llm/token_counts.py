@@ -1,29 +1,34 @@
 """Token counts with edit-aware segment trees.
 
 A document's pre-tokens are grouped into leaves that end where no pre-token can cross: before a blank that stands between two
-characters that are no white space. So a leaf's tokens do not depend on other leaves, and a tree of sums over the leaves gives
-the count of the document and of any range. An edit touches the leaves that it overlaps; they are cut anew, together with
-the neighbour whose boundary context the edit may have changed, encoded again, and the sums on the path to the root change. All
-other leaves keep their counts.
+characters that are no white space, or between a letter and a sign. So a leaf's tokens do not depend on other leaves, and a tree
+of sums over the leaves gives the count of the document and of any range. An edit touches the leaves that it overlaps; they are
+cut anew, together with the neighbour whose boundary context the edit may have changed, encoded again, and the sums on the path to
+the root change. All other leaves keep their counts.
+
+Trees are kept: ``build_trees`` writes each text with its leaves, ``apply_edits`` takes such a table and edits and gives the next
+one, encoding only the leaves that the edits touch. The sums over the leaves are cheaper laid out anew than read, so the table
+holds the leaves alone.
 
 The vocabulary is a public byte-level BPE file; its path is a parameter. Texts are counted whole, one at a time, without a
-shuffle; a tree takes 16 bytes for each LEAF characters.
+shuffle; a tree takes 16 bytes for each LEAF characters. A run of letters without any sign or blank is one leaf, however long.
 
 Defined cases: null text counts as empty (0 tokens, one empty leaf); null ids are kept; edits beyond the end are clipped,
-null edits skipped; repeated rows are counted alike; other columns are ignored.
+null edits skipped; repeated rows are counted alike, and an edit of their id is applied to each; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batches_of, modest
+from tessera.llm.common import Saved, batches_of, modest
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern of the vocabulary (fixed value).
@@ -40,28 +45,27 @@ def encoder(path: str = VOCABULARY):
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+#: Where a leaf may end: before a blank between words, or after a letter or digit that a sign of ASCII or of East Asian scripts follows.
+_END = re.compile(r"(?<=\S)(?= \S)|(?<=[^\W_])(?=[!-/:-@\[-`{-~\u2010-\u2027\u3001-\u3003\u3008-\u3011\uff01-\uff0f\uff1a-\uff20])")
+
+
 def cuts(text: str, start: int, end: int, size: int = LEAF) -> list[int]:
     """Places in text[start:end] where a leaf may end, at least ``size`` apart; start and end are leaf boundaries themselves."""
     out, at = [], start + size
-    while at < end:
-        i = text.find(" ", at, end - 1)
-        if i < 0:
-            break
-        if i > start and not text[i - 1].isspace() and not text[i + 1].isspace():
-            out.append(i)
-            at = i + size
-        else:
-            at = i + 1
+    while at < end and (m := _END.search(text, at, end)) and m.start() < end:
+        out.append(m.start())
+        at = m.start() + size
     return out
 
 
 class TokenTree:
     """Leaves of a document with their lengths and token counts, under a tree of sums (Fenwick layout)."""
 
-    def __init__(self, text: str, encode, size: int = LEAF):
+    def __init__(self, text: str, encode, size: int = LEAF, leaves: tuple[list[int], list[int]] | None = None):
+        """``leaves``: the lengths and counts of a tree that has been kept; without them the text is encoded."""
         self.text, self.encode, self.size = text, encode, size
         self.encoded = 0
-        self._build(*self._leaves(0, len(text)))
+        self._build(*(leaves or self._leaves(0, len(text))))
 
     def _leaves(self, start: int, end: int) -> tuple[list[int], list[int]]:
         edges = [start, *cuts(self.text, start, end, self.size), end]
@@ -132,31 +136,71 @@ class TokenTree:
             self._build(self.lengths[:first] + lengths + self.lengths[last + 1 :], self.counts[:first] + counts + self.counts[last + 1 :])
 
 
-def _counter(path: str):
+_EDITS = "array<struct<start:int,remove:int,insert:string>>"
+_LEAVES = "lengths array<int>, counts array<int>"
+
+
+def _builder(path: str, others: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(path).encode_ordinary
+        for b in batches_of(batches):
+            trees = [TokenTree(t.as_py() or "", encode) for t in b.column("text")]
+            own = [pa.array(v, pa.list_(pa.int32())) for v in ([t.lengths for t in trees], [t.counts for t in trees])]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in others), *own], [*others, "lengths", "counts"])
+
+    return run
+
+
+def build_trees(docs: DataFrame, edits=None, vocabulary: str = VOCABULARY) -> Saved:
+    """The written trees (doc_id, text, edits, lengths, counts) of all texts; ``edits``: a column to keep beside them, or None."""
+    modest(docs.sparkSession)
+    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"), (edits if edits is not None else F.lit(None)).cast(_EDITS).alias("edits"))
+    return Saved(rows.mapInArrow(_builder(vocabulary, rows.columns), f"doc_id bigint, text string, edits {_EDITS}, {_LEAVES}"), "trees")
+
+
+def with_edits(trees: DataFrame, edits: DataFrame) -> DataFrame:
+    """``trees`` with the rows of ``edits`` (doc_id, seq, start, remove, insert) as their column, by seq; ids without any have none."""
+    rows = edits.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.array_sort(F.collect_list(F.struct("seq", "start", "remove", "insert"))).alias("__e"))
+    asked = rows.select("doc_id", F.transform("__e", lambda e: e.dropFields("seq")).cast(_EDITS).alias("edits"))
+    return trees.drop("edits").join(asked, "doc_id", "left").select("doc_id", "text", "edits", "lengths", "counts")
+
+
+def _editor(path: str, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode_ordinary
         for b in batches_of(batches):
-            rows: tuple[list, ...] = ([], [], [], [], [])
-            for text, edits in zip(b.column("text"), b.column("edits"), strict=True):
-                tree = TokenTree(text.as_py() or "", encode)
-                before, leaves = tree.total(), len(tree.counts)
-                tree.encoded = 0
-                for e in edits.as_py() or ():
-                    if e and e["start"] is not None:
-                        tree.edit(e["start"], e["remove"] or 0, e["insert"] or "")
-                for out, v in zip(rows, (before, leaves, tree.total(), tree.encoded, len(tree.text)), strict=True):
+            numbers: tuple[list, ...] = ([], [], [], [], [])
+            texts, lengths, counts = [], [], []
+            for text, edits, *leaves in zip(b.column("text"), b.column("edits"), b.column("lengths"), b.column("counts"), strict=True):
+                tree = TokenTree(text.as_py() or "", encode, leaves=tuple(x.as_py() for x in leaves))
+                before, n = tree.total(), len(tree.counts)
+                asked = [e for e in edits.as_py() or () if e and e["start"] is not None]
+                for e in asked:
+                    tree.edit(e["start"], e["remove"] or 0, e["insert"] or "")
+                for out, v in zip(numbers, (before, n, tree.total(), tree.encoded, len(tree.text)), strict=True):
                     out.append(v)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(r, pa.int64()) for r in rows)], ["doc_id", "n_tokens", "n_leaves", "n_tokens_edited", "n_reencoded", "n_chars_edited"])
+                if whole:
+                    texts.append(tree.text if asked else text.as_py())
+                    lengths.append(tree.lengths)
+                    counts.append(tree.counts)
+            more = [pa.array(texts, pa.string()), pa.array(lengths, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))] if whole else []
+            names = ["doc_id", "n_tokens", "n_leaves", "n_tokens_edited", "n_reencoded", "n_chars_edited", "text", "lengths", "counts"]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(v, pa.int64()) for v in numbers), *more], names[: 6 + len(more)])
 
     return run
 
 
+def apply_edits(trees: DataFrame, vocabulary: str = VOCABULARY, whole: bool = True) -> DataFrame:
+    """(doc_id, n_tokens, n_leaves, n_tokens_edited, n_reencoded, n_chars_edited) of trees and their edits and, if ``whole``, the new trees' columns."""
+    modest(trees.sparkSession)
+    out = "doc_id bigint, n_tokens bigint, n_leaves bigint, n_tokens_edited bigint, n_reencoded bigint, n_chars_edited bigint"
+    return trees.select("doc_id", "text", "edits", "lengths", "counts").mapInArrow(_editor(vocabulary, whole), out + (f", text string, {_LEAVES}" if whole else ""))
+
+
 def count_tokens(docs: DataFrame, edits=None, vocabulary: str = VOCABULARY) -> DataFrame:
     """Tokens of every whole text before and after its edits, and how many leaves the edits had to encode again.
 
     ``edits``: a column of array<struct<start int, remove int, insert string>> in code points, applied in order; None for none.
+    The trees are written first, and the edits are applied to what was written.
     """
-    modest(docs.sparkSession)
-    kind = "array<struct<start:int,remove:int,insert:string>>"
-    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.col("text"), (edits if edits is not None else F.lit(None)).cast(kind).alias("edits"))
-    return rows.mapInArrow(_counter(vocabulary), "doc_id bigint, n_tokens bigint, n_leaves bigint, n_tokens_edited bigint, n_reencoded bigint, n_chars_edited bigint")
+    return apply_edits(build_trees(docs, edits, vocabulary).df, vocabulary, whole=False)

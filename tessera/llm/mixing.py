@@ -14,7 +14,8 @@ after their size has been summed; the copies are shuffled once, by ranges of a h
 of documents beyond TABLE_RATE (rows wanted / TABLE_RATE documents at most) are made in blocks that are dealt out to all tasks.
 
 Defined cases: a null source is a source of its own; a null id hashes as the text 'null'; repeated rows are replicated alike;
-a source without a weight gets none of the mix; an empty table gives an empty mix; other columns come along.
+a source without a weight gets none of the mix; an empty table gives an empty mix; other columns come along, and those that are
+named copy or shuffle_key, in any case, get underscores behind their names until these are free.
 """
 
 from __future__ import annotations
@@ -58,9 +59,10 @@ aggregate(sequence(bigint(floor(__rate - 12 * sqrt(__rate))), bigint(ceil(__rate
   a -> a.n)""".format(c="a.c + exp(k * (log1p((a.rate - k) / k) - (a.rate - k) / k) - ln(2 * pi() * k) / 2 - 1D / (12D * k) + 1D / (360D * k * k * k))")
 
 
-def rates(docs: DataFrame, weights: dict[str, float] | None = None, rows: int | None = None, group: str = "source") -> DataFrame:
-    """(source, rate, cdf): the mean copies a document of each source needs; no cdf where it is 0 or beyond TABLE_RATE. ``weights`` None: all sources alike; ``rows`` None: as many as there are."""
-    counts = Saved(docs.groupBy(F.coalesce(F.col(group).cast("string"), F.lit(_NONE)).alias("__source")).agg(F.count(F.lit(1)).alias("n")), "sources").df
+def rates(docs: DataFrame, weights: dict[str, float] | None = None, rows: int | None = None, group: str = "source") -> Saved:
+    """(source, rate, cdf), written: the mean copies a document of each source needs; no cdf where it is 0 or beyond TABLE_RATE. ``weights`` None: all sources alike; ``rows`` None: as many as there are."""
+    sources_ = Saved(docs.groupBy(F.coalesce(F.col(group).cast("string"), F.lit(_NONE)).alias("__source")).agg(F.count(F.lit(1)).alias("n")), "sources")
+    counts = sources_.df
     row = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("sources")).first()
     want, sources = float(rows if rows is not None else row.total or 0), max(1, row.sources)
     if weights is None:
@@ -74,13 +76,23 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, rows: int |
     terms = F.expr(_CDF)
     cdf = F.expr("aggregate(terms, named_struct('s', 0D, 'out', cast(array() AS array<double>)), (a, x) -> named_struct('s', a.s + x, 'out', concat(a.out, array(a.s + x)))).out")
     tabled = (F.col("rate") > 0) & (F.col("rate") <= TABLE_RATE)
-    return out.withColumn("terms", F.when(tabled, terms)).withColumn("cdf", F.when(tabled, cdf)).select("__source", "rate", "cdf")
+    done = Saved(out.withColumn("terms", F.when(tabled, terms)).withColumn("cdf", F.when(tabled, cdf)).select("__source", "rate", "cdf"), "rates")
+    sources_.drop()
+    return done
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, rows: int | None = None, seed: int = 42, group: str = "source", ordered: bool = True) -> DataFrame:
     """Every row of ``docs`` as often as its Poisson count says, with ``copy`` (from 1) and ``shuffle_key``, in the order of the key."""
+    taken = {c.lower() for c in docs.columns}
+    for c in docs.columns:
+        if c.lower() in ("copy", "shuffle_key"):
+            name = c + "_"
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+            docs, group = docs.withColumnRenamed(c, name), name if group == c else group
     source = F.coalesce(F.col(group).cast("string"), F.lit(_NONE))
-    rate = Saved(rates(docs, weights, rows, group).select("__source", F.col("rate").alias("__rate"), F.col("cdf").alias("__cdf")), "rates").df
+    rate = rates(docs, weights, rows, group).df.select("__source", F.col("rate").alias("__rate"), F.col("cdf").alias("__cdf"))
     found = rate.agg(F.sum(F.lit(4) + F.coalesce(F.size("__cdf"), F.lit(0))).alias("size"), F.max("__rate").alias("rate")).first()
     # beyond that the join shuffles, and AQE splits hot sources
     joined = docs.withColumn("__source", source).join(F.broadcast(rate) if (found.size or 0) <= MAX_NUMBERS else rate, "__source").withColumn("__u", uniform(seed, F.col("doc_id")))

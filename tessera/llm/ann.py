@@ -5,16 +5,18 @@ neighbours for a batch of nodes at a time, relaxed distance pruning (factor ALPH
 added and pruned alike. Queries are beam searches (width BEAM) in every shard; the best of all shards are merged, and their
 distances are computed in double precision on the original vectors.
 
-Copies of one vector are one node. A node keeps its COPIES smallest ids, which is all that a result of k <= COPIES - 1 can
-need, so a vector that a third of all rows share is one node and not a bucket.
+Copies of one vector are one node. A node keeps its k + 1 smallest ids, which is all that a result of k can need, so a vector
+that a third of all rows share is one node and not a bucket.
 
-Scale: shards have about SHARD nodes, whatever the input; a shard is built by one task in bounded memory and the graph is
-written to the shared folder. For searching, the nodes of a shard come first in a task and queries stream by in batches; a
-query sends k rows a shard to the merge, never more.
+Scale: a shard has SHARD nodes or, beyond SHARD * TASKS vectors, as many as make TASKS shards, but never more than MEMORY bytes;
+it is built by one task, and the graph is written to the shared folder. For searching, the nodes of a shard come first in a
+task and queries stream by in batches; a query sends k rows a shard to the merge, never more. The driver sees one number.
 
 Defined cases: vectors null, zero, or holding null or non-finite components, and rows with a null id, take no part; vectors are
-compared only with those of the same number of components; of repeated ids the rows are candidates of their own; with fewer than
-k candidates all are returned; other columns are ignored.
+compared only with those of the same number of components, in single precision on the way if they are given so and their
+squares fit, else in double;
+with fewer than k candidates all are returned; other columns are ignored. A query leaves out one row of its own id and vector:
+itself. Further rows of its id, or equal rows, are candidates like any other, and a repeated query gives its result again.
 """
 
 from __future__ import annotations
@@ -25,19 +27,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.llm.common import Saved
+from tessera.llm.common import Saved, by_ids
 
-SHARD = 8192
+SHARD, TASKS, MEMORY = 8192, 4096, 256_000_000
 DEGREE, BEAM, BUILD_BEAM, ALPHA = 32, 128, 48, 1.2
-COPIES = 11
 BATCH = 256
 
 
 def _distances(x: np.ndarray, to: np.ndarray) -> np.ndarray:
-    """Squared distances from each row of ``to`` (b, d) to each of x (b, n, d)."""
-    diff = x - to[:, None, :]
-    return np.einsum("bnd,bnd->bn", diff, diff)
+    """Squared distances from each row of ``to`` (b, d) to each of x (b, n, d); what overflows is merely very far."""
+    with np.errstate(over="ignore"):
+        diff = x - to[:, None, :]
+        return np.minimum(np.einsum("bnd,bnd->bn", diff, diff), np.finfo(x.dtype).max)
 
 
 def beam_search(vectors: np.ndarray, edges: np.ndarray, entry: np.ndarray, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,7 +50,7 @@ def beam_search(vectors: np.ndarray, edges: np.ndarray, entry: np.ndarray, queri
     """
     n, b = len(vectors), len(queries)
     ids = np.full((b, beam), -1, np.int64)
-    dist = np.full((b, beam), np.inf, np.float32)
+    dist = np.full((b, beam), np.inf, vectors.dtype)
     m = min(beam, len(entry))
     d0 = _distances(np.broadcast_to(vectors[entry[:m]], (b, m, vectors.shape[1])), queries)
     order = np.argsort(d0, axis=1, kind="stable")
@@ -69,7 +72,7 @@ def beam_search(vectors: np.ndarray, edges: np.ndarray, entry: np.ndarray, queri
         safe = np.where(fresh, near, 0)
         fresh &= ~seen[live[:, None], safe]
         seen[np.broadcast_to(live[:, None], near.shape)[fresh], near[fresh]] = True
-        d = np.where(fresh, _distances(vectors[safe], queries[live]), np.inf).astype(np.float32)
+        d = np.where(fresh, _distances(vectors[safe], queries[live]), np.inf).astype(vectors.dtype)
         all_d = np.concatenate((dist[live], d), 1)
         all_i = np.concatenate((ids[live], np.where(fresh, near, -1)), 1)
         all_done = np.concatenate((done[live], np.zeros(near.shape, bool)), 1)
@@ -152,7 +155,13 @@ def build_graph(vectors: np.ndarray, seed: int = 11) -> tuple[np.ndarray, np.nda
     return edges, entry
 
 
-_NODES = "shard int, node int, vector array<float>, ids array<bigint>, edges array<int>, entry boolean"
+_FIELDS = "shard int, node int, vector array<{}>, ids array<bigint>, edges array<int>, entry boolean"
+
+
+def _working(vectors: np.ndarray) -> np.ndarray:
+    """The vectors as they are searched: in double precision where squares in single precision could vanish or overflow."""
+    most = float(np.abs(vectors).max()) if vectors.size else 1.0
+    return np.ascontiguousarray(vectors, dtype=vectors.dtype if 1e-12 < most < 1e15 else np.float64)
 
 
 def _rows(column: pa.Array, width: int | None = None) -> np.ndarray:
@@ -163,7 +172,7 @@ def _rows(column: pa.Array, width: int | None = None) -> np.ndarray:
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by shard, dimensions included in the shard; each is built when it is complete."""
     for shard, table in _by_shard(batches):
-        vectors = np.ascontiguousarray(_rows(table.column("vector").combine_chunks()), dtype=np.float32)
+        vectors = _working(_rows(table.column("vector").combine_chunks()))
         edges, entry = build_graph(vectors)
         is_entry = np.zeros(len(vectors), bool)
         is_entry[entry] = True
@@ -213,84 +222,109 @@ def _search(k: int):
                     continue
                 if graph is None:
                     t = pa.Table.from_batches(nodes).combine_chunks()
-                    original = np.ascontiguousarray(_rows(t.column("vector").combine_chunks()), dtype=np.float32)
-                    graph = (original, _rows(t.column("edges").combine_chunks(), DEGREE).astype(np.int64), np.flatnonzero(t.column("entry").to_numpy(zero_copy_only=False)), t.column("ids").combine_chunks())
+                    graph = (_rows(t.column("vector").combine_chunks()), _rows(t.column("edges").combine_chunks(), DEGREE).astype(np.int64), np.flatnonzero(t.column("entry").to_numpy(zero_copy_only=False)), t.column("ids").combine_chunks())
                 yield from _answers(part, graph, k)
 
     return run
 
 
+def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of b (r, d) to a (r, n, d) in double precision."""
+    with np.errstate(over="ignore", under="ignore"):
+        diff = a.astype(np.float64) - b[:, None, :].astype(np.float64)
+        out = np.sqrt((diff**2).sum(2))
+        odd = ~np.isfinite(out) | (out == 0)  # the squares may have overflowed or vanished
+        if odd.any():
+            most = np.abs(diff[odd]).max(1)
+            out[odd] = np.where(most > 0, most * np.sqrt(((diff[odd] / np.where(most > 0, most, 1)[:, None]) ** 2).sum(1)), 0.0)
+    return np.minimum(out, np.finfo(np.float64).max)
+
+
 def _answers(part: pa.RecordBatch, graph: tuple, k: int) -> Iterator[pa.RecordBatch]:
     vectors, edges, entry, ids = graph
+    near = _working(vectors)
     offsets, flat = ids.offsets.to_numpy() - ids.offsets[0].as_py(), ids.flatten().to_numpy()
-    all_queries, q_ids = _rows(part.column("vector")), part.column("ids").flatten().to_numpy()
+    all_queries, asked = _rows(part.column("vector")), _rows(part.column("ids"), 3)
     for i in range(0, len(all_queries), BATCH):
-        queries, qid = all_queries[i : i + BATCH], q_ids[i : i + BATCH]
-        found, _ = beam_search(vectors, edges, entry, np.ascontiguousarray(queries, np.float32), max(BEAM, k + 1))
-        exact = ((vectors[np.maximum(found, 0)].astype(np.float64) - queries[:, None, :].astype(np.float64)) ** 2).sum(2)
-        exact = np.where(found >= 0, np.sqrt(exact), np.inf)
-        out: list[tuple[int, int, float]] = []
-        for r in range(len(queries)):
+        queries = all_queries[i : i + BATCH]
+        kind = np.result_type(near, _working(queries))
+        found, _ = beam_search(near.astype(kind, copy=False), edges, entry, np.ascontiguousarray(queries, kind), max(BEAM, k + 1))
+        exact = np.where(found >= 0, _exact(vectors[np.maximum(found, 0)], queries), np.inf)
+        out: list[tuple] = []
+        for r, (qid, row, times) in enumerate(asked[i : i + BATCH].tolist()):
             # all that tie with the (k + 1)-th: ids decide among them
             last = np.sort(exact[r])[: k + 1][-1]
             order = np.flatnonzero((exact[r] <= last) & np.isfinite(exact[r]))
-            own = [(float(exact[r][j]), int(v)) for j in order for v in flat[offsets[found[r][j]] : offsets[found[r][j] + 1]] if v != qid[r]]
-            out += [(int(qid[r]), v, d) for d, v in sorted(own)[:k]]
-        cols = list(zip(*out, strict=True)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())], ["query_id", "vec_id", "score"])
+            hits = [(float(exact[r][j]), int(v)) for j in order for v in flat[offsets[found[r][j]] : offsets[found[r][j] + 1]]]
+            if (0.0, qid) in hits:
+                hits.remove((0.0, qid))
+            out += [(qid, row, times, v, d) for d, v in sorted(hits)[:k]]
+        cols = list(zip(*out, strict=True)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.float64())], ["query_id", "row", "times", "vec_id", "score"])
+
+
+def _wide(vectors: DataFrame) -> str:
+    """The type of the components: float if they are given so, else double."""
+    kind = vectors.schema["embedding"].dataType
+    return "float" if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else "double"
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
     """(vec_id, vector): rows that take part."""
-    v = F.col("embedding").cast("array<float>")
+    wide = _wide(embeddings)
+    v = F.col("embedding").cast(f"array<{wide}>")
     rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), v.alias("vector")).where("vec_id IS NOT NULL AND vector IS NOT NULL")
-    finite = "forall(vector, x -> coalesce(NOT isnan(x) AND abs(x) < float('infinity'), false))"
+    finite = "forall(vector, x -> coalesce(NOT isnan(x) AND abs(x) < double('infinity'), false))"
     # -0.0 and 0.0 are one value
-    return rows.where(F.expr(f"{finite} AND exists(vector, x -> x <> 0)")).withColumn("vector", F.expr("transform(vector, x -> x + float(0))"))
+    return rows.where(F.expr(f"{finite} AND exists(vector, x -> x <> 0)")).withColumn("vector", F.expr(f"transform(vector, x -> x + {wide}(0))"))
+
+
+class Index:
+    """The written graph of all usable vectors: ``df`` (shard, node, vector, ids, edges, entry) and ``layout`` (dims, base, parts)."""
+
+    def __init__(self, graph: Saved, layout: Saved, shards: int, k: int, wide: str):
+        self.graph, self.layout, self.shards, self.k, self.wide, self.df = graph, layout, shards, k, wide, graph.df
+
+    def drop(self) -> None:
+        self.graph.drop()
+        self.layout.drop()
 
 
-def build_index(embeddings: DataFrame, shard: int = SHARD) -> Saved:
-    """The written graph of all usable vectors: (shard, node, vector, ids, edges, entry)."""
+def build_index(embeddings: DataFrame, shard: int = SHARD, k: int = 10) -> Index:
+    """The graph, for results of ``k`` at most; ``shard`` is the least size of a shard."""
+    wide = _wide(embeddings)
     rows = usable(embeddings)
     # the smallest ids of each distinct vector; the limit is applied before rows are dealt out
     rank = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
-    few = rows.withColumn("rank", rank).where(F.col("rank") <= COPIES)
-    distinct = Saved(few.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "vectors")
-    n = distinct.df.groupBy(F.size("vector").alias("dims")).count().collect()  # one row a dimension
-    base, cases = 0, None
-    for r in sorted(n, key=lambda r: r.dims):
-        parts = max(1, -(-r["count"] // shard))
-        number = (F.pmod(F.xxhash64(F.element_at("ids", 1)), F.lit(parts)) + base).cast("int")
-        cases = F.when(F.size("vector") == r.dims, number) if cases is None else cases.when(F.size("vector") == r.dims, number)
-        base += parts
-    if cases is None:
-        distinct.drop()
-        return Saved(embeddings.sparkSession.createDataFrame([], _NODES), "graph")
+    few = rows.withColumn("rank", rank).where(F.col("rank") <= k + 1)
+    distinct = Saved(few.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.size("vector").alias("dims")), "vectors")
+    sizes = distinct.df.groupBy("dims").agg(F.count(F.lit(1)).alias("n"))
+    most = F.floor(F.lit(MEMORY) / (F.col("dims") * (4 if wide == "float" else 8) + DEGREE * 8))
+    parts = sizes.withColumn("parts", F.ceil(F.col("n") / F.greatest(F.lit(1), F.least(most, F.greatest(F.lit(shard), F.ceil(F.col("n") / TASKS))))))
+    # one row a number of components
+    before = F.coalesce(F.sum("parts").over(Window.orderBy("dims").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    layout = Saved(parts.select("dims", before.alias("base"), "parts"), "layout")
+    shards = layout.df.agg(F.sum("parts")).first()[0] or 0
+    number = (F.pmod(F.xxhash64(F.element_at("ids", 1)), F.col("parts")) + F.col("base")).cast("int")
     # shards are numbered from 0, so ranges of the number deal them out evenly
-    dealt = distinct.df.select(cases.alias("shard"), "vector", "ids").repartitionByRange(max(1, base), "shard").sortWithinPartitions("shard", F.element_at("ids", 1))
-    graph = Saved(dealt.mapInArrow(_build, _NODES), "graph")
+    dealt = by_ids(distinct.df, layout.df, "dims", "inner").select(number.alias("shard"), "vector", "ids").repartitionByRange(max(1, shards), "shard")
+    graph = Saved(dealt.sortWithinPartitions("shard", F.element_at("ids", 1)).mapInArrow(_build, _FIELDS.format(wide)), "graph")
     distinct.drop()
-    return graph
+    return Index(graph, layout, shards, k, wide)
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
+def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each usable query (vec_id, embedding), itself left out."""
-    if k > COPIES - 1:
-        raise ValueError(f"k is {COPIES - 1} at most")
-    shards = index.groupBy("shard").agg(F.size(F.first("vector")).alias("dims")).collect()  # one row a shard
-    if not shards:
-        return index.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    by_dims: dict[int, list[int]] = {}
-    for r in shards:
-        by_dims.setdefault(r.dims, []).append(r.shard)
-    q = usable(queries)
-    targets = None
-    for dims, own in by_dims.items():
-        seq = F.sequence(F.lit(min(own)), F.lit(max(own)))  # shards of one dimension are numbered in a row
-        targets = F.when(F.size("vector") == dims, seq) if targets is None else targets.when(F.size("vector") == dims, seq)
-    asked = q.withColumn("shard", F.explode(targets)).select("shard", F.lit(1).alias("kind"), F.lit(0).alias("node"), "vector", F.array("vec_id").alias("ids"), F.lit(None).cast("array<int>").alias("edges"), F.lit(False).alias("entry"))
-    nodes = index.select("shard", F.lit(0).alias("kind"), "node", "vector", "ids", "edges", "entry")
-    both = nodes.unionByName(asked).repartitionByRange(len(shards), "shard").sortWithinPartitions("shard", "kind", "node")
-    found = both.select("shard", "kind", "vector", "ids", "edges", "entry").mapInArrow(_search(k), "query_id bigint, vec_id bigint, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    if k > index.k:
+        raise ValueError(f"the index is built for results of {index.k}")
+    wide = "float" if index.wide == _wide(queries) == "float" else "double"
+    vector = F.col("vector").cast(f"array<{wide}>").alias("vector")
+    q = usable(queries).groupBy("vec_id", "vector").agg(F.count(F.lit(1)).alias("times")).withColumn("dims", F.size("vector"))
+    own = F.array("vec_id", F.xxhash64("vector"), "times").alias("ids")
+    asked = by_ids(q, index.layout.df, "dims", "inner").select(F.explode(F.expr("sequence(int(base), int(base + parts - 1))")).alias("shard"), F.lit(1).alias("kind"), F.lit(0).alias("node"), vector, own, F.lit(None).cast("array<int>").alias("edges"), F.lit(False).alias("entry"))
+    nodes = index.df.select("shard", F.lit(0).alias("kind"), "node", vector, "ids", "edges", "entry")
+    both = nodes.unionByName(asked).repartitionByRange(max(1, index.shards), "shard").sortWithinPartitions("shard", "kind", "node")
+    found = both.select("shard", "kind", "vector", "ids", "edges", "entry").mapInArrow(_search(k), "query_id bigint, row bigint, times bigint, vec_id bigint, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id", "row").orderBy("score", "vec_id"))
+    best = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    return best.withColumn("again", F.explode(F.expr("sequence(1L, times)"))).select("query_id", "rank", "vec_id", "score")

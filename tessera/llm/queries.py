@@ -43,7 +43,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest rows of every vector whose id is divisible by 100, among all rows."""
     rows = table(spark, sf_dir, "embeddings")
-    return ann.search(ann.build_index(rows).df, rows.where(F.col("vec_id") % 100 == 0))
+    return ann.search(ann.build_index(rows), rows.where(F.col("vec_id") % 100 == 0))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,20 +1,24 @@
 """Toxicity: class-conditional Kneser-Ney models.
 
-A character model of order ORDER for each class, P_c(w | h) = max(c_c(hw) - D, 0) / c_c(h) + g_c(h) P(w | h'), backs off to
-one Kneser-Ney model of continuation counts that both classes share; so a rare expression is smoothed by what all texts
-say, and where neither class knows more than the shared model, the classes agree. The log ratio of a character is then a
-function of its n-gram (seen) or of its history (unseen): two lookups.
-
-A text's evidence is its length-normalised log ratio, and the same over its likeliest words; a logistic
-curve, fitted on sample texts that the counts have not seen, makes it a probability.
-
-Characters are lower-cased; whatever is no letter or digit separates words. The class counts and the curve are fitted on at
-most PER_CLASS labelled rows of either class (a documented bound). The shared model counts the continuations in all texts, labelled
-or not: each task hands on its distinct n-grams, which are counted on the cluster; only the counts of n-grams that the class counts
-hold come to the driver, so the model is as bounded as the sample. Scoring reads every whole text, without a shuffle.
-
-Defined cases: null and empty texts have no evidence and score as the curve does at zero; null ids are not held out and teach
-nothing; with labels of one class only (or none) every score is the smoothed share of label 1.
+A character model of order ORDER for each class, P_c(w | h) = max(c_c(hw) - D, 0) / c_c(h) + g_c(h) P(w | h'), with a discount D
+for counts of one, two and more each, backs off to one Kneser-Ney model of continuation counts that both classes share; so a
+rare expression is smoothed by what all texts say, and where neither class knows more than the shared model, the classes agree.
+The log ratio of a character is then a function of its n-gram (seen) or of its history (unseen): two lookups.
+
+A toxic text is an ordinary one but for what it says here and there. So the toxic likelihood of a word is that by the toxic model
+once in 1 / SHARE words and else that by the ordinary one, and the score compares the text's two log-likelihoods, each divided
+by its number of words: their difference, and nothing else, goes through a logistic curve (over its logarithm, counted from its
+least value) that is fitted on sample texts that the counts have not seen.
+
+Characters are lower-cased; whatever is no letter or digit separates words. The LETTERS commonest letters of the sample have
+symbols of their own, all others are dealt over the remaining symbols by code point. The class counts and the curve are fitted
+on at most PER_CLASS labelled rows of either class (a documented bound). The shared model counts the continuations in all texts,
+labelled or not: each task hands on its distinct n-grams, which are counted on the cluster; only the counts of n-grams that the
+class counts hold come to the driver, so the model is as bounded as the sample. Scoring reads every whole text, without a shuffle.
+
+Defined cases: null and empty texts have a difference of 0; null ids are not held out and teach nothing; where the curve's part of
+the sample lacks a class, counts and curve take all of it; with labels of one class only (or none) every score is the smoothed
+share of label 1; repeated rows are scored alike; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,28 +33,31 @@ from pyspark.sql import functions as F
 from tessera.llm.common import Saved, batches_of, labelled, modest, split_of
 
 ORDER = 5
-CALM = 5.0
+#: Bits of a symbol; letters with a symbol of their own.
+BITS, LETTERS = 12, 3072
 PER_CLASS = 3000
-TOP = (1, 3, 8)
-_OTHER = 255
+#: The share of a toxic text's words that speak by the toxic model.
+SHARE = 0.01
+#: One sample text in so many is for the curve.
+CURVE = 10
 
 
 def alphabet_table(letters: str) -> np.ndarray:
-    """Code point to symbol: 0 separates words, letters and digits seen in training have 1 to 254, others 255."""
-    out = np.zeros(0x110000, np.uint8)
-    place = {c: i + 1 for i, c in enumerate(letters[:254])}
+    """Code point to symbol: 0 separates words, the LETTERS first of ``letters`` come next, other letters and digits share the rest."""
+    out = np.zeros(0x110000, np.uint16)
+    place = {c: i + 1 for i, c in enumerate(letters[:LETTERS])}
     for cp in range(0x30000):
         c = chr(cp)
         if c.isalnum():
-            low = c.lower()
-            out[cp] = place.get(low, _OTHER) if len(low) == 1 else _OTHER
+            low = c.lower() if len(c.lower()) == 1 else c
+            out[cp] = place.get(low) or LETTERS + 1 + ord(low) % ((1 << BITS) - LETTERS - 1)
     return out
 
 
 def symbols(text: str, table: np.ndarray) -> np.ndarray:
     """The symbols of a text with one separator before, between and after words; empty without words."""
     s = table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
-    s = np.concatenate(([np.uint8(0)], s, [np.uint8(0)]))
+    s = np.concatenate((np.zeros(1, np.uint16), s, np.zeros(1, np.uint16)))
     keep = np.ones(len(s), bool)
     keep[1:] = (s[1:] != 0) | (s[:-1] != 0)
     s = s[keep]
@@ -64,7 +71,7 @@ def grams(s: np.ndarray, n: int) -> np.ndarray:
     k = np.zeros(m, np.uint64)
     for j in range(n):
         at = len(x) - m - n + 1 + j
-        k = (k << np.uint64(8)) | x[at : at + m]
+        k = (k << np.uint64(BITS)) | x[at : at + m]
     return k
 
 
@@ -99,27 +106,38 @@ class Slots:
 
 
 def _mask(n: int) -> int:
-    return (1 << (8 * n)) - 1
+    return (1 << (BITS * n)) - 1
 
 
 def _discount(one: float, two: float) -> float:
     return one / (one + 2 * two) if one and two else 0.5
 
 
+def _discounts(counts: np.ndarray) -> np.ndarray:
+    """What is taken from counts of 0, 1, 2 and more."""
+    n = [float((counts == i).sum()) for i in range(5)]
+    y = _discount(n[1], n[2])
+    out = [0.0, y, y, y]
+    for i in (1, 2, 3):
+        if n[1] and n[2] and n[i]:
+            out[i] = min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.05), i - 0.05)
+    return np.array(out)
+
+
 def continuations(keys: np.ndarray) -> list[tuple]:
     """For n from ORDER - 1 down to 1: n, the n-grams that end one of the distinct ``keys``, each's number of distinct longer
     ones, the sum and the number of these over its history, and the discount."""
     out = []
     for n in range(ORDER - 1, 0, -1):
         keys, counts = np.unique(keys & np.uint64(_mask(n)), return_counts=True)
-        inverse = np.unique(keys >> np.uint64(8), return_inverse=True)[1]
+        inverse = np.unique(keys >> np.uint64(BITS), return_inverse=True)[1]
         out.append((n, keys, counts, np.bincount(inverse, counts)[inverse], np.bincount(inverse)[inverse], _discount(float((counts == 1).sum()), float((counts == 2).sum()))))
     return out
 
 
 def shared_model(levels: list[tuple], keys: np.ndarray) -> np.ndarray:
     """The probability of the last symbol of each of ``keys`` after the ORDER - 2 before it, from continuation counts."""
-    lower_keys, lower = np.zeros(1, np.uint64), np.array([1 / 256])
+    lower_keys, lower = np.zeros(1, np.uint64), np.array([1 / (1 << BITS)])
     for n, grams_, counts, total, kinds, d in reversed(levels):
         back = lower[np.searchsorted(lower_keys, grams_ & np.uint64(_mask(n - 1)))]
         lower = np.maximum(counts - d, 0) / total + d * kinds / total * back
@@ -132,42 +150,31 @@ def kneser_ney(keys: np.ndarray, toxic: np.ndarray, plain: np.ndarray, levels: l
 
     ``levels`` are the continuation counts that both classes back off to; without them, those of ``keys``.
     """
-    eight = np.uint64(8)
     shared = shared_model(levels or continuations(keys), keys)
-    hist, inverse = np.unique(keys >> eight, return_inverse=True)
+    hist, inverse = np.unique(keys >> np.uint64(BITS), return_inverse=True)
     logs, weights = [], []
     for counts in (toxic, plain):
-        d = _discount(float((counts == 1).sum()), float((counts == 2).sum()))
-        total, kinds = np.bincount(inverse, counts, len(hist)), np.bincount(inverse, counts > 0, len(hist))
-        back = np.where(total > 0, d * kinds / np.maximum(total, 1), 1.0)
-        logs.append(np.log(np.maximum(counts - d, 0) / np.maximum(total, 1)[inverse] + back[inverse] * shared))
+        d = _discounts(counts)[np.minimum(counts, 3).astype(int)]
+        total, taken = np.bincount(inverse, counts, len(hist)), np.bincount(inverse, d, len(hist))
+        back = np.where(total > 0, taken / np.maximum(total, 1), 1.0)
+        logs.append(np.log((counts - d) / np.maximum(total, 1)[inverse] + back[inverse] * shared))
         weights.append(np.log(back))
-    # what has been met n times counts for n / (n + CALM): one sighting proves little
-    both = toxic + plain
-    near = np.bincount(inverse, both, len(hist))
-    return Slots(keys, (logs[0] - logs[1]) * both / (both + CALM)), Slots(hist, (weights[0] - weights[1]) * near / (near + 10 * CALM))
+    return Slots(keys, logs[0] - logs[1]), Slots(hist, weights[0] - weights[1])
 
 
-def evidence(text: str, model: dict) -> np.ndarray:
-    """Length-normalised log ratio, the means over the TOP likeliest words, and the log of the number of words."""
+def evidence(text: str, model: dict) -> float:
+    """The text's toxic log-likelihood less its ordinary one, a word (0 without words), less log(1 - SHARE), in logarithms."""
     s = symbols(text, model["table"])
-    out = np.zeros(len(TOP) + 2)
     if not len(s):
-        return out
-    ratio, seen = model["ngrams"].get(grams(s, ORDER))
+        return float(np.log(-np.log1p(-SHARE)))
+    keys = grams(s, ORDER)
+    ratio, seen = model["ngrams"].get(keys)
     open_ = np.flatnonzero(~seen)
     if len(open_):
-        ratio[open_] = model["histories"].get(grams(s, ORDER)[open_] >> np.uint64(8))[0]
+        ratio[open_] = model["histories"].get(keys[open_] >> np.uint64(BITS))[0]
     ends = np.flatnonzero(s[1:] == 0)  # each word's own separator closes it
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    words = np.add.reduceat(ratio.astype(np.float64), starts)
-    out[0] = words.sum() / len(ratio)
-    top = -np.partition(-words, min(len(words) - 1, max(TOP)))[: max(TOP)] if len(words) > max(TOP) else words
-    top = -np.sort(-top)
-    for i, n in enumerate(TOP):
-        out[1 + i] = top[:n].sum() / n
-    out[-1] = np.log(len(words))
-    return out
+    words = np.add.reduceat(ratio.astype(np.float64), np.concatenate(([0], ends[:-1] + 1)))
+    return float(np.log(np.logaddexp(0, words + np.log(SHARE / (1 - SHARE))).mean()))
 
 
 def _counted(table):
@@ -207,19 +214,15 @@ def _met(table):
     return run
 
 
-def _scored(model, names: list[str]):
+def _scored(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for b in batches_of(batches):
-            x = np.array([evidence(t.as_py() or "", m) for t in b.column("text")]).reshape(-1, len(TOP) + 2)
-            yield pa.RecordBatch.from_arrays([b.column(names[0]), *(pa.array(x[:, i]) for i in range(x.shape[1]))], [names[0], *(f"e{i}" for i in range(x.shape[1]))])
+            yield pa.RecordBatch.from_arrays([b.column("y"), pa.array([evidence(t.as_py() or "", m) for t in b.column("text")], pa.float64())], ["y", "e"])
 
     return run
 
 
-_EVIDENCE = ", ".join(f"e{i} double" for i in range(len(TOP) + 2))
-
-
 def gather(docs: DataFrame, wanted: DataFrame, table: np.ndarray) -> list[tuple]:
     """``continuations`` of the n-grams of all texts of ``docs``; of these, the rows that the n-grams in ``wanted`` (gram) need."""
     texts = docs.select(F.col("text").cast("string").alias("text"))
@@ -228,7 +231,7 @@ def gather(docs: DataFrame, wanted: DataFrame, table: np.ndarray) -> list[tuple]
     for n in range(ORDER - 1, 0, -1):
         short = F.col("gram").bitwiseAND(F.lit(_mask(n))).alias("gram")
         made.append(Saved(longer.groupBy(short).agg(F.count(F.lit(1)).alias("n")), "toxic-level"))
-        level, wanted = made[-1].df.withColumn("history", F.shiftright("gram", 8)), wanted.select(short).distinct()
+        level, wanted = made[-1].df.withColumn("history", F.shiftright("gram", BITS)), wanted.select(short).distinct()
         totals = level.groupBy("history").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
         rows = level.join(wanted, "gram", "left_semi").join(totals, "history").select("gram", "n", "total", "kinds").toArrow().sort_by("gram")
         once = level.agg(F.count_if(F.expr("n = 1")).alias("one"), F.count_if(F.expr("n = 2")).alias("two")).first()
@@ -245,17 +248,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int =
     sc = docs.sparkSession.sparkContext
     sample = labelled(labels, label, parts, held, per_class)
     texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
-    kept = Saved(texts.select("y", "text", (F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(3)) == 0).alias("curve")), "toxic-sample")
+    kept = Saved(texts.select("y", "text", (F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(CURVE)) == 0).alias("curve")), "toxic-sample")
     n = {(r.curve, r.y): r.n for r in kept.df.groupBy("curve", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = sum(v for (_, y), v in n.items() if y) + 1, sum(v for (_, y), v in n.items() if not y) + 1
-    if any(n.get((c, y), 0) == 0 for c in (True, False) for y in (0, 1)):
+    share = [sum(v for (_, y), v in n.items() if y == k) for k in (0, 1)]
+    if not all(share):
         kept.drop()
         nothing = Slots(np.zeros(0, np.uint64), np.zeros(0))
-        return {"table": alphabet_table(""), "ngrams": nothing, "histories": nothing, "curve": np.zeros(len(TOP) + 2), "b": float(np.log(share[0] / share[1])), "mean": np.zeros(len(TOP) + 2), "sd": np.ones(len(TOP) + 2)}
-    learn = kept.df.where("NOT curve")
+        return {"table": alphabet_table(""), "ngrams": nothing, "histories": nothing, "a": 0.0, "b": float(np.log((share[1] + 1) / (share[0] + 1)))}
+    learn = curve = kept.df
+    if all(n.get((c, y)) for c in (True, False) for y in (0, 1)):
+        learn, curve = kept.df.where("NOT curve"), kept.df.where("curve")
     chars = learn.select(F.explode(F.array_distinct(F.split(F.lower("text"), ""))).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n"))
     met = sorted((r for r in chars.where("length(c) = 1").collect() if r.c.isalnum()), key=lambda r: (-r.n, r.c))
-    table = alphabet_table("".join(r.c for r in met[:254]))
+    table = alphabet_table("".join(r.c for r in met[:LETTERS]))
     counts = learn.select("y", "text").mapInArrow(_counted(sc.broadcast(table)), "gram bigint, y int, n bigint")
     known = Saved(counts.groupBy("gram").agg(*(F.coalesce(F.sum(F.when(F.col("y") == y, F.col("n"))), F.lit(0)).alias(f"n{y}") for y in (0, 1))), "toxic-counts")
     got = known.df.toArrow()
@@ -265,31 +270,26 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int =
     order = np.argsort(keys)
     ngrams, histories = kneser_ney(keys[order], got.column("n1").to_numpy()[order].astype(float), got.column("n0").to_numpy()[order].astype(float), levels)
     model = {"table": table, "ngrams": ngrams, "histories": histories}
-    rows = kept.df.where("curve").select("y", "text").mapInArrow(_scored(sc.broadcast(model), ["y"]), f"y int, {_EVIDENCE}").toArrow()
-    x = np.column_stack([rows.column(f"e{i}").to_numpy() for i in range(len(TOP) + 2)])
+    rows = curve.select("y", "text").mapInArrow(_scored(sc.broadcast(model)), "y int, e double").toArrow()
     kept.drop()
-    return model | _curve(x, rows.column("y").to_numpy().astype(float))
+    return model | _curve(rows.column("e").to_numpy(), rows.column("y").to_numpy().astype(float))
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> dict:
-    """Logistic regression on standardised evidence, the classes weighed alike, by Newton steps."""
-    mean, sd = x.mean(0), np.maximum(x.std(0), 1e-9)
-    z = np.column_stack(((x - mean) / sd, np.ones(len(x))))
-    weight = np.where(y == 1, len(y) / (2 * max(1, y.sum())), len(y) / (2 * max(1, (1 - y).sum())))
-    w, ridge = np.zeros(z.shape[1]), np.full(z.shape[1], 0.5)
-    ridge[-1] = 1e-3
+    """The logistic curve a * x + b of label 1 by Newton steps, a little ridge on its slope."""
+    z = np.column_stack((x, np.ones(len(x))))
+    w, ridge = np.zeros(2), np.array([0.01, 1e-4])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + np.diag(ridge), z.T @ (weight * (p - y)) + ridge * w)
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(ridge), z.T @ (p - y) + ridge * w)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
-    return {"mean": mean, "sd": sd, "curve": w[:-1], "b": float(w[-1])}
+    return {"a": float(w[0]), "b": float(w[1])}
 
 
 def probability(text: str, model: dict) -> float:
-    z = float(((evidence(text, model) - model["mean"]) / model["sd"]) @ model["curve"] + model["b"])
-    return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+    return float(1 / (1 + np.exp(-np.clip(model["a"] * evidence(text, model) + model["b"], -30, 30))))
 
 
 def score_documents(docs: DataFrame, model: dict, parts: int = 5, held: int = 0) -> DataFrame:

@@ -6,11 +6,14 @@ conversation in which the passage was first written: as its whole body, a paragr
 written as a whole before (a trimmed quote, or one of several messages) is looked for paragraph by paragraph, and a paragraph
 that was not line by line; each piece is at most as late as the message it was taken from, so the latest origin of a passage's
 pieces stands for it. The match of the lowest level is what a message replies to; the earliest message wins, so each hash has one row
-and a phrase that everybody quotes joins once per quote. Replies follow what they answer: the order within a conversation is by the turns on the path from the
-thread's first message. Paths are found by pointer doubling over replies only.
+and a phrase that everybody quotes joins once per quote. Replies follow what they answer: a thread's messages are numbered as a
+walk from its first message meets them, the replies to one message by turn. Threads, depths and numbers are found by pointer
+doubling over replies only: the numbers by ranking the list of steps into and out of each message.
 
 Scale: messages without quotes go through one pass; only hashes are joined, one row per (conversation, hash) on one side and one
-for each passage and each of its paragraphs and lines on the other. The final order is by ranges of (conversation, path), so a conversation of any size spreads over tasks, and none is collected.
+for each passage and each of its paragraphs and lines on the other. Pointer doubling takes two short rows a reply and a round for each
+doubling of the longest thread, so a chain of any length costs no more a reply than its logarithm. The final order is by ranges
+of (conversation, thread, place), so a conversation of any size spreads over tasks, and none is collected.
 
 Defined cases: null text is empty, null roles become 'user', null conversations form one of their own, a null turn sorts first
 and neither quotes nor is quoted; repeated rows repeat; messages of one (conversation, turn) share their replies; other
@@ -19,12 +22,14 @@ columns are ignored; without any quote every message is its own thread, in turn
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import Saved
 
-_LINES = r"transform(split(text, '\\r?\\n'), l -> named_struct('level', length(regexp_replace(regexp_extract(l, '^(?:[ \\t]*>)+', 0), '[^>]', '')), 'words', trim(regexp_replace(l, '^(?:[ \\t]*>)+', ''))))"
+_LINES = r"transform(split(text, '\\r?\\n'), l -> named_struct('level', length(regexp_replace(regexp_extract(l, '^[ \\t>]*>', 0), '[^>]', '')), 'words', trim(regexp_replace(l, '^[ \\t>]*>', ''))))"
 #: Runs of one level: a fold that appends to the last run or starts another.
 _RUNS = """
 aggregate(lines,
@@ -80,33 +85,63 @@ def replies(parsed: DataFrame) -> DataFrame:
     return met.groupBy("conv_id", "turn").agg(F.min_by("parent", F.struct("level", late)).alias("parent"))
 
 
-def paths(links: DataFrame) -> Saved:
-    """(conv_id, turn, parent, top, path): the thread's first message and the turns from it to the message, by pointer doubling."""
-    state = Saved(links.select("conv_id", "turn", "parent", F.col("parent").alias("up"), F.array("turn").alias("tail")), "paths")
+def _doubled(state: Saved, step, tag: str) -> Saved:
+    """``step`` applied to a written table of (conv_id, ..., moved) until no row moves."""
     while True:
-        above = state.df.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("up").alias("further"), F.col("tail").alias("head"))
-        new = state.df.join(above, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("t")), "left")
-        moved = Saved(new.select("conv_id", "turn", "parent", F.coalesce("further", "up").alias("up"), F.when(F.col("t").isNull(), F.col("tail")).otherwise(F.concat("head", "tail")).alias("tail"), F.col("t").isNotNull().alias("moved")), "paths")
+        new = Saved(step(state.df), tag)
         state.drop()
-        state = moved
+        state = new
         if not state.df.where("moved").limit(1).count():
-            state.df = state.df.select("conv_id", "turn", "parent", F.col("up").alias("top"), F.concat(F.array("up"), "tail").alias("path"))
             return state
 
 
+def threads(links: DataFrame) -> Saved:
+    """(conv_id, turn, parent, thread, depth, place) for every message that replies or that is first in a thread with replies."""
+    def same(*on: Column) -> Column:
+        return functools.reduce(Column.__and__, on, F.col("conv_id").eqNullSafe(F.col("c")))
+
+    def climb(at: DataFrame) -> DataFrame:
+        above = at.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("up").alias("further"), F.col("depth").alias("more"))
+        met = at.join(above, same(F.col("up") == F.col("t")), "left")
+        return met.select("conv_id", "turn", "parent", F.coalesce("further", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("t").isNotNull().alias("moved"))
+
+    def walk(at: DataFrame) -> DataFrame:
+        after = at.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("out").alias("o"), F.col("next_turn").alias("nt"), F.col("next_out").alias("no"), F.col("left").alias("l"))
+        met = at.join(after, same(F.col("next_turn") == F.col("t"), F.col("next_out") == F.col("o")), "left")
+        return met.select("conv_id", "turn", "out", F.col("nt").alias("next_turn"), F.col("no").alias("next_out"), (F.col("left") + F.coalesce("l", F.lit(0))).alias("left"), F.col("nt").isNotNull().alias("moved"))
+
+    tops = _doubled(Saved(links.select("conv_id", "turn", "parent", F.col("parent").alias("up"), F.lit(1).alias("depth")), "tops"), climb, "tops")
+    replies_ = tops.df.select("conv_id", "turn", "parent", F.col("up").alias("thread"), "depth")
+    firsts = replies_.select("conv_id", "thread").distinct().select("conv_id", F.col("thread").alias("turn"), F.lit(None).cast("bigint").alias("parent"), "thread", F.lit(0).alias("depth"))
+    nodes = Saved(replies_.unionByName(firsts), "nodes")
+    child = nodes.df.where("parent IS NOT NULL").groupBy(F.col("conv_id").alias("c"), F.col("parent").alias("p")).agg(F.min("turn").alias("child"))
+    # the step into a message leads to its first reply or out of it; the step out of it to the next reply of the same message or out of that
+    into = nodes.df.join(child, same(F.col("turn") == F.col("p")), "left").select("conv_id", "turn", F.lit(0).alias("out"), F.coalesce("child", "turn").alias("next_turn"), F.when(F.col("child").isNull(), 1).otherwise(0).alias("next_out"), F.lit(1).alias("left"))
+    later = F.when(F.col("parent").isNotNull(), F.lead("turn").over(Window.partitionBy("conv_id", "parent").orderBy("turn")))
+    out = nodes.df.withColumn("later", later).select("conv_id", "turn", F.lit(1).alias("out"), F.coalesce("later", "parent").alias("next_turn"), F.when(F.col("later").isNull(), 1).otherwise(0).alias("next_out"), F.lit(0).alias("left"))
+    steps = _doubled(Saved(into.unionByName(out), "steps"), walk, "steps")
+    # what is left of the walk from the step into a message on, itself included
+    left = steps.df.where("out = 0").select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), "left")
+    own = nodes.df.join(left, same(F.col("turn") == F.col("t"))).drop("c", "t")
+    whole = left.select("c", F.col("t"), F.col("left").alias("all"))
+    done = Saved(own.join(whole, same(F.col("thread") == F.col("t"))).select("conv_id", "turn", "parent", "thread", "depth", (F.col("all") - F.col("left")).alias("place")), "threads")
+    for s in (tops, nodes, steps):
+        s.drop()
+    return done
+
+
 def conversations(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, parent_turn, thread, depth, path, body, formatted), in reply order within conversations."""
+    """(conv_id, turn, role, parent_turn, thread, depth, place, body, formatted), in reply order within conversations."""
     parsed = parse(messages)
     links = Saved(replies(parsed), "replies")
-    own = F.array("turn")
+    none = F.lit(0)
     if links.df.limit(1).count():
-        found = paths(links.df).df
-        links.drop()
-        found = found.select(F.col("conv_id").alias("__c"), F.col("turn").alias("__t"), "parent", "top", F.col("path").alias("__path"))
+        found = threads(links.df).df.select(F.col("conv_id").alias("__c"), F.col("turn").alias("__t"), F.col("parent").alias("parent_turn"), F.col("thread").alias("__thread"), F.col("depth").alias("__depth"), F.col("place").alias("__place"))
         rows = parsed.join(found, F.col("conv_id").eqNullSafe(F.col("__c")) & (F.col("turn") == F.col("__t")), "left")
-        rows = rows.select("conv_id", "turn", "role", "body", F.col("parent").alias("parent_turn"), F.coalesce("top", "turn").alias("thread"), F.coalesce("__path", own).alias("path"))
+        rows = rows.select("conv_id", "turn", "role", "body", "parent_turn", F.coalesce("__thread", "turn").alias("thread"), F.coalesce("__depth", none).alias("depth"), F.coalesce("__place", none).alias("place"))
     else:
-        rows = parsed.select("conv_id", "turn", "role", "body", F.lit(None).cast("bigint").alias("parent_turn"), F.col("turn").alias("thread"), own.alias("path"))
+        rows = parsed.select("conv_id", "turn", "role", "body", F.lit(None).cast("bigint").alias("parent_turn"), F.col("turn").alias("thread"), none.alias("depth"), none.alias("place"))
+    links.drop()
     formatted = F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"), F.col("body"), F.lit("\n<|end|>\n"))
-    out = rows.select("conv_id", "turn", "role", "parent_turn", "thread", (F.size("path") - 1).alias("depth"), "path", "body", formatted.alias("formatted"))
-    return out.orderBy("conv_id", "path", "role", "body")
+    out = rows.select("conv_id", "turn", "role", "parent_turn", "thread", "depth", "place", "body", formatted.alias("formatted"))
+    return out.orderBy("conv_id", "thread", "place", "role", "body")

@@ -4,9 +4,11 @@ A benchmark item of m characters (normalised: letters and digits lower-cased, al
 a region of the document is within k = floor(ERROR * m) edits of it. An edit destroys at most Q of the item's q-grams, so
 such a region shares m - Q + 1 - k * Q of them at least, and all lie within k diagonals of each other. Shared q-grams are
 counted in overlapping bands of diagonals, each at least 2 k + 1 wide; bands that meet the bound are verified by a banded
-alignment. No region within the budget is lost.
+alignment.
 
-Items too short for a bound of at least one q-gram must occur exactly, as whole words.
+Some short items have no bound of a q-gram or more (34 characters at most). Such an item is cut into k + 1 pieces: k edits leave
+one of them whole, and the diagonals around each place of a piece are verified by the same alignment. So no region within the
+budget is lost. Items without a budget (8 characters at most) must occur exactly, as whole words.
 
 Scale: the index holds the benchmark only. It is shipped to every task while it has at most MAX_INDEX q-grams (proven by
 counting); beyond that the benchmark is cut into blocks of that size and each block is a further pass over the documents,
@@ -28,8 +30,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import batches_of, modest
 
-Q = 8
-ERROR = 0.08
+Q = 7
+ERROR = 0.12
 MAX_INDEX = 4_000_000
 #: Hits (a place in a text with one in an item) that are held at a time.
 PAIRS = 1_000_000
@@ -60,24 +62,55 @@ def normalise(text: str) -> tuple[np.ndarray, np.ndarray]:
     return x[at], np.clip(at - 1, 0, max(0, len(raw)))
 
 
-def qgrams(x: np.ndarray) -> np.ndarray:
+def qgrams(x: np.ndarray, q: int = Q) -> np.ndarray:
     """A 64-bit hash of the q-gram at each place."""
-    n = len(x) - Q + 1
+    n = len(x) - q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     h = np.zeros(n, np.uint64)
-    for j in range(Q):
+    for j in range(q):
         h = h * _P + x[j : j + n]
     h ^= h >> np.uint64(31)
     return h * np.uint64(0xBF58476D1CE4E5B9)
 
 
+class Keys:
+    """Where each of some 64-bit hashes stands among the distinct ones: a direct table, and a search for hashes that meet there."""
+
+    def __init__(self, flat: np.ndarray):
+        self.order = np.argsort(flat, kind="stable")
+        self.keys, first = np.unique(flat[self.order], return_index=True)
+        self.first = np.append(first, len(flat))
+        self.bits = max(12, int(4 * len(self.keys)).bit_length())
+        slot = self._slot(self.keys)
+        self.table = np.full(1 << self.bits, -1, np.int32)
+        self.table[slot] = np.arange(len(self.keys))
+        self.table[slot[:-1][slot[:-1] == slot[1:]]] = -2
+
+    def _slot(self, g: np.ndarray) -> np.ndarray:
+        return (g >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in ``g`` whose hash is known, its number)."""
+        if not len(g) or not len(self.keys):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = self.table[self._slot(g)]
+        some = np.flatnonzero(at != -1)
+        i, g = at[some].astype(np.int64), g[some]
+        open_ = np.flatnonzero(i == -2)
+        i[open_] = np.minimum(np.searchsorted(self.keys, g[open_]), len(self.keys) - 1)
+        real = self.keys[i] == g
+        return some[real], i[real]
+
+
 class Index:
     """The q-grams of benchmark items."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids, self.x, self.k, self.bound = [], [], [], []
-        self.short: list[tuple[int, np.ndarray]] = []
+        self.small: list[tuple[int, np.ndarray, int]] = []
+        exact: dict[int, list[int]] = {}
+        pieces: dict[int, list[tuple[int, int]]] = {}
         keys, owner, place = [], [], []
         for item, text in items:
             x, _ = normalise(text or "")
@@ -87,8 +120,14 @@ class Index:
                 continue
             k = int(ERROR * m)
             bound = m - Q + 1 - k * Q
-            if bound < 1:
-                self.short.append((item, x))
+            if not k:
+                exact.setdefault(m, []).append(len(self.small))
+            elif bound < 1:
+                cuts = [j * m // (k + 1) for j in range(k + 2)]
+                for a, b in zip(cuts, cuts[1:], strict=False):
+                    pieces.setdefault(b - a, []).append((len(self.small), a))
+            if not k or bound < 1:
+                self.small.append((item, x, k))
                 continue
             g = qgrams(x)
             keys.append(g)
@@ -98,40 +137,25 @@ class Index:
             self.x.append(x)
             self.k.append(k)
             self.bound.append(bound)
-        flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        order = np.argsort(flat, kind="stable")
-        self.keys, first = np.unique(flat[order], return_index=True)
-        self.first = np.append(first, len(flat))
+        self.found = Keys(np.concatenate(keys) if keys else np.zeros(0, np.uint64))
+        order, self.keys, self.first = self.found.order, self.found.keys, self.found.first
         self.owner = np.concatenate(owner)[order] if keys else np.zeros(0, np.int64)
         self.place = np.concatenate(place)[order] if keys else np.zeros(0, np.int64)
+        self.exact = {m: (Keys(np.array([qgrams(self.small[o][1], m)[0] for o in own], np.uint64)), np.array(own)) for m, own in exact.items()}
+        self.pieces = {n: (Keys(np.array([qgrams(self.small[o][1][a : a + n], n)[0] for o, a in own], np.uint64)), np.array(own)) for n, own in pieces.items()}
         # sorted, for an item's own part of a q-gram's places
         self.rank = np.repeat(np.arange(len(self.keys)), np.diff(self.first)) * len(self.ids) + self.owner
         self.k, self.bound = np.array(self.k, np.int64), np.array(self.bound, np.int64)
         self.length = np.array([len(x) for x in self.x], np.int64)
-        # a direct table of small size turns most q-grams of a document away
-        self.bits = max(12, int(8 * len(self.keys)).bit_length())
-        self.table = np.zeros(1 << self.bits, bool)
-        self.table[(self.keys >> np.uint64(64 - self.bits)).astype(np.int64)] = True
         # two sets of bands, each of twice the width that one set must cover, half a band apart
         self.width = 2 * (2 * self.k + 1)
 
     def hits(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item id, start, end, edits) of every item's best region in the text, places in code points of the text."""
-        out = []
         x, at = normalise(text)
-        for item, short in self.short:
-            if (s := _find(x, short)) >= 0:
-                out.append((item, int(at[s]), int(at[s + len(short) - 1]) + 1, 0))
-        g = qgrams(x)
-        if not len(g) or not len(self.keys):
-            return sorted(out)
-        some = np.flatnonzero(self.table[(g >> np.uint64(64 - self.bits)).astype(np.int64)])
-        if len(some) < self.bound.min():
-            return sorted(out)
-        i = np.minimum(np.searchsorted(self.keys, g[some]), len(self.keys) - 1)
-        real = self.keys[i] == g[some]
-        some, i = some[real], i[real]
-        if len(some) < self.bound.min():
+        out = [(self.small[o][0], int(at[a]), int(at[max(a, b - 1)]) + 1, d) for o, (a, b, d) in self._small_hits(x).items()]
+        some, i = self.found.find(qgrams(x)) if len(self.keys) else ((), ())
+        if not len(some) or len(some) < self.bound.min():
             return sorted(out)
         best: dict[int, tuple[int, int, int]] = {}
         for low, high in self._ranges(i):
@@ -144,6 +168,30 @@ class Index:
         out += [(self.ids[o], int(at[s]), int(at[max(s, e - 1)]) + 1, d) for o, (s, e, d) in best.items()]
         return sorted(out)
 
+    def _small_hits(self, x: np.ndarray) -> dict[int, tuple[int, int, int]]:
+        """The best region (start, end, edits) of every small item: whole words where it has no budget, else around its pieces."""
+        best: dict[int, tuple[int, int, int]] = {}
+        for m, (keys, own) in self.exact.items():
+            starts = np.flatnonzero((x[:-1] == 32)[: max(0, len(x) - m - 1)] & (x[m + 1 :] == 32)) + 1
+            some, i = keys.find(qgrams(x, m)[starts])
+            for first in np.unique(i, return_index=True)[1].tolist():
+                for o in own[keys.order[keys.first[i[first]] : keys.first[i[first] + 1]]].tolist():
+                    if np.array_equal(x[(s := int(starts[some[first]])) : s + m], self.small[o][1]):
+                        best[o] = (s, s + m, 0)
+        for n, (keys, own) in self.pieces.items():
+            some, i = keys.find(qgrams(x, n))
+            for entry in np.unique(i).tolist():
+                places = some[i == entry]
+                for o, a in own[keys.order[keys.first[entry] : keys.first[entry + 1]]].tolist():
+                    _, item, k = self.small[o]
+                    for d in (places - a).tolist():
+                        if o in best and not best[o][2]:
+                            break
+                        got = align(item, x, d - k, d + k, k)
+                        if got and (o not in best or got[2] < best[o][2]):
+                            best[o] = got
+        return best
+
     def _ranges(self, i: np.ndarray) -> list[tuple[int, int]]:
         """Ranges of items that have PAIRS hits at most, or of one item each."""
         n = len(self.ids)
@@ -179,7 +227,12 @@ class Index:
     def _likely_bands(self, some: np.ndarray, i: np.ndarray, low: int, high: int) -> list[tuple[int, int]]:
         """(half, item << 40 | band) of the bands with as many hits as the lemma asks for, counted over the whole text."""
         found, count = [np.zeros(0, np.int64)] * 2, [np.zeros(0, np.int64)] * 2
+        alone = int((self.first[i + 1] - self.first[i]).sum()) <= PAIRS  # all hits come in one block
         for at, place, owner in self._pairs(some, i, low, high):
+            if alone:
+                # an item's hits on all diagonals together must reach its bound first
+                live = (np.bincount(owner, minlength=len(self.ids)) >= self.bound)[owner]
+                at, place, owner = at[live], place[live], owner[live]
             width, diagonal = self.width[owner], at - place + self.length.max()
             for half in (0, 1):
                 new, times = np.unique(owner * np.int64(1 << 40) + (diagonal + half * (width // 2)) // width, return_counts=True)
@@ -207,14 +260,6 @@ class Index:
         return align(item, x, low, low + w - 1, int(self.k[o]))
 
 
-def _find(x: np.ndarray, short: np.ndarray) -> int:
-    """Where ``short`` occurs in ``x`` as whole words, or -1."""
-    for s in np.flatnonzero(x[: len(x) - len(short)] == short[0]) if len(x) > len(short) else ():
-        if s and x[s - 1] == 32 and x[s + len(short)] == 32 and (x[s : s + len(short)] == short).all():
-            return int(s)
-    return -1
-
-
 def align(item: np.ndarray, x: np.ndarray, low: int, high: int, k: int) -> tuple[int, int, int] | None:
     """The best alignment of the whole item with a region of ``x`` on diagonals low to high: (start, end, edits), None beyond k edits.
 

@@ -14,9 +14,12 @@ so sketches merge by maximum and equal registers are about as likely as the Jacc
    result. Their members' shingles are put in one order, rare ones first. Texts at the threshold must share a shingle among
    the first n - ceil(t n) + 1 of either, early enough for the rest to reach the overlap (prefix and position filters, both
    exact). A text that only resembles others below the threshold has rare shingles of its own in front and meets nobody.
-   In each such shingle's list every member meets the one with the fewest rare shingles before it; then what is still in
-   different components and passes both filters is verified pair by pair. So n alike texts cost in the order of n checks,
-   whether above or below the threshold, and no bucket is capped.
+   A shingle of one text only counts for nothing but its size, so texts of one size with the same shared shingles are a kind:
+   they are alike to each other and to any other kind all in the same measure, and one of them stands for it.
+   In each such shingle's list every kind meets the one with the fewest rare shingles before it; then what is still in
+   different components and passes both filters is verified pair by pair. Both filters depend on sizes and places only, so a
+   list's sizes meet before its rows do: n texts of one template that are below the threshold give no pair to look at, n texts
+   above it are one component by then. No bucket is capped.
 
 Scale: texts move once for the members of candidate pairs, sketches are 256 bytes a document, buckets 24 bytes a band.
 Hot classes and buckets are aggregated map-side before they are dealt out; joins to their one row are split by AQE.
@@ -247,14 +250,32 @@ def _shingler(k: int):
 
 
 def _prefixes(ids: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(rep, n, token, place): the shingles in the prefix of each set that another set has too; place counts from 1, rare ones first."""
+    """(rep, n, token, place, s, h1, h2): the shingles in the prefix of each set that another set has too, rare ones first.
+
+    place counts from 1 over the whole set; s, h1 and h2 are the number and two hashes of all shared shingles of the set.
+    """
     texts = by_ids(docs, ids.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     tokens = Saved(texts.mapInArrow(_shingler(k), "rep bigint, n bigint, token bigint"), "tokens")
     met = tokens.df.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = tokens.df.join(met, "token")
     by_rep = Window.partitionBy("rep")
-    placed = shared.withColumn("place", F.col("n") - F.count(F.lit(1)).over(by_rep) + F.row_number().over(by_rep.orderBy("df", "token")))
-    return placed.where(f"place <= n - ceil({num} * n / {den}) + 1").select("rep", "n", "token", "place")
+    hashes = (F.bit_xor(h).over(by_rep).alias(c) for c, h in (("h1", F.col("token")), ("h2", F.xxhash64("token"))))
+    counted = shared.select("rep", "n", "token", F.row_number().over(by_rep.orderBy("df", "token")).alias("nth"), F.count(F.lit(1)).over(by_rep).alias("s"), *hashes)
+    placed = counted.withColumn("place", F.col("n") - F.col("s") + F.col("nth"))
+    return placed.where(f"place <= n - ceil({num} * n / {den}) + 1").select("rep", "n", "token", "place", "s", "h1", "h2")
+
+
+def _kind_comps(members: DataFrame, labels: Saved) -> DataFrame:
+    """(rep, comp) for the representative of each kind: the component of all its members, or a name of its own if there are several."""
+    found = _placed(members, labels).groupBy(F.col("kind").alias("rep")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    return found.select("rep", F.when(F.col("lo") == F.col("hi"), F.col("lo").cast("string")).otherwise(F.concat(F.lit("kind "), "rep")).alias("comp"))
+
+
+def _spread(found: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b): links of kinds handed on to their members, each to one kind that theirs is linked with."""
+    both = found.select("a", "b").union(found.select("b", "a"))
+    partner = both.groupBy(F.col("a").alias("kind")).agg(F.min("b").alias("b"))
+    return members.where("rep <> kind").join(partner, "kind").select(F.col("rep").alias("a"), "b")
 
 
 def _placed(rows: DataFrame, labels: Saved) -> DataFrame:
@@ -262,27 +283,45 @@ def _placed(rows: DataFrame, labels: Saved) -> DataFrame:
     return rows.join(labels.df.select(F.col("v").alias("rep"), F.col("comp").alias("__comp")), "rep", "left").withColumn("comp", F.coalesce("__comp", "rep")).drop("__comp")
 
 
-def _several(rows: DataFrame, key: str) -> DataFrame:
+def _several(rows: DataFrame, key: str, made: list[Saved]) -> DataFrame:
     """The rows whose key holds several components, with the largest of these as ``big``."""
     sizes = rows.groupBy(key, "comp").agg(F.count(F.lit(1)).alias("size"))
     split = sizes.groupBy(key).agg(F.max_by("comp", F.struct("size", "comp")).alias("big"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    return rows.join(split.select(key, "big"), key)
+    # written, so that the join deals out both sides anew and AQE can split a hot key
+    made.append(Saved(split.select(key, "big"), "split"))
+    return rows.join(made[-1].df, key)
 
 
-def _across(pairs: DataFrame, labels: Saved) -> DataFrame:
+def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """The pairs (a, b) whose ends are in different components."""
-    a = labels.df.select(F.col("v").alias("a"), F.col("comp").alias("ca"))
-    b = labels.df.select(F.col("v").alias("b"), F.col("comp").alias("cb"))
-    return pairs.join(a, "a", "left").join(b, "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
+    a, b = (comps.select(F.col("rep").alias(c), F.col("comp").alias("c" + c)) for c in "ab")
+    return pairs.join(a, "a").join(b, "b").where("ca <> cb").select("a", "b")
+
+
+def _sized(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """``rows`` with ``most``: the largest set that this one can still reach the overlap with, given what follows the shingle."""
+    return rows.withColumn("most", F.expr(f"least(({num + den} * (1 + n - place)) div {num} - n, ({den} * n) div {num})"))
 
 
 def _open_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs across components that pass both filters: all but a token's largest component against all others."""
-    x = rows.where("comp <> big").select("token", F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("place").alias("px"), "big")
-    y = rows.select("token", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("place").alias("py"))
-    # a pair of two small components comes up from both sides; one is enough
-    met = x.join(y, "token").where(f"cx <> cy AND (cy = big OR cx < cy) AND {_reach('nx', 'px', 'ny', 'py', num, den)}")
-    return met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+    """Pairs across components that pass both filters: all but a token's largest component against all others.
+
+    Both filters say only: the larger set is at most ``most`` of the smaller one, and the smaller one at most ``most`` of the
+    larger. So a list's sizes meet first, each once, and rows only where their sizes do: alike texts that cannot be at the
+    threshold cost a row each, not a row a pair.
+    """
+    sized = _sized(rows, num, den)
+    small, large = sized.where("most >= n"), sized.where(f"{den} * most >= {num} * n")
+    met = None
+    for s, l in ((small.where("comp <> big"), large), (small.where("comp = big"), large.where("comp <> big"))):
+        ks = s.select("token", F.col("n").alias("nx"), F.col("most").alias("mx")).distinct()
+        kl = l.select("token", F.col("n").alias("ny"), F.col("most").alias("my")).distinct()
+        sizes = ks.join(kl, "token").where("nx <= ny AND ny <= mx AND nx <= my")
+        x = s.select("token", F.col("n").alias("nx"), F.col("most").alias("mx"), F.col("rep").alias("x"), F.col("comp").alias("cx"))
+        y = l.select("token", F.col("n").alias("ny"), F.col("most").alias("my"), F.col("rep").alias("y"), F.col("comp").alias("cy"))
+        part = x.join(sizes, ["token", "nx", "mx"]).join(y, ["token", "ny", "my"]).where("cx <> cy").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+        met = part if met is None else met.unionByName(part)
+    return met.distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -307,26 +346,41 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     labels = components(links)
     # the members of buckets that hold several components
     placed = _placed(members.df.select("bucket", "rep"), labels)
-    mixed = Saved(_several(placed, "bucket").select("rep").distinct(), "mixed")
-    rest = Saved(_prefixes(mixed.df, docs, k, num, den), "prefixes")
-    hub = rest.df.groupBy("token").agg(F.min_by(F.struct("rep", "n", "place"), F.struct("place", "rep")).alias("h"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    near = _placed(rest.df, labels).join(hub.select("token", "h.*").toDF("token", "h", "nh", "ph"), "token").where(f"rep <> h AND {_reach('n', 'place', 'nh', 'ph', num, den)}")
-    shared = near.groupBy(F.col("rep").alias("a"), F.col("h").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-    best = shared.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
-    second = Saved(_across(best, labels), "second")
-    for part in (second, None):
-        if part is None:
-            several = Saved(_several(_placed(rest.df, labels), "token"), "several")
-            part = third = Saved(_open_pairs(several.df, num, den), "third")
-        if part.df.limit(1).count():
-            links = links.union(_verified(part.df, docs, k, num, den, made))
-            labels.drop()
-            labels = components(links)
-    for s in (hubs, members, first, mixed, rest, second, several, third, *made):
+    mixed = Saved(_several(placed, "bucket", made).select("rep").distinct(), "mixed")
+    made += [hubs, members, first, mixed]
+    if mixed.df.limit(1).count():
+        rest = Saved(_prefixes(mixed.df, docs, k, num, den), "prefixes")
+        same = ["n", "s", "h1", "h2"]
+        heads = rest.df.where("place = n - s + 1")  # one row a text
+        kinds = Saved(heads.groupBy(*same).agg(F.min("rep").alias("kind")), "kinds")
+        kin = Saved(heads.join(kinds.df, same).select("rep", "kind", "n", "s"), "kin")
+        lists = Saved(rest.df.join(kinds.df.select(F.col("kind").alias("rep")), "rep", "left_semi").select("rep", "n", "token", "place"), "lists")
+        alike = Saved(kin.df.where(f"rep <> kind AND {den} * s >= {num} * (2 * n - s)").select(F.col("rep").alias("a"), F.col("kind").alias("b")), "alike")
+        least_of = lists.df.groupBy("token").agg(F.min_by(F.struct("rep", "n", "place"), F.struct("place", "rep")).alias("h"), F.count(F.lit(1)).alias("size")).where("size > 1")
+        hub = Saved(least_of.select("token", "h.*").toDF("token", "h", "nh", "ph"), "token-hubs")
+        near = lists.df.join(hub.df, "token").where(f"rep <> h AND {_reach('n', 'place', 'nh', 'ph', num, den)}")
+        shared = near.groupBy(F.col("rep").alias("a"), F.col("h").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+        best = shared.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
+        made += [rest, kinds, kin, lists, alike, hub]
+        for step in ("alike", "best", "open"):
+            if step == "alike":
+                part = alike
+            elif step == "best":
+                part = Saved(_across(best, _kind_comps(kin.df, labels)), "second")
+            else:
+                comps = Saved(_kind_comps(kin.df, labels), "kind-comps")
+                several = Saved(_several(lists.df.join(comps.df, "rep"), "token", made), "several")
+                part = Saved(_open_pairs(several.df, num, den), "third")
+                made += [comps, several]
+            made.append(part)
+            if part.df.limit(1).count():
+                found = _verified(part.df, docs, k, num, den, made)
+                links = links.union(found if step == "alike" else found.union(_spread(found, kin.df)))
+                labels.drop()
+                labels = components(links)
+    for s in made:
         s.drop()
-    component = classes.df.select("key", "rep").join(labels.df.select(F.col("v").alias("rep"), "comp"), "rep").select("key", "comp")
-    # classes without links need no row: their component is the representative
-    of_class = classes.df.select("key", "rep").join(component, "key", "left").select("key", F.coalesce("comp", "rep").alias("component"))
+    of_class = classes.df.select("key", "rep").join(labels.df.select(F.col("v").alias("rep"), "comp"), "rep", "left").select("key", F.coalesce("comp", "rep").alias("component"))
     out = sketches.df.select("doc_id", "n", "key").join(of_class, "key", "left")
     comp = F.when(F.col("key").isNull() | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))

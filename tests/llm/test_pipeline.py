@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tessera.llm import decontam, mixing, quality, secrets
 from tessera.llm.common import Saved, table
@@ -55,6 +57,29 @@ def test_run_gives_the_last_stage(spark):
     assert keys and keys == sorted(keys)
 
 
+def test_pipeline_on_odd_rows_and_empty_tables(spark, tmp_path):
+    """Nulls, empty and long texts, repeated rows and ties, clashing columns; and every table empty."""
+    long = " ".join(f"word{i}" for i in range(30_000))
+    fine = [(100 + i, f"The committee of town {i} met on a calm day and agreed on plan {i * 7} for road {i * 3}.", "en", f"s{i % 3}") for i in range(40)]
+    junk = [(200 + i, f"### {i} $$$ %%% ### {i} &&& ***", "en", "junk") for i in range(40)]
+    odd = [(None, "A calm text without an id, about the plan of a town.", "en", "s"), (1, None, None, None), (2, "", "en", "s"), (3, long, "en", None), (4, fine[0][1], "en", "s1"), (4, fine[0][1], "en", "s1"), (5, "The key of the town is password=hunter2hunter2 as they agreed.", "en", "s0")]
+    rows = [(*r, len(r[1]) if r[1] is not None else None) for r in fine + junk + odd]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for c in ("copy", "score", "rep", "bucket", "spans", "gone"):
+        docs = docs.withColumn(c, F.lit("x"))
+    labels = spark.createDataFrame([(r[0], int(r[0] < 200), 0) for r in fine + junk], "doc_id bigint, quality int, toxic int")
+    bench = spark.createDataFrame([(1, fine[5][1]), (2, None), (3, "")], "item_id bigint, text string")
+    for name, empty in (("full", False), ("none", True)):
+        d = tmp_path / name
+        for table_, df in (("documents", docs), ("labels", labels), ("benchmark", bench)):
+            (df.limit(0) if empty else df).write.parquet(str(d / f"{table_}.parquet"))
+        got = corpus_pipeline.run(spark, str(d)).collect()
+        assert bool(got) != empty
+        if not empty:
+            assert not {r.doc_id for r in got} & ({r[0] for r in junk} | {105}) and not any("hunter2" in (r.text or "") for r in got)
+            assert {r.copy_ for r in got} == {"x"} and not {100, 4} <= {r.doc_id for r in got}
+
+
 def test_queries_carry_their_contracts(spark):
     import __spark_entry__
 
@@ -65,4 +90,4 @@ def test_queries_carry_their_contracts(spark):
     }
     for prefix, columns in want.items():
         name = next(n for n in found if n.startswith(prefix))
-        assert set(columns) <= set(found[name](spark, SF).columns)
+        assert found[name](spark, SF).columns[: len(columns)] == columns

@@ -5,13 +5,13 @@ Items have ord (unique), title, excerpt, url, outlet_id, outlet, lean, country a
 Scale: terms are long rows; document frequencies and norms are combined map-side. Only terms in 2 to max_block items make
 pairs, which bounds any term's pairs; the exact cosine of the pairs that are left uses all shared terms. Components are
 found by minimum labels with pointer jumping on written tables; pruning is one grouped task a component, of components
-larger than two only.
+larger than two only, in memory in proportion to its terms.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,8 +35,9 @@ def vectors(items: DataFrame, title_weight: int = 3) -> DataFrame:
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = items.agg(F.count(F.lit(1)).alias("n"))  # one row
     raw = tf.join(df, "term").join(F.broadcast(n)).withColumn("raw", (1 + F.ln("tf")) * (F.ln((F.col("n") + 1) / (F.col("df") + 1)) + 1))
-    norm = raw.groupBy("ord").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return raw.join(norm, "ord").select("ord", "term", "tf", "df", (F.col("raw") / F.col("norm")).alias("w"))
+    # the norm over the rows of an item that are dealt out once
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("ord")))
+    return raw.select("ord", "term", "tf", "df", (F.col("raw") / norm).alias("w"))
 
 
 def similar_pairs(items: DataFrame, vecs: DataFrame, threshold: float = THRESHOLD, hours: int = WINDOW_HOURS, max_block: int = MAX_BLOCK) -> DataFrame:
@@ -53,13 +54,14 @@ def similar_pairs(items: DataFrame, vecs: DataFrame, threshold: float = THRESHOL
 
 def cosine(pairs: DataFrame, vecs: DataFrame) -> DataFrame:
     """(i, j, sim) for each pair that shares a term, over all shared terms."""
-    a = vecs.select(F.col("ord").alias("i"), "term", F.col("w").alias("wi"))
-    b = vecs.select(F.col("ord").alias("j"), "term", F.col("w").alias("wj"))
+    # a term of one item only is shared by nobody
+    a = vecs.where("df > 1").select(F.col("ord").alias("i"), "term", F.col("w").alias("wi"))
+    b = vecs.where("df > 1").select(F.col("ord").alias("j"), "term", F.col("w").alias("wj"))
     return pairs.join(a, "i").join(b, ["j", "term"]).groupBy("i", "j").agg(F.sum(F.col("wi") * F.col("wj")).alias("sim"))
 
 
-def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """(ord, cluster_id): the smallest ord reachable over edges (i, j)."""
+def components(vertices: DataFrame, edges: DataFrame) -> Stored:
+    """(ord, cluster_id), written: the smallest ord reachable over edges (i, j)."""
     both = Stored(edges.select("i", "j").union(edges.select("j", "i")).distinct(), "edges")
     labels = Stored(both.df.groupBy(F.col("i").alias("v")).agg(F.least("i", F.min("j")).alias("c")), "labels")
     changed = labels.df.limit(1).count()
@@ -72,37 +74,43 @@ def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         labels = new
         changed = new.df.where("c <> was").limit(1).count()
     found = labels.df.select(F.col("v").alias("ord"), "c")
-    return vertices.select("ord").join(found, "ord", "left").select("ord", F.coalesce("c", "ord").alias("cluster_id"))
+    done = Stored(vertices.select("ord").join(found, "ord", "left").select("ord", F.coalesce("c", "ord").alias("cluster_id")), "components")
+    both.drop()
+    labels.drop()
+    return done
 
 
 def prune(members: DataFrame, vecs: DataFrame, floor: float = FLOOR) -> DataFrame:
     """(ord, cluster_id, pruned): while more than two members hold together less than the floor on average, the loosest goes.
 
-    Dropped members are in no cluster. Grouped Python: each removal depends on the one before.
+    Dropped members are in no cluster. Grouped Python: each removal depends on the one before. The sum of all members' vectors
+    tells each one's similarity to all others, so a component takes memory in proportion to its terms and needs no pairs.
     """
     sized = members.join(members.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n")), "cluster_id")
     large = sized.where("n > 2")
-    terms = large.join(vecs, "ord").groupBy("cluster_id", "ord").agg(F.collect_list(F.struct("term", "w")).alias("terms"))
-    terms = large.select("cluster_id", "ord").join(terms, ["cluster_id", "ord"], "left")
+    terms = large.join(vecs, "ord").groupBy("cluster_id", "ord").agg(F.collect_list(F.struct(F.xxhash64("term").alias("t"), "w")).alias("x"))
+    terms = large.select("cluster_id", "ord").join(terms, ["cluster_id", "ord"], "left").select("cluster_id", "ord", F.coalesce("x.t", F.array().cast("array<bigint>")).alias("terms"), F.coalesce("x.w", F.array().cast("array<double>")).alias("weights"))
 
     def keep(pdf: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
 
         pdf = pdf.sort_values("ord")
-        names: dict[str, int] = {}
-        rows = [{names.setdefault(t["term"], len(names)): t["w"] for t in (x if x is not None else ())} for x in pdf["terms"]]
-        m = np.zeros((len(rows), max(1, len(names))))
-        for r, row in enumerate(rows):
-            m[r, list(row)] = list(row.values())
-        sims = m @ m.T
-        alive = np.arange(len(rows))
-        while len(alive) > 2:
-            s = sims[np.ix_(alive, alive)]
-            total = s.sum() - np.trace(s)
-            if total / (len(alive) * (len(alive) - 1)) >= floor:
+        rows = np.repeat(np.arange(len(pdf)), pdf["terms"].map(len))
+        names, at = np.unique(np.concatenate(pdf["terms"].to_list()).astype(np.int64), return_inverse=True)
+        w = np.concatenate(pdf["weights"].to_list()).astype(float)
+        own = np.bincount(rows, w * w, len(pdf))
+        alive = np.ones(len(pdf), bool)
+        whole = np.bincount(at, w, len(names))
+        while (n := int(alive.sum())) > 2:
+            # a member's similarity to all others that are left
+            near = np.bincount(rows, w * whole[at], len(pdf)) - own
+            if near[alive].sum() / (n * (n - 1)) >= floor:
                 break
-            alive = np.delete(alive, int((s.sum(1) - np.diag(s)).argmin()))
-        return pd.DataFrame({"ord": pdf["ord"].to_numpy()[alive], "cluster_id": pdf["cluster_id"].iloc[0], "pruned": len(rows) - len(alive)})
+            # copies are equally loose whatever the order of their sums: the first goes
+            worst = int(np.where(alive, np.round(near, 9), np.inf).argmin())
+            alive[worst] = False
+            np.subtract.at(whole, at[rows == worst], w[rows == worst])
+        return pd.DataFrame({"ord": pdf["ord"].to_numpy()[alive], "cluster_id": pdf["cluster_id"].iloc[0], "pruned": len(pdf) - int(alive.sum())})
 
     kept = terms.groupBy("cluster_id").applyInPandas(keep, "ord bigint, cluster_id bigint, pruned int")
     return sized.where("n <= 2").select("ord", "cluster_id", F.lit(0).alias("pruned")).unionByName(kept)
@@ -117,14 +125,13 @@ def ordered_distinct(order: Column, x: Column) -> Column:
 def summarise(items: DataFrame, members: DataFrame, edges: DataFrame) -> DataFrame:
     """One row a cluster: items in order, outlets, countries, leans, first and last time, similarity of the surviving edges."""
     own = items.join(members, "ord")
-    first = "transform(array_sort(items), x -> x)"
     out = own.groupBy("cluster_id").agg(
         F.collect_list(F.struct("ord", "outlet_id", "outlet", "lean", "country", "title", "excerpt", "url", "published_at")).alias("items"),
         F.count_distinct(F.coalesce("outlet_id", "outlet")).cast("int").alias("outlet_count"),
         ordered_distinct(F.col("ord"), F.col("country")).alias("countries"),
         ordered_distinct(F.col("ord"), F.col("lean")).alias("leans"),
         F.min("published_at").alias("first_seen"), F.max("published_at").alias("last_seen"), F.min("ord").alias("min_ord"), F.max("pruned").alias("pruned"),
-    ).withColumn("items", F.expr(first))
+    ).withColumn("items", F.array_sort("items"))
     a, b = members.select(F.col("ord").alias("i"), F.col("cluster_id")), members.select(F.col("ord").alias("j"), F.col("cluster_id").alias("cj"))
     inside = edges.join(a, "i").join(b, "j").where("cluster_id = cj").groupBy("cluster_id").agg(F.min("sim").alias("min"), F.max("sim").alias("max"), F.count(F.lit(1)).cast("int").alias("pairs"))
     sims = F.struct(F.col("min"), F.col("max"), F.coalesce("pairs", F.lit(0)).alias("pairs"), F.col("pruned").cast("int").alias("pruned_for_cohesion"))
@@ -134,9 +141,12 @@ def summarise(items: DataFrame, members: DataFrame, edges: DataFrame) -> DataFra
 def cluster_items(items: DataFrame, threshold: float = THRESHOLD, floor: float = FLOOR, hours: int = WINDOW_HOURS, max_block: int = MAX_BLOCK) -> DataFrame:
     """All of it. Sort the result by outlet_count desc, size(items) desc, min_ord for the listed order."""
     included = Stored(exclude(items)[0], "included").df
-    vecs = Stored(vectors(included), "vectors").df
-    edges = Stored(similar_pairs(included, vecs, threshold, hours, max_block), "pairs").df
-    members = Stored(prune(components(included, edges), vecs, floor), "members").df
+    vecs = Stored(vectors(included), "vectors")
+    edges = Stored(similar_pairs(included, vecs.df, threshold, hours, max_block), "pairs").df
+    found = components(included, edges)
+    members = Stored(prune(found.df, vecs.df, floor), "members").df
+    for s in (vecs, found):
+        s.drop()
     return summarise(included, members, edges)
 
 

@@ -52,20 +52,54 @@ def check_feeds(targets: DataFrame, responses: DataFrame) -> DataFrame:
     return j.select("id", "name", "lean", "country", F.col("feed").alias("url"), good.alias("ok"), F.coalesce("v.items", F.lit(0)).alias("items"), note.alias("note"), moved.alias("redirected"), "blocked_by")
 
 
-def probe_list(failed: DataFrame, most: int = 40, per_step: int = 5) -> DataFrame:
-    """(id, step, pos, url): where else a feed may be, in order: its index, what its page declares, what the homepage declares, usual paths.
-
-    failed: id, feed, feed_index, page_html, home_url, home_html. At most ``per_step`` of the declared ones and ``most`` in all.
+# Paths under which feeds usually are, in the order in which they are tried.
+USUAL = ["/feed", "/feed/", "/rss", "/rss.xml", "/index.xml", "/atom.xml", "/feed/rss", "/rss/", "/rssfeeds", "/?feed=rss2", "/feeds/posts/default", "/section/india/feed/", "/rss/india", "/latest/feed"]
+# Homepages of outlets that have no feed address to start from.
+HOMEPAGES = {"torstar": "https://www.thestar.com/", "reuters": "https://www.reuters.com/world/", "xinhua": "https://english.news.cn/"}
+# Addresses where the feeds of some outlets may be.
+ALTERNATES = {
+    "ap": ["https://apnews.com/index.rss", "https://apnews.com/hub/world-news/rss", "https://apnews.com/rss"],
+    "washtimes": ["https://www.washingtontimes.com/rss/headlines/news/politics/", "https://www.washingtontimes.com/rss/headlines/news/"],
+    "thewire-in": ["https://thewire.in/rss/", "https://m.thewire.in/rss"],
+    "indianexp": ["https://indianexpress.com/section/india/feed/", "https://indianexpress.com/section/world/feed/"],
+    "theprint": ["https://theprint.in/feed", "https://theprint.in/rss"],
+    "swarajya": ["https://swarajyamag.com/rss/all", "https://swarajyamag.com/commentary/feed"],
+    "haaretz": ["https://www.haaretz.com/cmlink/1.4605102", "https://www.haaretz.com/srv/rss"],
+    "timesofisrael": ["https://www.timesofisrael.com/feed", "https://www.timesofisrael.com/rss"],
+    "xinhua": ["https://english.news.cn/rss/world.xml", "https://english.news.cn/home.xml"],
+    "focustaiwan": ["https://focustaiwan.tw/rss/all", "https://focustaiwan.tw/rss/politics.xml"],
+}
+
+
+def candidate_urls(failed: DataFrame, per_step: int = 5, alternates: dict[str, list[str]] | None = None) -> DataFrame:
+    """(id, step, pos, url, nth): where else a feed may be, each address at its first place: what the outlet's feed index declares,
+    known addresses, what the page that failed declares, what the homepage declares, usual paths.
+
+    failed: id, feed, feed_index, index_html, page_html, page_type, home_html. At most ``per_step`` of each step but the last.
     """
-    # Paths under which feeds usually are.
-    usual = ["/feed", "/feed/", "/rss", "/rss/", "/rss.xml", "/feed.xml", "/atom.xml", "/index.xml", "/feeds/news.rss", "/rss/news", "/rss/index.xml", "/feeds/posts/default", "/?feed=rss2", "/news/rss"]
-    origin = F.regexp_extract(F.coalesce("home_url", "feed"), r"^[a-zA-Z]+://[^/?#]+", 0)
-    some = lambda html, base: F.slice(F.coalesce(declared_feeds(html, base), F.array().cast("array<string>")), 1, per_step)
-    steps = F.array(F.array_compact(F.array(F.nullif(F.trim("feed_index"), F.lit("")))), some(F.col("page_html"), F.col("feed")), some(F.col("home_html"), F.col("home_url")), F.transform(F.array(*(F.lit(u) for u in usual)), lambda p: F.concat(origin, p)))
-    flat = failed.select("id", F.posexplode(steps).alias("step", "urls")).select("id", "step", F.posexplode("urls").alias("pos", "url"))
+    known = ALTERNATES if alternates is None else alternates
+    none = F.array().cast("array<string>")
+    start = F.coalesce("feed", F.try_element_at(F.create_map(*(F.lit(x) for kv in HOMEPAGES.items() for x in kv)), F.col("id")))
+    site = lambda c: F.regexp_extract(c, r"^[a-zA-Z]+://[^/?#]+", 0)
+    origin = site(start)
+    some = lambda html, base: F.slice(F.coalesce(declared_feeds(html, base), none), 1, per_step)
+    listed = F.coalesce(F.try_element_at(F.create_map(*(x for k, v in known.items() for x in (F.lit(k), F.array(*(F.lit(u) for u in v[:per_step]))))), F.col("id")), none) if known else none
+    page = F.when(~F.coalesce(F.col("page_type"), F.lit("")).rlike("(?i)xml"), F.col("page_html"))
+    steps = F.array(some(F.col("index_html"), site(F.col("feed_index"))), listed, some(page, origin), some(F.col("home_html"), origin), F.transform(F.array(*(F.lit(u) for u in USUAL)), lambda p: F.concat(origin, p)))
+    flat = failed.select("id", "feed", F.posexplode(steps).alias("step", "urls")).select("id", "feed", "step", F.posexplode("urls").alias("pos", "url")).where("NOT url <=> feed")
     first = flat.groupBy("id", "url").agg(F.min(F.struct("step", "pos")).alias("at"))
-    rn = F.row_number().over(Window.partitionBy("id").orderBy("at"))
-    return first.withColumn("rn", rn).where(f"rn <= {most}").select("id", "at.step", "at.pos", "url")
+    return first.select("id", "at.step", "at.pos", "url", F.row_number().over(Window.partitionBy("id").orderBy("at")).alias("nth"))
+
+
+def probe_list(failed: DataFrame, most: int = 40, per_step: int = 5) -> DataFrame:
+    """(id, step, pos, url): the first ``most`` of the candidate addresses."""
+    return candidate_urls(failed, per_step).where(f"nth <= {most}").select("id", "step", "pos", "url")
+
+
+def gave_up(candidates: DataFrame, found: DataFrame, most: int = 40) -> DataFrame:
+    """(id, note) for outlets without a working feed among their first ``most`` addresses that have more: not all were tried."""
+    more = candidates.groupBy("id").agg(F.max("nth").alias("n")).where(f"n > {most}").join(found, "id", "left_anti")
+    return more.select("id", F.lit(f"gave up after {most} probes (cap {most}) — not all candidates were tried").alias("note"))
 
 
 def first_working(probes: DataFrame, responses: DataFrame) -> DataFrame:

@@ -151,11 +151,17 @@ def conflicts(items: DataFrame, group: str = "cluster_id", tolerance: float = 0.
     """(group, kind, about, spread, readings): outlets that give clearly different numbers for what looks like one quantity.
 
     ``items``: group, ord, outlet, url, title, excerpt. A self-join on group, kind and each shared subject word, so only
-    numbers about the same thing meet; pairs with two shared words or more are judged.
+    numbers about the same thing meet, each outlet's once; pairs with two shared words or more are judged.
     """
     text = F.concat(F.coalesce("title", F.lit("")), F.lit(". "), F.coalesce("excerpt", F.lit("")))
     q = items.select(group, "ord", "outlet", "url", F.posexplode(N.quantities(text)).alias("pos", "q")).select(group, "ord", "pos", "outlet", "url", "q.*").where("NOT in_range AND value IS NOT NULL")
+    # what one outlet says in the same words again gives the same readings: its first place stands for all of them
+    q = q.groupBy(group, "kind", "outlet", "raw", "value", "currency", "subject").agg(F.min(F.struct("ord", "pos", "url")).alias("at")).select(group, "kind", "outlet", "raw", "value", "currency", "subject", "at.*")
     word = q.withColumn("word", F.explode("subject"))
+    # subjects on which all agree, or of which one outlet speaks, have no pair
+    open_ = word.groupBy(group, "kind", "word").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.min(F.coalesce("outlet", F.lit(""))).alias("o1"), F.max(F.coalesce("outlet", F.lit(""))).alias("o2"), F.count_if(F.col("outlet").isNull()).alias("nulls"))
+    open_ = open_.where(f"hi <> 0 AND (hi - lo) / hi > {tolerance} AND (o1 <> o2 OR nulls > 0)").select(group, "kind", "word")
+    word = word.join(open_, [group, "kind", "word"])
     side = lambda d, s: d.select(F.col(group), "kind", "word", *(F.col(c).alias(c + s) for c in ("ord", "pos", "outlet", "url", "raw", "value", "currency", "subject")))
     met = side(word, "1").join(side(word, "2"), [group, "kind", "word"]).where("(ord1 < ord2 OR (ord1 = ord2 AND pos1 < pos2)) AND NOT outlet1 <=> outlet2 AND coalesce(currency1 = currency2, true) AND greatest(value1, value2) <> 0")
     met = met.withColumn("raw_spread", F.expr("(greatest(value1, value2) - least(value1, value2)) / greatest(value1, value2)")).where(F.col("raw_spread") > tolerance)
@@ -228,6 +234,11 @@ def candidates(clusters: DataFrame, roster: DataFrame, articles: DataFrame, conf
     return joined.select(candidate_id(F.col("items.url")).alias("id"), "cluster_id", tier.alias("tier"), basis.alias("tier_basis"), "outlet_count", "sources", frame(F.col("items")).alias("framing"), "disputed_candidates", *keep, *(F.lit(None).cast("string").alias(p) for p in PROSE), F.lit("to be written from the retrieved text").alias("_prose"))
 
 
+def articles_to_read(clusters: DataFrame, most: int = 6) -> DataFrame:
+    """(cluster_id, pos, url): the first ``most`` items of each cluster, whose articles are worth fetching."""
+    return clusters.select("cluster_id", F.posexplode(F.slice("items", 1, most)).alias("pos", "i")).select("cluster_id", "pos", "i.url")
+
+
 def side_balance(cands: DataFrame) -> DataFrame:
     """(side, candidates): how many candidates have an outlet on each side; 'none' for those with none."""
     has = lambda s: F.exists("framing.views", lambda v: (v["side"] == s) & (F.size(v["outlets"]) > 0))

@@ -133,13 +133,18 @@ def field_name(name: str) -> str:
     return re.sub("[^a-z]", "", name.lower())
 
 
+def _named(name: str):
+    return lambda e: e["k"] == name
+
+
 def records(files: DataFrame) -> DataFrame:
     """One row a record of rating files (path, body JSON): a list, or one under data, sources or results; fields by letters only."""
     bare = F.when(F.ltrim("body").startswith("["), F.col("body"))
     under = [F.get_json_object("body", f"$.{k}") for k in ("data", "sources", "results")]
     rows = files.select(F.posexplode(F.from_json(F.coalesce(bare, *under), "array<map<string,string>>")).alias("pos", "r"))
-    flat = F.map_from_entries(F.transform(F.map_entries("r"), lambda e: F.struct(F.regexp_replace(F.lower(e["key"]), "[^a-z]", ""), e["value"])))
-    get = lambda *names: F.coalesce(*(F.nullif(F.trim(F.try_element_at(F.col("m"), F.lit(field_name(n)))), F.lit("")) for n in names))
+    # fields whose names come to the same letters: the first that is not blank
+    flat = F.filter(F.transform(F.map_entries("r"), lambda e: F.struct(F.regexp_replace(F.lower(e["key"]), "[^a-z]", "").alias("k"), F.trim(e["value"]).alias("v"))), lambda e: F.coalesce(e["v"], F.lit("")) != "")
+    get = lambda *names: F.coalesce(*(F.get(F.filter("m", _named(field_name(n))), 0)["v"] for n in names))
     cols = {"source_id": ("Source ID#",), "source": ("Source", "name"), "source_url": ("Source URL", "sourceurl", "url", "domain"), "mbfc_url": ("MBFC URL",), "bias": ("Bias",), "factual": ("Factual Reporting",), "credibility": ("Credibility",), "country": ("Country",), "media_type": ("Media Type",)}
     return rows.select("pos", flat.alias("m")).select("pos", *(get(*v).alias(k) for k, v in cols.items()))
 

@@ -11,9 +11,11 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where that is unset (tests), a folder of our own."""
+    """spark.checkpoint.dir; only where that is unset and all runs on one machine (tests), a folder of our own."""
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir") or _own.get("dir")
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = _own["dir"] = "file://" + tempfile.mkdtemp(prefix="tessera-")
     return d.rstrip("/")
 

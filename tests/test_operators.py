@@ -153,7 +153,7 @@ def test_feed_checks_and_probes(spark):
     responses = spark.createDataFrame([("https://a/rss", 200, "https://a/new", "", "<rss><item>x</item></rss>", None, None), ("https://c/rss", 404, "https://c/rss", "", "", None, None), ("https://d/feed", 200, "https://d/feed", "", "<rss><item>x</item></rss>", None, None)], "url string, status int, final_url string, content_type string, body string, error string, blocked_by string")
     got = {r.id: r for r in feeds.check_feeds(targets, responses).collect()}
     assert (got["a"].ok, got["a"].redirected, got["b"].note, got["c"].note, got["d"].note) == (True, "https://a/new", "no feed url", "HTTP 404", "not fetched")
-    failed = targets.where("id = 'd'").select("id", "feed", *(F.lit(None).cast("string").alias(c) for c in ("feed_index", "page_html", "home_html")), F.lit("https://d/").alias("home_url"))
+    failed = targets.where("id = 'd'").select("id", "feed", *(F.lit(None).cast("string").alias(c) for c in ("feed_index", "index_html", "page_html", "page_type", "home_html")))
     probes = feeds.probe_list(failed)
     assert feeds.first_working(probes, responses).collect()[0].suggested == "https://d/feed"
     roster = targets.withColumn("verified", F.lit(False)).withColumn("feed_items", F.lit(None).cast("int")).withColumn("feed_checked", F.lit(None).cast("date")).withColumn("feed_error", F.lit(None).cast("string"))
@@ -165,6 +165,30 @@ def test_feed_checks_and_probes(spark):
     assert {r.id: r.verdict[:10] for r in feeds.diagnose(diag).collect()} == {"x": "only a bro", "y": "robots.txt"}
 
 
+def test_probe_ladder(spark):
+    link = lambda *paths: "".join(f'<link rel="alternate" type="application/rss+xml" href="{p}">' for p in paths)
+    rows = [("theprint", "https://theprint.in/old", "https://theprint.in/feeds", link(*(f"/i{i}" for i in range(8))), link("/p1", "/i0"), "text/html", link("/h1", "/old")), ("b", "https://b.org/x", None, None, link("/p1"), "application/xml", None), ("reuters", None, None, None, None, None, link("/w"))]
+    failed = spark.createDataFrame(rows, "id string, feed string, feed_index string, index_html string, page_html string, page_type string, home_html string")
+    got = {i: [r.url for r in feeds.candidate_urls(failed).where(F.col("id") == i).orderBy("nth").collect()] for i in ("theprint", "b", "reuters")}
+    site = "https://theprint.in"
+    assert got["theprint"][:9] == [*(f"{site}/i{i}" for i in range(5)), f"{site}/feed", f"{site}/rss", f"{site}/p1", f"{site}/h1"]
+    assert len(got["theprint"]) == 9 + 12 and f"{site}/old" not in got["theprint"]
+    assert got["b"] == [f"https://b.org{p}" for p in feeds.USUAL] and got["reuters"][:2] == ["https://www.reuters.com/w", "https://www.reuters.com/feed"]
+    found = spark.createDataFrame([("b", "https://b.org/feed")], "id string, suggested string")
+    assert {r.id for r in feeds.gave_up(feeds.candidate_urls(failed), found, most=14).collect()} == {"theprint", "reuters"}
+    assert feeds.probe_list(failed, most=3).groupBy("id").count().where("count = 3").count() == 3
+
+
+def test_records_with_fields_of_the_same_letters(spark):
+    recs = spark.createDataFrame([('[{"Source":"","source":"B","Bias":null,"bias ":"Left"},{"Source ":"A","source":"B"},{}]',)], "body string")
+    assert [(r.source, r.bias) for r in landed.records(recs).orderBy("pos").collect()] == [("B", "Left"), ("A", None), (None, None)]
+
+
+def test_articles_to_read(harbour):
+    got = stories.articles_to_read(C.cluster_items(harbour), 2).orderBy("cluster_id", "pos").collect()
+    assert [(r.cluster_id, r.pos) for r in got] == [(0, 0), (0, 1), (4, 0)]
+
+
 def test_ratings(spark):
     r = spark.createDataFrame([("a", 0, "mbfc", "Left", None), ("a", 1, "allsides", "lean left", ["satire", "x"]), ("b", 0, "mbfc", "Right", None), ("b", 1, "allsides", "Left", None), ("c", 0, "mbfc", "Conspiracy", ["conspiracy"]), ("d", 0, "adfontes", "20", None)], "outlet_id string, pos int, provider string, raw string, flags array<string>")
     o = spark.createDataFrame([("a", "right"), ("b", None), ("c", "left"), ("d", "left"), ("e", "left")], "outlet_id string, roster_lean string")

@@ -104,8 +104,8 @@ def _framed(entry: Column) -> Column:
 
 
 def ranking(clusters: DataFrame) -> DataFrame:
-    """With ``rank_score``: outlets * 10 + countries * 2 + largest similarity * 5."""
-    return clusters.withColumn("rank_score", F.col("outlet_count") * 10 + F.size("countries") * 2 + F.coalesce("similarity.max", F.lit(0.0)) * 5)
+    """With ``rank_score``: outlets * 10 + countries * 2 + largest similarity * 5, to nine digits, so that copies tie on any cluster."""
+    return clusters.withColumn("rank_score", F.round(F.col("outlet_count") * 10 + F.size("countries") * 2 + F.coalesce("similarity.max", F.lit(0.0)) * 5, 9))
 
 
 def select_by_region(clusters: DataFrame, quotas: dict[str, int], limit: int) -> tuple[DataFrame, DataFrame]:

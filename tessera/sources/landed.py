@@ -74,16 +74,18 @@ def feed_items(bodies: DataFrame, outlets: DataFrame, retrieved_at) -> DataFrame
     """Items of landed feed bodies (outlet_id, body): RSS, RDF and Atom alike, in feed order, complete ones only.
 
     Items are cut out as XML fragments and read with from_xml, so one feed of any number of items is one row until then.
-    ord is the outlet's position times 1,000,000 plus the place in the feed.
+    ord is the outlet's position times 1,000,000 plus the place in the feed; a body that is a later piece of a feed says in a column
+    ``start`` how many items come before it.
     """
+    start = F.col("start").cast("bigint") if "start" in bodies.columns else F.lit(0).cast("bigint")
     fragments = F.regexp_extract_all("body", F.lit(r"(?is)<(item|entry)(?:\s[^>]*)?>.*?</\1>"), F.lit(0))
-    rows = bodies.select("outlet_id", F.posexplode(fragments).alias("n", "xml"))
+    rows = bodies.select("outlet_id", start.alias("start"), F.posexplode(fragments).alias("n", "xml"))
     # prefixes need no declaration once they are part of the name
     plain = F.regexp_replace("xml", r"(?i)^<(item|entry)(?:\s[^>]*)?>", "<item>")
     plain = F.regexp_replace(plain, r"(?i)</(item|entry)>$", "</item>")
     plain = F.regexp_replace(plain, r"(</?)(dc|dcterms|content):", "$1$2_")
     schema = f"struct<{_ENTRY}>".replace("`dc:date`", "dc_date").replace("`dcterms:date`", "dcterms_date").replace("`content:encoded`", "content_encoded")
-    e = rows.select("outlet_id", "n", F.from_xml(plain, schema, {"ignoreNamespace": "true"}).alias("e"))
+    e = rows.select("outlet_id", (F.col("start") + F.col("n")).alias("n"), F.from_xml(plain, schema, {"ignoreNamespace": "true"}).alias("e"))
     title = X.strip_html(F.col("e.title._VALUE"))
     body = F.coalesce(F.col("e.description._VALUE"), F.col("e.summary._VALUE"), F.col("e.content._VALUE"), F.col("e.content_encoded"))
     o = outlets.select(F.col("id").alias("outlet_id"), F.col("pos").alias("__pos"), F.col("name").alias("outlet"), "lean", "country")

@@ -9,6 +9,13 @@ the last return the columns of documents; the last adds copy and shuffle_key and
 3. decontamination: documents that hold a benchmark item within its edit budget go.
 4. secrets: every span of a secret is replaced by its kind in brackets; n_chars follows the text.
 5. mixing: copies by a Poisson rate that brings each source to the same share, in a global random order.
+
+Defined cases: null texts count as empty ones, and both are scored by the classifier's curve without features, so they stay or
+go alike; rows with a null id teach nothing, are near duplicates of nobody, and stay if their text does; repeated rows go through
+alike, and those of the id that stays all stay; of equally alike documents the smallest id stays; a null source is a source
+of its own in the mix; texts of any length are read whole; columns of any other name come along, and those named copy or shuffle_key
+get an underscore behind their names in the mix; without labels of both classes no document is rejected that is as likely
+good as not; empty tables give an empty mix.
 """
 
 from __future__ import annotations

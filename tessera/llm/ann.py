@@ -8,8 +8,9 @@ distances are computed in double precision on the original vectors.
 Copies of one vector are one node. A node keeps its k + 1 smallest ids, which is all that a result of k can need, so a vector
 that a third of all rows share is one node and not a bucket.
 
-Scale: a shard has SHARD nodes or, beyond SHARD * TASKS vectors, as many as make TASKS shards, but never more than MEMORY bytes;
-it is built by one task, and the graph is written to the shared folder. For searching, the nodes of a shard come first in a
+Scale: a shard has SHARD nodes or, beyond SHARD * TASKS vectors, as many as make TASKS shards, but never more than LARGEST nodes or
+MEMORY bytes; it is built by one task, and the graph is written to the shared folder. Larger shards are searched by wider beams, by
+the root of their size, since recall would fall otherwise. For searching, the nodes of a shard come first in a
 task and queries stream by in batches; a query sends k rows a shard to the merge, never more. The driver sees one number.
 
 Defined cases: vectors null, zero, or holding null or non-finite components, and rows with a null id, take no part; vectors are
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 
 from tessera.llm.common import Saved, by_ids
 
-SHARD, TASKS, MEMORY = 8192, 4096, 256_000_000
+SHARD, LARGEST, TASKS, MEMORY = 8192, 65_536, 4096, 256_000_000
 DEGREE, BEAM, BUILD_BEAM, ALPHA = 32, 128, 48, 1.2
 BATCH = 256
 
@@ -242,13 +243,13 @@ def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _answers(part: pa.RecordBatch, graph: tuple, k: int) -> Iterator[pa.RecordBatch]:
     vectors, edges, entry, ids = graph
-    near = _working(vectors)
+    near, beam = _working(vectors), int(BEAM * max(1.0, len(vectors) / SHARD) ** 0.5)
     offsets, flat = ids.offsets.to_numpy() - ids.offsets[0].as_py(), ids.flatten().to_numpy()
     all_queries, asked = _rows(part.column("vector")), _rows(part.column("ids"), 3)
     for i in range(0, len(all_queries), BATCH):
         queries = all_queries[i : i + BATCH]
         kind = np.result_type(near, _working(queries))
-        found, _ = beam_search(near.astype(kind, copy=False), edges, entry, np.ascontiguousarray(queries, kind), max(BEAM, k + 1))
+        found, _ = beam_search(near.astype(kind, copy=False), edges, entry, np.ascontiguousarray(queries, kind), max(beam, k + 1))
         exact = np.where(found >= 0, _exact(vectors[np.maximum(found, 0)], queries), np.inf)
         out: list[tuple] = []
         for r, (qid, row, times) in enumerate(asked[i : i + BATCH].tolist()):
@@ -300,7 +301,7 @@ def build_index(embeddings: DataFrame, shard: int = SHARD, k: int = 10) -> Index
     distinct = Saved(few.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.size("vector").alias("dims")), "vectors")
     sizes = distinct.df.groupBy("dims").agg(F.count(F.lit(1)).alias("n"))
     most = F.floor(F.lit(MEMORY) / (F.col("dims") * (4 if wide == "float" else 8) + DEGREE * 8))
-    parts = sizes.withColumn("parts", F.ceil(F.col("n") / F.greatest(F.lit(1), F.least(most, F.greatest(F.lit(shard), F.ceil(F.col("n") / TASKS))))))
+    parts = sizes.withColumn("parts", F.ceil(F.col("n") / F.greatest(F.lit(1), F.least(most, F.lit(max(shard, LARGEST)), F.greatest(F.lit(shard), F.ceil(F.col("n") / TASKS))))))
     # one row a number of components
     before = F.coalesce(F.sum("parts").over(Window.orderBy("dims").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     layout = Saved(parts.select("dims", before.alias("base"), "parts"), "layout")

@@ -8,7 +8,7 @@ The log ratio of a character is then a function of its n-gram (seen) or of its h
 A toxic text is an ordinary one but for what it says here and there. So the toxic likelihood of a word is that by the toxic model
 once in 1 / SHARE words and else that by the ordinary one, and the score compares the text's two log-likelihoods, each divided
 by its number of words: their difference, and nothing else, goes through a logistic curve (over its logarithm, counted from its
-least value) that is fitted on sample texts that the counts have not seen.
+least value) that is fitted on the sample's texts, each scored by counts of the other folds only.
 
 Characters are lower-cased; whatever is no letter or digit separates words. The LETTERS commonest letters of the sample have
 symbols of their own, all others are dealt over the remaining symbols by code point. The class counts and the curve are fitted
@@ -16,9 +16,9 @@ on at most PER_CLASS labelled rows of either class (a documented bound). The sha
 labelled or not: each task hands on its distinct n-grams, which are counted on the cluster; only the counts of n-grams that the
 class counts hold come to the driver, so the model is as bounded as the sample. Scoring reads every whole text, without a shuffle.
 
-Defined cases: null and empty texts have a difference of 0; null ids are not held out and teach nothing; where the curve's part of
-the sample lacks a class, counts and curve take all of it; with labels of one class only (or none) every score is the smoothed
-share of label 1; repeated rows are scored alike; other columns are ignored.
+Defined cases: null and empty texts have a difference of 0; null ids are not held out and teach nothing; a fold without which a
+class has no text is scored by the counts of all; with labels of one class only (or none) every score is the smoothed share of
+label 1; repeated rows are scored alike; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,8 +38,8 @@ BITS, LETTERS = 12, 3072
 PER_CLASS = 3000
 #: The share of a toxic text's words that speak by the toxic model.
 SHARE = 0.01
-#: One sample text in so many is for the curve.
-CURVE = 10
+#: Parts of the sample, each of which is scored for the curve by the counts of the others.
+FOLDS = 4
 
 
 def alphabet_table(letters: str) -> np.ndarray:
@@ -178,19 +178,18 @@ def evidence(text: str, model: dict) -> float:
 
 
 def _counted(table):
-    """Per partition: counts of n-grams of the sample rows, by class."""
+    """Per partition: counts of n-grams of the sample rows, by class and fold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shown = [[], []]
+        shown: dict[tuple[int, int], list[np.ndarray]] = {}
         for b in batches_of(batches):
-            for y, t in zip(b.column("y").to_pylist(), b.column("text"), strict=True):
+            for y, f, t in zip(b.column("y").to_pylist(), b.column("fold").to_pylist(), b.column("text"), strict=True):
                 s = symbols(t.as_py() or "", table.value)
                 if len(s):
-                    shown[y].append(grams(s, ORDER))
-        for y in (0, 1):
-            if shown[y]:
-                k, n = np.unique(np.concatenate(shown[y]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(np.full(len(k), y, np.int32)), pa.array(n.astype(np.int64))], ["gram", "y", "n"])
+                    shown.setdefault((y, f), []).append(grams(s, ORDER))
+        for (y, f), some in shown.items():
+            k, n = np.unique(np.concatenate(some), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), *(pa.array(np.full(len(k), v, np.int32)) for v in (y, f)), pa.array(n.astype(np.int64))], ["gram", "y", "fold", "n"])
 
     return run
 
@@ -248,40 +247,49 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int =
     sc = docs.sparkSession.sparkContext
     sample = labelled(labels, label, parts, held, per_class)
     texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
-    kept = Saved(texts.select("y", "text", (F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(CURVE)) == 0).alias("curve")), "toxic-sample")
-    n = {(r.curve, r.y): r.n for r in kept.df.groupBy("curve", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    kept = Saved(texts.select("y", "text", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int").alias("fold")), "toxic-sample")
+    n = {(r.fold, r.y): r.n for r in kept.df.groupBy("fold", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = [sum(v for (_, y), v in n.items() if y == k) for k in (0, 1)]
     if not all(share):
         kept.drop()
         nothing = Slots(np.zeros(0, np.uint64), np.zeros(0))
         return {"table": alphabet_table(""), "ngrams": nothing, "histories": nothing, "a": 0.0, "b": float(np.log((share[1] + 1) / (share[0] + 1)))}
-    learn = curve = kept.df
-    if all(n.get((c, y)) for c in (True, False) for y in (0, 1)):
-        learn, curve = kept.df.where("NOT curve"), kept.df.where("curve")
-    chars = learn.select(F.explode(F.array_distinct(F.split(F.lower("text"), ""))).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    chars = kept.df.select(F.explode(F.array_distinct(F.split(F.lower("text"), ""))).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n"))
     met = sorted((r for r in chars.where("length(c) = 1").collect() if r.c.isalnum()), key=lambda r: (-r.n, r.c))
     table = alphabet_table("".join(r.c for r in met[:LETTERS]))
-    counts = learn.select("y", "text").mapInArrow(_counted(sc.broadcast(table)), "gram bigint, y int, n bigint")
-    known = Saved(counts.groupBy("gram").agg(*(F.coalesce(F.sum(F.when(F.col("y") == y, F.col("n"))), F.lit(0)).alias(f"n{y}") for y in (0, 1))), "toxic-counts")
+    counts = kept.df.select("y", "fold", "text").mapInArrow(_counted(sc.broadcast(table)), "gram bigint, y int, fold int, n bigint")
+    parts_ = [(y, f) for y in (0, 1) for f in range(FOLDS)]
+    known = Saved(counts.groupBy("gram").agg(*(F.coalesce(F.sum(F.when((F.col("y") == y) & (F.col("fold") == f), F.col("n"))), F.lit(0)).alias(f"n{y}_{f}") for y, f in parts_)), "toxic-counts")
     got = known.df.toArrow()
     levels = gather(docs, known.df.select("gram"), table)
     known.drop()
     keys = got.column("gram").to_numpy().astype(np.uint64)
     order = np.argsort(keys)
-    ngrams, histories = kneser_ney(keys[order], got.column("n1").to_numpy()[order].astype(float), got.column("n0").to_numpy()[order].astype(float), levels)
-    model = {"table": table, "ngrams": ngrams, "histories": histories}
-    rows = curve.select("y", "text").mapInArrow(_scored(sc.broadcast(model)), "y int, e double").toArrow()
+    keys, by = keys[order], {p: got.column(f"n{p[0]}_{p[1]}").to_numpy()[order].astype(float) for p in parts_}
+    whole = [sum(by[y, f] for f in range(FOLDS)) for y in (0, 1)]
+    model = dict(zip(("ngrams", "histories"), kneser_ney(keys, whole[1], whole[0], levels), strict=True)) | {"table": table}
+    x, label_ = [], []
+    for fold in range(FOLDS):
+        own = model
+        if all(share[y] > n.get((fold, y), 0) for y in (0, 1)):
+            own = dict(zip(("ngrams", "histories"), kneser_ney(keys, whole[1] - by[1, fold], whole[0] - by[0, fold], levels), strict=True)) | {"table": table}
+        shipped = sc.broadcast(own)
+        rows = kept.df.where(F.col("fold") == fold).select("y", "text").mapInArrow(_scored(shipped), "y int, e double").toArrow()
+        shipped.destroy()
+        x.append(rows.column("e").to_numpy())
+        label_.append(rows.column("y").to_numpy())
     kept.drop()
-    return model | _curve(rows.column("e").to_numpy(), rows.column("y").to_numpy().astype(float))
+    return model | _curve(np.concatenate(x), np.concatenate(label_).astype(float))
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> dict:
-    """The logistic curve a * x + b of label 1 by Newton steps, a little ridge on its slope."""
+    """The logistic curve a * x + b of label 1 by Newton steps, the classes weighed alike, a little ridge on its slope."""
     z = np.column_stack((x, np.ones(len(x))))
+    weight = np.where(y == 1, 1 / max(1.0, y.sum()), 1 / max(1.0, (1 - y).sum())) * len(y) / 2
     w, ridge = np.zeros(2), np.array([0.01, 1e-4])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(ridge), z.T @ (p - y) + ridge * w)
+        step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + np.diag(ridge), z.T @ (weight * (p - y)) + ridge * w)
         w -= step
         if np.abs(step).max() < 1e-8:
             break

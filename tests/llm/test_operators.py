@@ -310,9 +310,7 @@ def test_likelihoods_match_a_plain_model(spark):
     train = [("you are a zzyx fool", 1), ("zzyx zzyx he said", 1), ("a fool and a zzyx", 1), ("you are a kind man", 0), ("he said and she said", 0), ("a man and a fool and a dog", 0), ("the dog said", 0)] * 2
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(train)] + [(99, "a zebra said so")], "doc_id bigint, text string")
     model = toxicity.train(docs, spark.createDataFrame([(i, y) for i, (_, y) in enumerate(train)], "doc_id bigint, toxic int"), parts=1, held=9)
-    folds = {r.doc_id: r.f for r in docs.select("doc_id", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(toxicity.CURVE)).alias("f")).collect()}
-    curve = {i for i in range(len(train)) if folds[i] == 0}
-    learn = [(t, y) for i, (t, y) in enumerate(train) if i not in curve or {train[j][1] for j in curve} != {0, 1}]
+    learn = train
     n = toxicity.ORDER
     cut = lambda t: [(" " * (n - 2) + f" {t} ")[i : i + n] for i in range(len(t) + 1)]
     count = [collections.Counter(g for t, y in learn if y == k for g in cut(t)) for k in (0, 1)]

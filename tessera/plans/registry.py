@@ -134,7 +134,7 @@ def quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.groupBy("ord").agg(F.count(F.lit(1)).alias("n"), *sums)
 
 
-@query(f"""WITH src AS (SELECT c_custkey AS ord, c_nationkey AS g, c_mktsegment AS outlet, {A.BALANCE_SQL} AS text FROM customer), {S.quantities("src", "ord, g, outlet")},
+@query(f"""WITH src AS (SELECT c_custkey AS ord, c_custkey // 500 * 25 + c_nationkey AS g, c_mktsegment AS outlet, {A.BALANCE_SQL} AS text FROM customer), {S.quantities("src", "ord, g, outlet")},
 good AS (SELECT * FROM quant WHERE NOT in_range),
 met AS (SELECT x.g, x.kind, x.ord AS ord1, x.pos AS pos1, y.ord AS ord2, y.pos AS pos2, x.outlet AS outlet1, y.outlet AS outlet2, x.raw AS value1, y.raw AS value2, list_filter(x.subject, lambda w: list_contains(y.subject, w)) AS shared,
     (greatest(x.value, y.value) - least(x.value, y.value)) / greatest(x.value, y.value) AS spread
@@ -143,9 +143,9 @@ firsts AS (SELECT * FROM met WHERE spread > 0.05 AND len(shared) >= 2 QUALIFY ro
 top AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY round(spread, 3) DESC, ord1, pos1, ord2, pos2) AS rn FROM firsts)
 SELECT g, rn::INT AS rank, kind, array_to_string(list_slice(shared, 1, 4), ' ') AS about, round(spread, 3) AS spread, outlet1, value1, outlet2, value2 FROM top WHERE rn <= 8""")
 def numeric_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Disagreeing numbers among reports on the same nation's customers, the market segments being their outlets."""
+    """Disagreeing numbers among reports on customers of one nation in pieces of some 20, as stories are; the market segments are their outlets."""
     c = A.table(spark, sf_dir, "customer")
-    i = c.select(F.col("c_nationkey").alias("g"), F.col("c_custkey").alias("ord"), F.col("c_mktsegment").alias("outlet"), F.lit("").alias("url"), A.balance_text().alias("title"), F.lit("").alias("excerpt"))
+    i = c.select(F.expr("c_custkey div 500 * 25 + c_nationkey").alias("g"), F.col("c_custkey").alias("ord"), F.col("c_mktsegment").alias("outlet"), F.lit("").alias("url"), A.balance_text().alias("title"), F.lit("").alias("excerpt"))
     r = stories.conflicts(i, "g")
     return r.select("g", "rank", "kind", F.array_join("about", " ").alias("about"), "spread", *(F.col("readings")[n - 1][c].alias(f"{c}{n}") for n in (1, 2) for c in ("outlet", "value")))
 

@@ -136,6 +136,7 @@ def normalise_name(c: Column) -> Column:
     return F.regexp_replace(c, "[^a-z0-9]+", "")
 
 
+# Elements without prose here, elements that end a line and openings of lines that are no prose in paragraphs.
 _BLOCKS = r"(?is)<(script|style|nav|footer|aside|form|noscript|figure|header)[^>]*>.*?</\1>"
 
 

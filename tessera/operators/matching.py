@@ -89,6 +89,7 @@ def parse_ratings(records: DataFrame) -> DataFrame:
     return records.select(F.lit("mbfc").alias("provider"), F.col("source_id").alias("mbfc_id"), F.col("source").alias("name"), normalise_domain(F.col("source_url")).alias("domain"), raw.alias("raw"), L.lookup(L.SCALES["mbfc"], key).alias("score"), flags.alias("flags"), "factual", "credibility", "country", "media_type", F.col("mbfc_url").alias("report_url"))
 
 
+# Fixed values in consensus: the note on services that disagree.
 def consensus(ratings: DataFrame, rosters: DataFrame) -> DataFrame:
     """One row an outlet of ``rosters`` (outlet_id, roster_lean): status, spread, consensus, roster_disagrees, display, flags, note.
 
@@ -119,6 +120,7 @@ def unexpired(cache: DataFrame, now, days: int = 30) -> DataFrame:
     return cache.where(F.col("fetched_at") >= F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {days} DAYS"))
 
 
+# Fixed values in attribution: the providers' sites.
 def attribution(provider: Column, report_url: Column) -> Column:
     """struct(text, href, required): who is to be credited for a rating."""
     site = L.lookup({"mbfc": "https://mediabiasfactcheck.com", "allsides": "https://www.allsides.com", "adfontes": "https://adfontesmedia.com"}, provider)

@@ -81,6 +81,7 @@ def with_regions(clusters: DataFrame) -> DataFrame:
     return clusters.withColumn("__text", story_text(F.col("items"))).withColumn("region", regions(F.col("__text"), F.col("countries"))).drop("__text")
 
 
+# The sentences that say why left to right is not the axis, here and in _framed.
 def frame(items: Column) -> Column:
     """struct(views, axis, off_axis): who on each side published, and whether left to right is the axis at all."""
     return X.let(_entries(items), _framed)
@@ -185,6 +186,7 @@ def key_terms(items: DataFrame, group: str = "cluster_id", most: int = 6) -> Dat
     return top.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("rn", "term"))), lambda x: x["term"]).alias("terms"))
 
 
+# Fixed values in verify: the institutions that a title may name, and the sentences on sources that do not apply or were not found.
 def verify(clusters: DataFrame, documents: DataFrame, now, days: int = 30, most: int = 5) -> DataFrame:
     """``clusters`` with ``verification``: registries tried, documents found, and what absence does not prove.
 
@@ -214,6 +216,7 @@ def candidate_id(urls: Column) -> Column:
 PROSE = ("headline", "context", "coverage", "dateline", "cat", "sub", "watch", "facts", "disputed")
 
 
+# Fixed values in candidates: the sentences that give the basis of a tier.
 def candidates(clusters: DataFrame, roster: DataFrame, articles: DataFrame, conflict_rows: DataFrame) -> DataFrame:
     """One row a candidate: id, tier, sources with read states and labels, regions, framing, conflicts; prose stays null."""
     conflict = conflict_rows.groupBy("cluster_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "kind", "about", "spread", "readings"))), lambda x: x.dropFields("rank")).alias("disputed_candidates"))
@@ -260,6 +263,7 @@ def distil(lines: Column, most_quotes: int = 3, most_words: int = 30, most_chars
     return X.let(lines, lambda x: _distilled(x, most_quotes, most_words, most_chars, share))
 
 
+# Fixed values in _distilled: the words of attribution.
 def _distilled(lines: Column, most_quotes: int, most_words: int, most_chars: int, share: float) -> Column:
     spoken = r"(?i)(?<!\w)(said|says|told|according to|wrote|announced|confirmed|denied|warned|argued|stated|testified)(?!\w)"
     scored = F.transform(X.sentences(lines), lambda s, i: F.struct((-(F.when(s.rlike("[\"“][^\"”]{25,}[\"”]"), 3).otherwise(0) + F.when(s.rlike(spoken), 2).otherwise(0) + F.when(i < 3, 1).otherwise(0) + F.when(s.rlike(r"\d"), 1).otherwise(0))).alias("score"), i.alias("i"), s.alias("s")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import cluster as C
 from tessera.operators import feeds, matching, stories, validation
-from tessera.sources import landed, sinks
+from tessera.sources import landed, reports, sinks
 from tessera.streaming.seen import unseen
 
 ITEM = "ord bigint, outlet_id string, outlet string, lean string, country string, title string, url string, excerpt string, published_at timestamp, via string"
@@ -262,6 +262,23 @@ def test_sinks(spark, tmp_path):
     assert gate.exit_code == 0
 
 
+def test_reports(spark):
+    checks = spark.createDataFrame([("a", "A", "left", "CA", "https://a/rss", True, None, "https://a/new", None), ("b", "B", None, "CA", None, False, "no feed url", None, "https://b/feed"), ("z", "Z", "left", None, "https://z", False, "HTTP 404", None, None)], "id string, name string, lean string, country string, url string, ok boolean, note string, redirected string, suggested string")
+    text = reports.feed_report(checks, "now")
+    assert "Verified: 1/3" in text and "- left: 1/2 verified" in text and "- **B** (CA) — no feed url — try `https://b/feed`\n  - tried: `(none)`" in text and "- **A**: `https://a/rss` -> `https://a/new`" in text
+    assert "## Redirects worth pinning\n\nNone." in reports.feed_report(checks.where("NOT ok"), "now")
+    diag = spark.createDataFrame([("x", "current", False, "HTTP 403"), ("x", "browser", True, "7")], "id string, agent string, ok boolean, note string")
+    assert "| x | HTTP 403 | - | OK (7) | only a browser string works" in reports.diagnosis_report(diag, "now")
+    roster = spark.createDataFrame([("a", "A", "CA", "left", "https://a/rss"), ("b", "B", "CA", "right", None), ("c", "C", "IN", "centre", None)], "id string, name string, country string, lean string, feed string")
+    ladder = spark.createDataFrame([("a", "applied", "domain", "A"), ("b", "review", "name", "Bee"), ("c", "missed", None, None)], "id string, status string, matched_on string, rating_name string")
+    ratings = spark.createDataFrame([("A", "Left-Center", "High", "https://m/a"), ("Bee", "Right", None, None)], "name string, bias string, factual string, mbfc_url string")
+    text = reports.rating_review(ladder, roster, ratings)
+    assert "Applied: 1/3" in text and "- **A** — roster `left` vs rating `Left-Center`" in text and "link none: cannot be shown" in text and "- **C** (IN, centre)" in text
+    merged = roster.withColumn("feed", F.when(F.col("id") == "a", "https://a/new").otherwise(F.col("feed")))
+    text = reports.applied_report(checks, roster, merged, "now")
+    assert "  - was: `https://a/rss`\n  - now: `https://a/new`" in text and "- z (Z)" in text and "- **Z** (left) — HTTP 404" in text
+
+
 def test_unseen_stream(spark, tmp_path):
     rows = [("https://a.com/1", NOW), ("https://a.com/1/?utm_a=1", NOW), ("https://a.com/2", NOW)]
     spark.createDataFrame(rows, "url string, published_at timestamp").write.parquet(f"file://{tmp_path}/in")

@@ -25,7 +25,8 @@ Scale: texts move once for the members of candidate pairs, sketches are 256 byte
 Hot classes and buckets are aggregated map-side before they are dealt out; joins to their one row are split by AQE.
 
 Defined cases: null and empty texts have an empty set, are linked with nothing and kept; rows with a null id are kept, with
-a null component; repeated rows of an id are all listed and share its component; other columns are ignored.
+a null component; repeated rows of an id are all listed and share its component, which links of any of their texts extend;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -230,21 +231,23 @@ def _reach(n: str, place: str, m: str, other: str, num: int, den: int) -> str:
 
 def _shingler(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(reps: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        def rows(reps: list[int], texts: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
             n = np.array([len(x) for x in sets], np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(reps, np.int64), n)), pa.array(np.repeat(n, n)), pa.array(np.concatenate(sets).view(np.int64))], ["rep", "n", "token"])
+            return pa.RecordBatch.from_arrays([*(pa.array(np.repeat(np.array(c, np.int64), n)) for c in (reps, texts, n)), pa.array(np.concatenate(sets).view(np.int64))], ["rep", "text", "n", "token"])
 
-        reps, sets, held = [], [], 0
+        reps, texts, sets, held = [], [], [], 0
         for batch in batches_of(batches):
             for rep, t in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                text = t.as_py() or ""
                 reps.append(rep)
-                sets.append(shingle_set(t.as_py(), k))
+                texts.append(int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True))
+                sets.append(shingle_set(text, k))
                 held += len(sets[-1])
                 if held >= HELD:
-                    yield rows(reps, sets)
-                    reps, sets, held = [], [], 0
+                    yield rows(reps, texts, sets)
+                    reps, texts, sets, held = [], [], [], 0
         if reps:
-            yield rows(reps, sets)
+            yield rows(reps, texts, sets)
 
     return run
 
@@ -254,11 +257,11 @@ def _prefixes(ids: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> Da
 
     place counts from 1 over the whole set; s, h1 and h2 are the number and two hashes of all shared shingles of the set.
     """
-    texts = by_ids(docs, ids.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    tokens = Saved(texts.mapInArrow(_shingler(k), "rep bigint, n bigint, token bigint"), "tokens")
+    texts = by_ids(docs, ids.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    tokens = Saved(texts.mapInArrow(_shingler(k), "rep bigint, text bigint, n bigint, token bigint"), "tokens")
     met = tokens.df.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = tokens.df.join(met, "token")
-    by_rep = Window.partitionBy("rep")
+    by_rep = Window.partitionBy("rep", "text")  # rows of one id may have texts of their own
     hashes = (F.bit_xor(h).over(by_rep).alias(c) for c, h in (("h1", F.col("token")), ("h2", F.xxhash64("token"))))
     counted = shared.select("rep", "n", "token", F.row_number().over(by_rep.orderBy("df", "token")).alias("nth"), F.count(F.lit(1)).over(by_rep).alias("s"), *hashes)
     placed = counted.withColumn("place", F.col("n") - F.col("s") + F.col("nth"))
@@ -343,6 +346,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     likely = _with_sketches(star, classes.df, num, den, least)
     first = Saved(likely.groupBy("a").agg(F.max_by("b", F.struct("est", "b")).alias("b")), "first")
     links = _verified(first.df, docs, k, num, den, made)
+    # an id of several texts belongs with the classes of all of them
+    shared_ids = Saved(full.select("doc_id", "key").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("doc_id"), "shared-ids")
+    made.append(shared_ids)
+    if shared_ids.df.limit(1).count():
+        several = by_ids(full.select("doc_id", "key"), shared_ids.df, "doc_id", "left_semi").join(classes.df.select("key", "rep"), "key")
+        made.append(Saved(several.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "own"))
+        links = links.union(made[-1].df)
     labels = components(links)
     # the members of buckets that hold several components
     placed = _placed(members.df.select("bucket", "rep"), labels)

@@ -116,6 +116,20 @@ def test_texts_of_one_template_below_the_threshold(spark):
     assert got == brute_components(some, 3, 85, 100)
 
 
+def test_texts_that_share_an_id(spark):
+    """Ids with several texts, copies and near copies of other ids' among them."""
+    rng = random.Random(3)
+    base = [[f"b{i}w{j}" for j in range(40)] for i in range(12)]
+    rows = []
+    for i in range(150):
+        w = list(base[rng.randrange(12)])
+        for _ in range(rng.randrange(5)):
+            w[rng.randrange(40)] = f"x{rng.randrange(60)}"
+        rows.append((i % 90, " ".join(w)))
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 85, 100).collect()}
+    assert got == brute_components(rows, 3, 85, 100)
+
+
 def test_near_duplicates_defined_cases(odd, none):
     got = collections.defaultdict(list)
     for r in neardup.near_duplicates(odd, 3, 85, 100).collect():

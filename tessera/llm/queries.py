@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, chat, decontam, mixing, neardup, quality, secrets, token_counts, toxicity, url_filter
+from tessera.llm import ann, chat, decontam, fim, mixing, neardup, quality, secrets, token_counts, toxicity, url_filter
 from tessera.llm.common import Saved, table
 
 
@@ -67,6 +67,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut for filling in its middle: what was cut, and digests of the output and of the text put together again."""
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     import corpus_pipeline
@@ -85,6 +92,7 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_decontamination": op10_decontamination,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": pipeline,
 }
 
@@ -146,4 +154,23 @@ comp AS (SELECT v, min(c) AS c FROM r GROUP BY v)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(comp.c, d.doc_id), d.doc_id) AS component_id, d.doc_id = coalesce(least(comp.c, d.doc_id), d.doc_id) AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN comp ON comp.v = d.doc_id"""
 
-ORACLE_SQL = {"op2_secret_scan": _OP2, "op5_mixing": _OP5, "op9_near_duplicates": _OP9}
+# places of the cuts are counted in code points, token by token, and the parts are cut out of the text
+_OP13 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
+units AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS u FROM d),
+drawn AS (
+  SELECT * EXCLUDE (h), len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+    CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain' WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM units),
+long AS (SELECT r, a, b, unnest(u) AS w, unnest(generate_series(1, n)) AS i FROM drawn WHERE form <> 'plain'),
+sums AS (SELECT r, sum(length(w)) FILTER (i <= least(a, b)) AS p, sum(length(w)) FILTER (i > least(a, b) AND i <= greatest(a, b)) AS m FROM long GROUP BY r),
+parts AS (
+  SELECT doc_id, n, form, text, coalesce(p, 0) AS p, coalesce(m, 0) AS m, substring(text, 1, coalesce(p, 0)::BIGINT) AS pre, substring(text, (coalesce(p, 0) + 1)::BIGINT, coalesce(m, 0)::BIGINT) AS mid,
+    substring(text, (coalesce(p, 0) + coalesce(m, 0) + 1)::BIGINT) AS suf
+  FROM drawn LEFT JOIN sums USING (r))
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN p::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN m::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts"""
+
+ORACLE_SQL = {"op2_secret_scan": _OP2, "op5_mixing": _OP5, "op9_near_duplicates": _OP9, "op13_fill_in_middle": _OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, chat, decontam, fim, mixing, neardup, quality, secrets, token_counts, toxicity, url_filter
+from tessera.llm import ann, chat, decontam, fim, mixing, neardup, negatives, quality, secrets, token_counts, toxicity, url_filter
 from tessera.llm.common import Saved, table
 
 
@@ -67,6 +67,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 10 hard negatives for each of the first 5 positives of every vector whose id is divisible by 100; labels of ids
+    divisible by 7 first become the next of ten."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, F.expr("try_add(label, 1) % 10")).otherwise(F.col("label"))
+    return negatives.hard_negatives(negatives.build(rows.withColumn("label", label), F.col("vec_id") % 100 == 0))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut for filling in its middle: what was cut, and digests of the output and of the text put together again."""
     made = fim.fill_in_middle(table(spark, sf_dir, "documents"))
@@ -92,6 +100,7 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_decontamination": op10_decontamination,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": pipeline,
 }
@@ -154,6 +163,20 @@ comp AS (SELECT v, min(c) AS c FROM r GROUP BY v)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(comp.c, d.doc_id), d.doc_id) AS component_id, d.doc_id = coalesce(least(comp.c, d.doc_id), d.doc_id) AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN comp ON comp.v = d.doc_id"""
 
+_OP11 = """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT * FROM e WHERE vec_id % 100 = 0),
+own AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, a.label, a.v, e.r AS p, e.vec_id AS positive_id, list_dot_product(a.v, e.v)::BIGINT AS positive_score
+  FROM a JOIN e ON e.label = a.label AND e.r <> a.r AND len(e.v) = len(a.v)
+  QUALIFY row_number() OVER (PARTITION BY a.r ORDER BY positive_score DESC, e.vec_id, e.r) <= 5),
+other AS (SELECT a.r AS a, e.r AS n, e.vec_id AS negative_id, list_dot_product(a.v, e.v)::BIGINT AS negative_score FROM a JOIN e ON e.label <> a.label AND len(e.v) = len(a.v))
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY own.a, own.p ORDER BY negative_score DESC, negative_id, n)::INT AS rank, negative_id, positive_score, negative_score
+FROM own JOIN other ON other.a = own.a AND 30 * positive_score <= 100 * negative_score AND 100 * negative_score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
 # places of the cuts are counted in code points, token by token, and the parts are cut out of the text
 _OP13 = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
@@ -173,4 +196,4 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN p::BIGINT EN
   sha256(text) AS restored_sha256
 FROM parts"""
 
-ORACLE_SQL = {"op2_secret_scan": _OP2, "op5_mixing": _OP5, "op9_near_duplicates": _OP9, "op13_fill_in_middle": _OP13}
+ORACLE_SQL = {"op2_secret_scan": _OP2, "op5_mixing": _OP5, "op9_near_duplicates": _OP9, "op11_hard_negatives": _OP11, "op13_fill_in_middle": _OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, chat, decontam, fim, mixing, neardup, negatives, quality, secrets, token_counts, toxicity, url_filter
+from tessera.llm import ann, chat, decontam, fim, maintext, mixing, neardup, negatives, quality, secrets, token_counts, toxicity, url_filter
 from tessera.llm.common import Saved, table
 
 
@@ -75,6 +75,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(negatives.build(rows.withColumn("label", label), F.col("vec_id") % 100 == 0))
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return maintext.extract(table(spark, sf_dir, "pages"), maintext.train())
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut for filling in its middle: what was cut, and digests of the output and of the text put together again."""
     made = fim.fill_in_middle(table(spark, sf_dir, "documents"))
@@ -101,6 +106,7 @@ QUERIES = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_decontamination": op10_decontamination,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_main_text": op12_main_text,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": pipeline,
 }

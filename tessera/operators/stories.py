@@ -255,6 +255,18 @@ def starved_sides(balance: DataFrame, total: int) -> DataFrame:
     return balance.where(F.col("side") != "none").where(F.lit(total > 0) & (F.col("candidates") == 0)).select("side")
 
 
+def balance_levels(items: DataFrame, dims: list[str], sets: list[list[str]]) -> DataFrame:
+    """(dims..., level, items, outlets, first_ord, share) of items (ord, outlet_id, dims...) for each set of dimensions.
+
+    level is grouping_id: a bit for each dimension that is summed over, the first one's highest, so a null there is no value. Items are
+    counted per outlet once, in the map tasks first; what is expanded into the sets is one row an outlet and combination.
+    """
+    fine = items.groupBy(*dims, "outlet_id").agg(F.count(F.lit(1)).alias("__n"), F.min("ord").alias("__first"))
+    total = items.agg(F.count(F.lit(1)).alias("__total"))  # one row
+    levels = fine.groupingSets(sets, *dims).agg(F.grouping_id(*dims).cast("int").alias("level"), F.sum("__n").alias("items"), F.count_distinct("outlet_id").alias("outlets"), F.min("__first").alias("first_ord"))
+    return levels.crossJoin(F.broadcast(total)).select(*dims, "level", F.coalesce("items", F.lit(0)).alias("items"), "outlets", "first_ord", F.round(F.col("items") / F.nullif(F.col("__total"), F.lit(0)), 6).alias("share"))
+
+
 def distil(lines: Column, most_quotes: int = 3, most_words: int = 30, most_chars: int = 450, share: float = 0.10) -> Column:
     """struct(quotes, figures, word_count, paragraph_count): a few short quotes under budgets of words, characters and share.
 

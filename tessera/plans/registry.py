@@ -12,7 +12,7 @@ from tessera.functions import urls as U
 from tessera.operators import cluster as C
 from tessera.operators import feeds, matching, stories, validation
 from tessera.plans import adapters as A
-from tessera.plans import ingest  # noqa: F401
+from tessera.plans import history, ingest  # noqa: F401
 from tessera.plans import sql as S
 from tessera.plans.catalog import ORACLE_SQL, QUERIES, query  # noqa: F401
 from tessera.sources import sinks

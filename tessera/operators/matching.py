@@ -115,6 +115,44 @@ def consensus(ratings: DataFrame, rosters: DataFrame) -> DataFrame:
     return j.select("outlet_id", "roster_lean", status.alias("status"), F.when(k > 1, spread).alias("spread"), agreed.alias("consensus"), off.alias("roster_disagrees"), display.alias("display"), F.coalesce("flags", F.array().cast("array<string>")).alias("flags"), note.alias("note"), F.when(k == 0, F.lit("ownership")).alias("fallback"))
 
 
+# Fixed values in resolve_labels: the wording of what is shown where no position is known.
+def resolve_labels(outlets: DataFrame, providers: dict[str, DataFrame | None], owned: DataFrame | None = None) -> DataFrame:
+    """One row an outlet: the columns of ``consensus``, with attribution, owners, funding and declared_lean.
+
+    outlets: id, name, lean, funding, mbfc_id, domain, site, feed. providers, in order: a rating file (pos, mbfc_id, source_url, raw,
+    flags, report_url), looked up by id, else domain; or the answers of a service (outlet_id, raw, flags, report_url); or None for
+    one that failed. A failed provider gives each outlet a rating without a score, so that it is unplaced and not unrated. owned:
+    outlet (its name), owners; None if that lookup failed. Without any position the owners are shown, else the funding.
+    """
+    one = None
+    for i, (provider, rows) in enumerate(providers.items()):
+        flags, null = F.array().cast("array<string>").alias("flags"), F.lit(None).cast("string")
+        if rows is None:
+            found = outlets.select(F.col("id").alias("outlet_id"), null.alias("raw"), flags, null.alias("report_url"))
+        elif "outlet_id" in rows.columns:
+            found = outlets.select(F.col("id").alias("outlet_id")).join(rows.select("outlet_id", "raw", "flags", "report_url"), "outlet_id")
+        else:
+            index = rating_lookup(outlets.select("id", "mbfc_id", "domain", "site", "feed"), rows).where("rating_pos IS NOT NULL")
+            found = index.select(F.col("id").alias("outlet_id"), F.col("rating_pos").alias("pos")).join(rows.select("pos", "raw", "flags", "report_url"), "pos").drop("pos")
+        found = found.withColumns({"pos": F.lit(i), "provider": F.lit(provider)})
+        one = found if one is None else one.unionByName(found)
+    if one is None:
+        one = outlets.limit(0).select(F.col("id").alias("outlet_id"), F.lit(None).cast("string").alias("raw"), F.array().cast("array<string>").alias("flags"), F.lit(None).cast("string").alias("report_url"), F.lit(0).alias("pos"), F.lit("").alias("provider"))
+    verdict = consensus(one, outlets.select(F.col("id").alias("outlet_id"), F.col("lean").alias("roster_lean")))
+    credit = one.where("provider = 'mbfc' AND report_url IS NOT NULL").groupBy("outlet_id").agg(F.min(attribution(F.col("provider"), F.col("report_url"))).alias("attribution"))
+    about = outlets.select(F.col("id").alias("outlet_id"), "name", "funding")
+    if owned is None:
+        named, unknown = about.withColumn("owners", F.lit(None).cast("array<string>")), F.lit("Unrated")
+    else:
+        one_each = owned.groupBy(F.col("outlet").alias("name")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("owners")))).alias("owners"))
+        named, unknown = about.join(one_each, "name", "left"), F.lit("Unrated; ownership unknown")
+    shown = F.when(F.coalesce(F.size("owners"), F.lit(0)) > 0, F.concat(F.lit("Ownership: "), F.array_join("owners", ", "))).when(F.coalesce("funding", F.lit("")) != "", F.concat(F.lit("Funding: "), F.col("funding"))).otherwise(unknown)
+    j = verdict.join(credit, "outlet_id", "left").join(named, "outlet_id", "left")
+    need = F.col("fallback") == "ownership"
+    kept = [c for c in verdict.columns if c not in ("roster_lean", "display")]
+    return j.select(*kept, F.when(F.coalesce(need, F.lit(False)), shown).otherwise(F.col("display")).alias("display"), "attribution", F.when(need, F.col("owners")).alias("owners"), "funding", F.col("roster_lean").alias("declared_lean"))
+
+
 def unexpired(cache: DataFrame, now, days: int = 30) -> DataFrame:
     """Cached rows that are not older than ``days``."""
     return cache.where(F.col("fetched_at") >= F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {days} DAYS"))

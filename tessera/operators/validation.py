@@ -122,6 +122,54 @@ def raw_shapes(cards: DataFrame, column: str = "json") -> DataFrame:
     return cards.select("card", F.inline(F.array_compact(rows)))
 
 
+#: What ``problems`` reads of a card, and the names of its fields in JSON where they differ.
+PROSE = ("headline", "context", "coverage")
+
+
+def parse_cards(raw: DataFrame, column: str = "json") -> DataFrame:
+    """(card, the columns of ``problems``, shapes, absent) of cards as JSON text, read as variants with a type for each path.
+
+    A part of another type than its place asks for counts as missing, an index that is no whole number as one that does not exist; numbers
+    and flags in the place of text are text. shapes: the problems of shape; absent: prose that is not there at all, which is no
+    null. Text that is no JSON, or no object, has the problem payload-shape and no other.
+    """
+    v = F.col("__v")
+    get = lambda x, path, kind: F.try_variant_get(x, path, kind)
+    text = lambda x, path: get(x, path, "string")
+    kind_of = lambda x, path: F.schema_of_variant(get(x, path, "variant"))
+    items = lambda x, path: F.coalesce(get(x, path, "array<variant>"), F.array().cast("array<variant>"))
+    is_list = lambda path: F.coalesce(kind_of(v, path).startswith("ARRAY"), F.lit(False))
+    there = lambda path: get(v, path, "variant").isNotNull()
+
+    def index(x: Column) -> Column:
+        number = F.coalesce(F.schema_of_variant(x).rlike("^(BIGINT|DECIMAL|DOUBLE)"), F.lit(False))
+        n = F.when(number, get(x, "$", "double"))
+        return F.when((n == F.floor(n)) & (n >= 0) & (n < 2**31), n.cast("int")).otherwise(-1)
+
+    cites = lambda x: F.transform(items(x, "$.s"), index)
+    source = lambda x: F.struct(text(x, "$.n").alias("n"), text(x, "$.t").alias("t"), text(x, "$.u").alias("u"), text(x, "$.b").alias("b"), F.struct(text(x, "$.labelSource.provider").alias("provider"), text(x, "$.labelSource.url").alias("url")).alias("label_source"), text(x, "$.kind").alias("kind"))
+    fact = lambda x: F.struct(text(x, "$.t").alias("t"), cites(x).alias("s"), text(x, "$.tier").alias("tier"))
+    view = lambda x: F.struct(*(text(x, f"$.{c}").alias(c) for c in ("side", "label", "outlet")), cites(x).alias("s"), text(x, "$.text").alias("text"), text(x, "$.status").alias("status"))
+    applies = F.when(F.coalesce(kind_of(v, "$.axis.applies") == "BOOLEAN", F.lit(False)), get(v, "$.axis.applies", "boolean"))
+    whole = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    shapes = F.array(_p(~whole, "payload-shape", ""), _p(whole & there("$.gaps") & ~is_list("$.gaps"), "gaps-shape", "gaps"), _p(whole & there("$.disputed") & ~F.is_variant_null(get(v, "$.disputed", "variant")) & ~is_list("$.disputed"), "disputed-shape", "disputed"))
+    absent = F.array_compact(F.array(*(F.when(~there(f"$.{c}"), F.lit(c)) for c in PROSE)))
+    return raw.withColumn("__v", F.try_parse_json(F.col(column))).select(
+        "card", F.transform(items(v, "$.sources"), source).alias("sources"), *(text(v, f"$.{c}").alias(c) for c in PROSE), F.transform(items(v, "$.regions"), lambda x: text(x, "$")).alias("regions"),
+        F.transform(items(v, "$.facts"), fact).alias("facts"), F.transform(items(v, "$.disputed"), lambda x: F.struct(text(x, "$.t").alias("t"))).alias("disputed"), F.transform(items(v, "$.views"), view).alias("views"),
+        F.struct(applies.alias("applies"), text(v, "$.axis.name").alias("name")).alias("axis"), F.transform(items(v, "$.gaps"), lambda x: text(x, "$")).alias("gaps"), text(v, "$._prose").alias("_prose"),
+        F.array_compact(shapes).alias("shapes"), absent.alias("absent"), whole.alias("whole"),
+    )
+
+
+def raw_problems(raw: DataFrame, column: str = "json") -> DataFrame:
+    """(card, level, code, path): all rules, over cards as JSON text. Cards of the right shape have the problems that ``problems`` finds."""
+    cards = parse_cards(raw, column)
+    lacking = cards.select("card", F.explode("absent").alias("path"), F.lit("prose-null").alias("code")).distinct()
+    found = problems(cards.where("whole").drop("shapes", "absent", "whole")).join(lacking, ["card", "path", "code"], "left_anti")
+    return found.select("card", "level", "code", "path").unionByName(cards.select("card", F.inline("shapes")))
+
+
 def summarise(found: DataFrame) -> DataFrame:
     """One row: ok, errors, warnings. Callers that gate on it stop where ok is false."""
     return found.agg(F.count_if(F.col("level") == "error").alias("errors"), F.count_if(F.col("level") == "warn").alias("warnings")).select((F.col("errors") == 0).alias("ok"), "errors", "warnings")

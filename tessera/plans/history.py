@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import labels as L
-from tessera.operators import changes, sketches, stories, temporal
+from tessera.operators import changes, matching, sketches, stories, temporal
 from tessera.plans import adapters as A
 from tessera.plans.catalog import query
+from tessera.sources.cache import Cache
+from tessera.storage import Stored, shared_dir
 
 
 def _rated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,3 +148,58 @@ def reach(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = rows.groupBy(*by).agg(F.count_distinct(reader).alias("readers"), *(below(q, op).alias(f"{q}_{op}") for q in ("q50", "q90") for op in (1, 0)))
     within = lambda q, part: (F.col(f"{q}_1") - sketches.rank_error() <= part) & (F.col(f"{q}_0") + sketches.rank_error() >= part)
     return months.join(exact, by).select(*by, "n", "readers", (F.abs(F.col("distinct_estimate") - F.col("readers")) <= sketches.distinct_error() * F.col("readers")).alias("distinct_within"), within("q50", 0.5).alias("median_within"), within("q90", 0.9).alias("q90_within"))
+
+
+@query("""WITH b AS (SELECT o_custkey AS outlet, o_orderkey AS id, o_totalprice AS price, o_orderkey % 3 AS batch FROM orders WHERE o_custkey % 7 <> 6),
+put AS (SELECT outlet, batch, max(price) AS price, DATE '2024-01-01' + (batch * 20)::INT AS written FROM b GROUP BY outlet, batch),
+last AS (SELECT outlet, arg_max(price, batch) AS price, max(written) AS written FROM put GROUP BY outlet)
+SELECT c_custkey AS outlet, price, CASE WHEN price IS NOT NULL THEN written::TIMESTAMP END AS written_at FROM customer LEFT JOIN last ON outlet = c_custkey AND written >= DATE '2024-02-15' - 30""")
+def cached_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a cache of 30 days holds for every customer after three batches of orders, 20 days apart, five days after the last."""
+    rows = A.table(spark, sf_dir, "orders").where("o_custkey % 7 <> 6").select(F.col("o_custkey").alias("outlet"), F.col("o_totalprice").alias("price"), (F.col("o_orderkey") % 3).alias("batch"))
+    cache = Cache(spark, f"{shared_dir(spark)}/prices-{uuid.uuid4().hex}", "outlet bigint, price double", ["outlet"])
+    for i, day in enumerate(("2024-01-01", "2024-01-21", "2024-02-10")):
+        cache.set(rows.where(F.col("batch") == i), day, i)
+    found = Stored(cache.get(A.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("outlet")), "2024-02-15"), "prices")
+    cache.drop()
+    return found.df.withColumn("written_at", F.col("written_at").cast("timestamp_ntz"))
+
+
+_BIASES = ("Left", "left-center", "Least Biased", "right-center", "Right", "Questionable", "extreme left")
+_SIDES = ("left", "lean left", "center", "lean right", "right", "mixed")
+
+
+@query(f"""WITH {A.ROSTER_SQL}, {A.RATINGS_SQL}, i AS (SELECT mbfc_id, max(pos) AS pi FROM ratings GROUP BY 1), d AS (SELECT domain, max(pos) AS pd FROM ratings GROUP BY 1),
+o AS (SELECT id, pos, lean, CASE WHEN pos % 2 = 1 AND pos % 3 = 0 THEN 20 ELSE 40 END AS day, CASE WHEN pos % 5 = 0 THEN 'state' END AS funding, CASE WHEN pos % 2 = 0 THEN pi END AS by_id, pd FROM roster LEFT JOIN i ON i.mbfc_id = roster.id AND roster.pos % 2 = 0 LEFT JOIN d ON d.domain = roster.domain),
+r AS (SELECT o.*, coalesce(by_id, pd) AS rp, ({list(_BIASES)})[(coalesce(by_id, pd) % 7)::INT + 1] AS m, CASE WHEN day = 40 AND pos % 4 <> 1 THEN ({list(_SIDES)})[(pos % 6)::INT + 1] END AS a FROM o),
+s AS (SELECT *, CASE lower(m) WHEN 'extreme left' THEN -3 WHEN 'left' THEN -2 WHEN 'left-center' THEN -1 WHEN 'least biased' THEN 0 WHEN 'right-center' THEN 1 WHEN 'right' THEN 2 END AS ms,
+  CASE a WHEN 'left' THEN -2 WHEN 'lean left' THEN -1 WHEN 'center' THEN 0 WHEN 'lean right' THEN 1 WHEN 'right' THEN 2 END AS sa, (rp IS NOT NULL)::INT + (a IS NOT NULL OR day = 20)::INT AS n FROM r),
+k AS (SELECT *, (ms IS NOT NULL)::INT + (sa IS NOT NULL)::INT AS k, abs(ms - sa) AS gap, concat_ws('  ·  ', CASE WHEN ms IS NOT NULL THEN 'mbfc: ' || m END, CASE WHEN sa IS NOT NULL THEN 'allsides: ' || a END) AS shown, coalesce(ms, sa) AS any_score FROM s)
+SELECT id, CASE WHEN n = 0 THEN 'unrated' WHEN k = 0 THEN 'unplaced' WHEN k = 1 THEN 'single_source' WHEN gap <= 1 THEN 'agree' ELSE 'disagree' END AS status, CASE WHEN k = 1 THEN any_score WHEN k = 2 AND gap <= 1 THEN floor((ms + sa) / 2.0 + 0.5)::INT END AS consensus,
+  CASE WHEN k = 2 THEN shown WHEN k = 1 THEN shown || ' (unconfirmed by a second rater)' WHEN pos % 4 = 0 THEN 'Ownership: Holding ' || pos % 9 || ', Trust' WHEN funding IS NOT NULL THEN 'Funding: state' ELSE 'Unrated; ownership unknown' END AS display,
+  CASE WHEN lower(m) = 'questionable' THEN 'questionable' ELSE '' END AS flags, CASE WHEN rp IS NOT NULL AND rp % 4 <> 0 THEN 'https://r.example/' || rp END AS credit, day FROM k""")
+def resolved_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of all outlets on day 40, through a cache of 30 days that was filled on days 1 and 20, when some provider failed."""
+    ro = A.roster(spark, sf_dir)
+    k, null = F.col("pos"), F.lit(None).cast("string")
+    outlets = ro.select("id", "name", "lean", F.when(k % 5 == 0, "state").alias("funding"), F.when(k % 2 == 0, F.col("id")).alias("mbfc_id"), null.alias("domain"), null.alias("site"), F.regexp_replace("feed", "/rss$", "").alias("feed"), k.alias("pos"))
+    raw = F.get(F.array(*(F.lit(x) for x in _BIASES)), (k % 7).cast("int"))
+    files = A.ratings(spark, sf_dir).select("pos", "mbfc_id", "source_url", raw.alias("raw"), F.when(raw == "Questionable", F.array(F.lit("questionable"), F.lit("other"))).otherwise(F.array().cast("array<string>")).alias("flags"), F.col("mbfc_url").alias("report_url"))
+    sides = ro.where(k % 4 != 1).select(F.col("id").alias("outlet_id"), F.get(F.array(*(F.lit(x) for x in _SIDES)), (k % 6).cast("int")).alias("raw"), F.array().cast("array<string>").alias("flags"), null.alias("report_url"))
+    owned = ro.where(k % 4 == 0).select(F.col("name").alias("outlet"), F.array(F.concat(F.lit("Holding "), (k % 9).cast("string")), F.lit("Trust")).alias("owners"))
+    schema = "id string, status string, consensus int, display string, flags string, credit string, day int"
+    cache = Cache(spark, f"{shared_dir(spark)}/labels-{uuid.uuid4().hex}", schema, ["id"])
+
+    def produce(day: int, providers: dict):
+        def run(keys: DataFrame) -> DataFrame:
+            found = matching.resolve_labels(outlets.join(keys, "id", "left_semi"), providers, owned)
+            return found.select(F.col("outlet_id").alias("id"), "status", "consensus", "display", F.array_join("flags", ",").alias("flags"), F.col("attribution.href").alias("credit"), F.lit(day).alias("day"))
+
+        return run
+
+    days = [(1, outlets.where(k % 2 == 0), {"mbfc": None, "allsides": sides}), (20, outlets.where(k % 3 == 0), {"mbfc": files, "allsides": None}), (40, outlets, {"mbfc": files, "allsides": sides})]
+    for batch, (day, wanted, providers) in enumerate(days):
+        out = cache.wrap(wanted.select("id"), produce(day, providers), f"2024-{'01' if day < 31 else '02'}-{day if day < 31 else day - 31:02d}", batch)
+    found = Stored(out.drop("written_at"), "labels")
+    cache.drop()
+    return found.df

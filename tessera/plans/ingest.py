@@ -3,6 +3,8 @@ in pieces of at most 50 rows a body, so that no group of any size comes into one
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,9 @@ from tessera.plans import adapters as A
 from tessera.plans import sql as S
 from tessera.plans.catalog import query
 from tessera.plans.run import daily
+from tessera.sources import bodies as landed_bodies
 from tessera.sources import landed
+from tessera.storage import Stored, delete, shared_dir
 
 _KINDS = ("rss", "atom", "rdf")
 _WORDS = "trim(regexp_replace(coalesce(text, ''), '[^A-Za-z .]+', ' '{g}))"
@@ -59,6 +63,20 @@ def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select("outlet_id", "outlet", "lean", "country", "title", "url", "excerpt", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"))
 
 
+@query(f"WITH {_FEED_SQL} SELECT outlet_id, outlet, title, url, excerpt, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published FROM feed WHERE doc_id // 50 * 50 >= 200 AND regexp_extract(outlet_id, '(\\d+)', 1)::INT % 4 <> 2")
+def landed_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of bodies that were landed in folders by hour and read again: those from a certain hour on, of some outlets."""
+    found, outlets = _bodies(spark, sf_dir)
+    landed_bodies.register(spark)
+    path = f"{shared_dir(spark)}/landed-{uuid.uuid4().hex}"
+    found.select("outlet_id", F.timestamp_seconds(F.lit(1704067200) + F.col("start") * 60).alias("landed_at"), "body").write.format("landed").mode("append").save(path)
+    read = spark.read.format("landed").load(path).where("landed_at >= TIMESTAMP '2024-01-01 03:20:00'")
+    chosen = outlets.where("pos % 4 <> 2")
+    items = Stored(landed.feed_items(read, chosen, "2024-02-01"), "feeds")
+    delete(spark, path)
+    return items.df.select("outlet_id", "outlet", "title", "url", "excerpt", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"))
+
+
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search responses made of the pages: 50 a body, every eleventh hit without a title."""
     p = A.table(spark, sf_dir, "pages").withColumn("n", F.expr("int(page_id div 50)"))

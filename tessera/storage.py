@@ -32,3 +32,19 @@ class Stored:
         """Only once no plan that is yet to run reads it."""
         p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names of the finished folders under ``path`` (those that a writer has marked), sorted."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    done = lambda n: fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))
+    return sorted(n for n in names if n.startswith(prefix) and done(n))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -113,39 +113,36 @@ def select_by_region(clusters: DataFrame, quotas: dict[str, int], limit: int) ->
     """(selected with slot and quota_region, fill (region, quota, filled, available)): quotas in their order, then the best of the rest.
 
     A quota takes from what earlier quotas left. The head of each region that can matter (the sum of quotas) is small, so the
-    choice is made over those heads; the clusters themselves stay distributed.
+    choice is made over those heads, which one pass finds for all regions, each task sending its own heads only.
     """
     ranked = ranking(clusters)
     need = max(limit, sum(max(0, q) for q in quotas.values()))
-    order = [F.desc("rank_score"), F.asc("min_ord")]
-    heads, fill, taken, slot = [], [], {}, 0
+    whole = ""  # no region is named so: all clusters
+    asked = F.filter("region.regions", lambda r: r.isin(*quotas)) if quotas else F.array().cast("array<string>")
+    rows = ranked.select("cluster_id", "rank_score", "min_ord", F.explode(F.array_append(F.array_distinct(asked), F.lit(whole))).alias("region"))
+    rn = F.row_number().over(Window.partitionBy("region").orderBy(F.desc("rank_score"), F.asc("min_ord")))
+    heads: dict[str, list[int]] = {}
+    for r in rows.withColumn("rn", rn).where(F.col("rn") <= need).select("region", "rn", "cluster_id").orderBy("region", "rn").collect():
+        heads.setdefault(r.region, []).append(r.cluster_id)
+    available = {r.region: r.n for r in rows.groupBy("region").agg(F.count(F.lit(1)).alias("n")).collect()}
+    taken, filled, slot = {}, {}, 0
     for region, quota in quotas.items():
-        pool = ranked.where(F.array_contains("region.regions", region))
-        heads.append((region, quota, [r.cluster_id for r in pool.orderBy(*order).limit(need).select("cluster_id").collect()]))
-        available = pool.agg(F.count(F.lit(1)).alias("n"))
-        fill.append((region, quota, available))
-    filled = {}
-    for region, quota, ids in heads:
-        picks = [i for i in ids if i not in taken][: max(0, quota)]
+        picks = [i for i in heads.get(region, []) if i not in taken][: max(0, quota)]
         filled[region] = len(picks)
         for i in picks:
             taken[i] = (slot, region)
             slot += 1
-    if slot < limit:
-        for r in ranked.orderBy(*order).limit(need + slot).select("cluster_id").collect():
-            if slot >= limit:
-                break
-            if r.cluster_id not in taken:
-                taken[r.cluster_id] = (slot, None)
-                slot += 1
+    for i in heads.get(whole, []):
+        if slot >= limit:
+            break
+        if i not in taken:
+            taken[i] = (slot, None)
+            slot += 1
     chosen = [(int(c), s, r) for c, (s, r) in taken.items() if s < limit]
     spark = clusters.sparkSession
     picked = spark.createDataFrame(chosen, "cluster_id bigint, slot int, quota_region string")
-    report = None
-    for region, quota, available in fill:
-        row = available.select(F.lit(region).alias("region"), F.lit(quota).alias("quota"), F.lit(filled[region]).alias("filled"), F.col("n").alias("available"))
-        report = row if report is None else report.unionByName(row)
-    return ranked.join(F.broadcast(picked), "cluster_id"), report if report is not None else spark.createDataFrame([], "region string, quota int, filled int, available bigint")
+    report = spark.createDataFrame([(r, q, filled[r], available.get(r, 0)) for r, q in quotas.items()], "region string, quota int, filled int, available bigint")
+    return ranked.join(F.broadcast(picked), "cluster_id"), report
 
 
 def conflicts(items: DataFrame, group: str = "cluster_id", tolerance: float = 0.05, most: int = 8) -> DataFrame:

@@ -11,6 +11,7 @@ from tessera.functions import labels as L
 from tessera.operators import changes, matching, sketches, stories, temporal
 from tessera.plans import adapters as A
 from tessera.plans.catalog import query
+from tessera.plans.run import Memory
 from tessera.sources.cache import Cache
 from tessera.storage import Stored, shared_dir
 
@@ -203,3 +204,37 @@ def resolved_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = Stored(out.drop("written_at"), "labels")
     cache.drop()
     return found.df
+
+
+@query("""WITH c AS (SELECT page_id, page_id % 3 AS batch, lower(regexp_extract(url, '^[A-Za-z]+://[^/?#]+')) AS k FROM pages),
+f AS (SELECT *, min(batch) OVER (PARTITION BY k) AS first FROM c)
+SELECT batch::INT AS batch, count(*) AS pages, count(*) FILTER (first = batch) AS unseen, coalesce(sum(page_id) FILTER (first = batch), 0)::BIGINT AS ids FROM f GROUP BY batch""")
+def unseen_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many pages of three runs are on sites that no earlier run has taken, by their canonical addresses."""
+    site = F.concat(F.regexp_extract("url", "^[A-Za-z]+://[^/?#]+", 0), F.lit("/?utm_source="), F.col("page_id").cast("string"))
+    pages = A.table(spark, sf_dir, "pages").select("page_id", site.alias("url"))
+    memory = Memory(spark, f"{shared_dir(spark)}/memory-{uuid.uuid4().hex}")
+    out = None
+    for batch in range(3):
+        run = pages.where(F.col("page_id") % 3 == batch)
+        new = memory.unseen(run, f"2024-01-0{batch + 1}", batch)
+        one = run.agg(F.count(F.lit(1)).alias("pages")).join(F.broadcast(new.agg(F.count(F.lit(1)).alias("unseen"), F.coalesce(F.sum("page_id"), F.lit(0)).alias("ids")))).select(F.lit(batch).alias("batch"), "pages", "unseen", "ids")
+        out = one if out is None else out.unionByName(one)
+    memory.drop()
+    return out
+
+
+@query("""WITH d AS (SELECT doc_id FROM documents), one AS (SELECT doc_id, 'a' || doc_id // 4 AS id FROM d WHERE doc_id % 5 <> 0), two AS (SELECT doc_id, 'b' || (doc_id + 2) // 4 AS id FROM d),
+links AS (SELECT two.id, min(one.id) AS known_as FROM two LEFT JOIN one USING (doc_id) GROUP BY two.id)
+SELECT id, coalesce(known_as, id) AS known_as, CASE WHEN known_as IS NULL THEN TIMESTAMP '2024-01-02' ELSE TIMESTAMP '2024-01-01' END AS known_since FROM links""")
+def known_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of a second run with the stories of the first that they go on with, since they share a source."""
+    d = A.table(spark, sf_dir, "documents")
+    url = F.concat(F.lit("https://site.example/"), F.col("doc_id").cast("string"))
+    cands = lambda df, name, n: df.groupBy(F.concat(F.lit(name), n.cast("string")).alias("id")).agg(F.collect_list(F.struct(url.alias("u"))).alias("sources"))  # noqa: E731  four documents each
+    memory = Memory(spark, f"{shared_dir(spark)}/memory-{uuid.uuid4().hex}")
+    memory.known(cands(d.where("doc_id % 5 <> 0"), "a", F.expr("doc_id div 4")), "2024-01-01", 0)
+    found = memory.known(cands(d, "b", F.expr("(doc_id + 2) div 4")), "2024-01-02", 1)
+    out = Stored(found.select("id", "known_as", F.col("known_since").cast("timestamp_ntz").alias("known_since")), "known").df
+    memory.drop()
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import labels as L
@@ -124,33 +124,57 @@ def ingestion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+_RUN_QUOTAS = {"Canada": 2, "India": 2, "Europe": 2, "Global": 1}
+#: Items of verified outlets' feeds, every fifth outlet's not, and hits: one a page, on document 4 * page_id, on 25 sites of which the roster has some; every tenth has the address of the one before.
 _RUN_ITEMS = f"""{_FEED_SQL},
 nth AS (SELECT doc_id, doc_id // 50 * 50 + row_number() OVER (PARTITION BY source, doc_id // 50 ORDER BY doc_id) - 1 AS n FROM src),
 placed AS (SELECT feed.*, k AS pos, n FROM feed JOIN src USING (doc_id) JOIN nth USING (doc_id)),
-items AS (SELECT pos * 1000000 + n AS ord, epoch(published_at) / 60 AS minute, outlet_id, outlet, lean, country, title, excerpt FROM placed WHERE pos % 5 <> 4),
+rss AS (SELECT pos * 1000000 + n AS ord, doc_id, epoch(published_at) / 60 AS minute, outlet_id, outlet, lean, country, title, excerpt, doc_id % 2 = 0 AS readable FROM placed WHERE pos % 5 <> 4),
+sites AS (SELECT DISTINCT source, regexp_extract(source, '(\\d+)', 1)::INT AS pos FROM documents),
+given AS (SELECT page_id, page_id - (page_id % 10 = 9)::INT AS u, page_id // 50 * 1000 + row_number() OVER (PARTITION BY page_id // 50 ORDER BY page_id) - 1 AS place FROM pages),
+hits AS (SELECT * FROM given WHERE page_id % 11 <> 0),
+known AS (SELECT 1000000000000000 + place AS ord, u, 1704067200 / 60 + page_id * 4 AS minute, source AS outlet_id, upper(source) AS outlet, ({A._LEANS})[pos % 7 + 1] AS lean, ({A._COUNTRIES})[pos % 5 + 1] AS country, trim('Report ' || page_id * 4 || ' & more, ' || (['Ottawa', 'Modi', 'Brussels', ''])[page_id % 4 + 1]) AS title, '' AS excerpt
+  FROM hits JOIN sites ON pos = u % 25),
+items AS (SELECT ord, doc_id, minute, outlet_id, outlet, lean, country, title, excerpt, readable FROM rss
+  UNION ALL SELECT ord, NULL, minute, outlet_id, outlet, lean, country, title, excerpt, false FROM known QUALIFY row_number() OVER (PARTITION BY u ORDER BY ord) = 1),
 it AS (SELECT * FROM items WHERE minute >= epoch(TIMESTAMP '2024-01-02 00:00:00') / 60 - 18 * 60)"""
 
 
 @query(f"""WITH RECURSIVE {S.stories_of(_RUN_ITEMS)}, told AS (SELECT * FROM stories WHERE outlet_count >= 2),
-ranked AS (SELECT *, row_number() OVER (ORDER BY round(outlet_count * 10 + len(countries) * 2 + coalesce(hi, 0) * 5, 9) DESC, min_ord) AS rn FROM told),
-picked AS (SELECT * FROM ranked WHERE rn <= 8)
-SELECT (SELECT count(*) FROM items) AS rss_items, (SELECT count(*) FROM items) AS items, (SELECT count(*) FROM clusters) AS clusters, (SELECT count(*) FROM told) AS stories, (SELECT count(*) FROM picked) AS candidates,
-  coalesce((SELECT list(cluster_id ORDER BY cluster_id) FROM picked), []) AS chosen, (SELECT count(*) FROM picked WHERE len(list_filter(leans, lambda x: x IN ('left', 'lean_left'))) > 0) AS left_side, (SELECT count(*) FROM told) AS available,
-  (SELECT count(DISTINCT outlet_id) FROM feed WHERE regexp_extract(outlet_id, '(\\d+)', 1)::INT % 5 = 4) AS failures""")
+{S.quota_steps(_RUN_QUOTAS, 'told')},
+picked AS (SELECT r.*, quota_region, list_contains(countries, 'US') OR len(list_filter(titles, lambda t: regexp_matches(t, '\\b(U\\.?S\\.?|Washington|White House|Congress|Federal)\\b'))) > 0 AS applies FROM filled JOIN ranked r USING (cluster_id) WHERE slot < 8),
+fill AS (SELECT q.region, q.quota, (SELECT count(*) FROM taken{len(_RUN_QUOTAS)} WHERE quota_region = q.region) AS filled, (SELECT count(*) FROM told WHERE list_contains(regions, q.region)) AS available FROM (VALUES {', '.join(f"('{r}', {n})" for r, n in _RUN_QUOTAS.items())}) q(region, quota))
+SELECT (SELECT count(*) FROM rss) AS rss_items, (SELECT count(*) FROM hits) AS hits, (SELECT count(*) FROM known) AS hits_matched, (SELECT count(*) FROM items) AS items, (SELECT count(*) FROM clusters) AS clusters, (SELECT count(*) FROM told) AS stories, (SELECT count(*) FROM picked) AS candidates,
+  coalesce((SELECT list(cluster_id ORDER BY cluster_id) FROM picked), []) AS chosen, (SELECT count(*) FROM picked WHERE len(list_filter(leans, lambda x: x IN ('left', 'lean_left'))) > 0) AS left_side, (SELECT list(region || ' ' || filled || ' of ' || quota || ', ' || available ORDER BY region) FROM fill) AS fill,
+  (SELECT count(*) FROM picked WHERE applies AND cluster_id IN (SELECT ord FROM rss WHERE doc_id % 3 <> 1)) AS confirmed, (SELECT count(*) FROM own JOIN picked USING (cluster_id) WHERE own.ord IN (SELECT ord FROM rss WHERE readable)) AS articles,
+  (SELECT count(*) FROM own JOIN picked USING (cluster_id) WHERE own.ord >= 1000000000000000) AS chosen_hits, (SELECT count(DISTINCT outlet_id) FROM feed WHERE regexp_extract(outlet_id, '(\\d+)', 1)::INT % 5 = 4) AS failures""")
 def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole run over feeds made of the documents, every fifth outlet's not verified, without hits: its report and its candidates."""
+    """The whole run over feeds and search hits, registry documents and read articles, under quotas for all regions: its report and
+    what its candidates rest on."""
     d = A.table(spark, sf_dir, "documents")
-    bodies, outlets = _bodies(spark, sf_dir)
-    roster = outlets.withColumn("feed", F.concat(F.lit("https://"), "id", F.lit(".example.net/rss"))).withColumn("verified", F.col("pos") % 5 != 4).withColumn("mbfc", F.lit(None).cast("struct<bias:string,url:string>"))
-    none = d.limit(0)
-    hits = _hits(spark, sf_dir).where("false")
-    documents = none.select(F.col("doc_id").alias("cluster_id"), F.col("text").alias("title"), F.col("text").alias("url"), F.lit(None).cast("date").alias("published"), F.col("text").alias("publisher"), F.col("text").alias("doc_type"), F.col("text").alias("ref"))
-    articles = none.select(F.col("text").alias("url"), F.lit(True).alias("ok"), F.array("text").alias("quotes"), F.from_json(F.lit("[]"), "array<struct<value:string,context:string>>").alias("figures"))
-    cands, report = daily(bodies, hits, roster, documents, articles, "2024-01-02 00:00:00", {"Global": 5}, 8, hours=18)
-    chosen = cands.agg(F.sort_array(F.collect_list("cluster_id")).alias("chosen"))
-    counts = [F.col("counts")[c].alias(c) for c in ("rss_items", "items", "clusters", "stories", "candidates")]
+    found, outlets = _bodies(spark, sf_dir)
+    roster = outlets.withColumn("feed", F.concat(F.lit("https://"), "id", F.lit(".org/rss"))).withColumn("verified", F.col("pos") % 5 != 4).withColumn("mbfc", F.lit(None).cast("struct<bias:string,url:string>"))
+    p = A.table(spark, sf_dir, "pages").withColumn("n", F.expr("int(page_id div 50)"))
+    u = F.col("page_id") - (F.col("page_id") % 10 == 9).cast("int")
+    url = F.concat(F.lit("https://www.src"), (u % 25).cast("string"), F.lit(".org/a?y="), u.cast("string"), F.lit("&amp;utm_source=f"), F.col("page_id").cast("string"))
+    hit = F.struct("page_id", F.when(F.col("page_id") % 11 != 0, F.concat(F.lit("Report "), (F.col("page_id") * 4).cast("string"), F.lit(" &amp; more, "), F.get(F.array(*(F.lit(x) for x in ("Ottawa", "Modi", "Brussels", ""))), (F.col("page_id") % 4).cast("int")))).otherwise("").alias("title"), url.alias("url"), F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") * 240), "yyyyMMdd'T'HHmmss'Z'").alias("seendate"))
+    answers = p.groupBy("n").agg(F.array_sort(F.collect_list(hit)).alias("articles"))
+    hits = landed.search_hits(answers.select(F.lit("q").alias("query"), "n", F.to_json(F.struct("articles")).alias("body")), "2024-02-01")
+    # places in the feeds, as the pieces of _bodies have them
+    part = F.expr("doc_id div 50")
+    number = F.regexp_extract("source", r"(\d+)", 1).cast("bigint")
+    placed = d.select("doc_id", "source", number.alias("k"), (number * 1_000_000 + part * 50 + F.row_number().over(Window.partitionBy("source", part).orderBy("doc_id")) - 1).alias("ord"))
+    null = F.lit(None).cast("string")
+    documents = placed.where("doc_id % 3 <> 1").select(F.col("ord").alias("cluster_id"), F.lit("Rule").alias("title"), F.lit("https://r.example/").alias("url"), F.lit("2024-01-01").cast("date").alias("published"), null.alias("publisher"), F.lit("Rule").alias("doc_type"), F.col("doc_id").cast("string").alias("ref"))
+    address = F.concat(F.lit("https://"), "source", F.lit(".example.com/"), F.col("doc_id").cast("string"), F.when(F.col("k") % 3 == 0, "?a=1&b=2").otherwise(""))
+    articles = placed.where("doc_id % 2 = 0").select(address.alias("url"), F.lit(True).alias("ok"), F.array(F.lit("quote")).alias("quotes"), F.from_json(F.lit("[]"), "array<struct<value:string,context:string>>").alias("figures"))
+    cands, report = daily(found, hits, roster, documents, articles, "2024-01-02 00:00:00", _RUN_QUOTAS, 8, hours=18)
+    count = lambda keep: F.size(F.filter("sources", keep))
+    chosen = cands.agg(F.sort_array(F.collect_list("cluster_id")).alias("chosen"), F.count_if(F.col("tier") == "primary").alias("confirmed"), F.sum(count(lambda s: s["read"] == "article read")).alias("articles"), F.sum(count(lambda s: s["u"].contains(".org/a"))).alias("chosen_hits"))
+    counts = [F.col("counts")[c].alias(c) for c in ("rss_items", "hits", "hits_matched", "items", "clusters", "stories", "candidates")]
     failed = F.aggregate("failures", F.lit(0).cast("bigint"), lambda a, x: a + x["n"]).alias("failures")
-    return report.select(*counts, F.col("balance")["left"].alias("left_side"), F.col("region_fill")["Global"]["available"].alias("available"), failed).join(F.broadcast(chosen))
+    fill = F.array_sort(F.transform(F.map_entries("region_fill"), lambda e: F.concat(e["key"], F.lit(" "), e["value"]["filled"].cast("string"), F.lit(" of "), e["value"]["quota"].cast("string"), F.lit(", "), e["value"]["available"].cast("string"))))
+    return report.select(*counts, F.col("balance")["left"].alias("left_side"), fill.alias("fill"), failed).join(F.broadcast(chosen)).withColumns({"articles": F.coalesce("articles", F.lit(0)), "chosen_hits": F.coalesce("chosen_hits", F.lit(0))})
 
 
 @query("""SELECT c_custkey % 100 AS cluster_id, c_name AS title, 'https://r.example/' || c_custkey AS url, (DATE '2024-01-01' + (c_custkey % 60)::INT)::VARCHAR AS published, CASE c_custkey % 3 WHEN 0 THEN NULL WHEN 1 THEN c_mktsegment ELSE c_mktsegment || ', B' END AS publisher, c_custkey::VARCHAR AS ref FROM customer""")

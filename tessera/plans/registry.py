@@ -56,20 +56,10 @@ def stories_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUOTAS = {"Canada": 3, "India": 3, "Europe": 3, "Global": 3}
 
 
-def _quota_sql(quotas: dict[str, int], limit: int) -> str:
-    """Each quota takes the best of what earlier ones left, then the best of the rest fill up."""
-    steps = ["ranked AS (SELECT *, round(outlet_count * 10 + len(countries) * 2 + coalesce(hi, 0) * 5, 9) AS rank_score FROM stories)", "taken0 AS (SELECT 0::BIGINT AS cluster_id, 0 AS slot, '' AS quota_region, 0 AS filled WHERE false)"]
-    for n, (region, quota) in enumerate(quotas.items()):
-        steps.append(f"""taken{n + 1} AS (SELECT cluster_id, slot, quota_region FROM taken{n} UNION ALL
-  SELECT cluster_id, (SELECT count(*) FROM taken{n}) + row_number() OVER (ORDER BY rank_score DESC, min_ord) - 1, '{region}' FROM ranked
-  WHERE list_contains(regions, '{region}') AND cluster_id NOT IN (SELECT cluster_id FROM taken{n}) QUALIFY row_number() OVER (ORDER BY rank_score DESC, min_ord) <= {quota})""")
-    n = len(quotas)
-    steps.append(f"""filled AS (SELECT cluster_id, slot, quota_region FROM taken{n} UNION ALL
-  SELECT cluster_id, (SELECT count(*) FROM taken{n}) + row_number() OVER (ORDER BY rank_score DESC, min_ord) - 1, NULL FROM ranked WHERE cluster_id NOT IN (SELECT cluster_id FROM taken{n}))""")
-    return ",\n".join(steps) + f"\nSELECT slot::INT AS slot, cluster_id::BIGINT AS cluster_id, quota_region, round(rank_score, 4) AS rank_score FROM filled JOIN ranked USING (cluster_id) WHERE slot < {limit}"
-
-
-@query(f"WITH RECURSIVE {S.STORIES},\n{_quota_sql(_QUOTAS, 14)}")
+_CHOSEN = "SELECT slot::INT AS slot, cluster_id::BIGINT AS cluster_id, quota_region, round(rank_score, 4) AS rank_score FROM filled JOIN ranked USING (cluster_id) WHERE slot < 14"
+
+
+@query(f"WITH RECURSIVE {S.STORIES},\n{S.quota_steps(_QUOTAS)}\n{_CHOSEN}")
 def quota_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stories of all clusters under quotas a region, and two more to fill up."""
     c = Stored(stories.with_regions(C.cluster_items(A.items(spark, sf_dir))), "regions").df

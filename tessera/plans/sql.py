@@ -86,6 +86,19 @@ def stories_of(items: str = A.ITEMS_SQL) -> str:
 stories AS (SELECT *, list_filter([{found}, 'Global'], lambda x: x IS NOT NULL) AS regions FROM clusters)"""
 
 
+def quota_steps(quotas: dict[str, int], stories: str = "stories") -> str:
+    """ranked, taken<n> after each quota, filled: each quota takes the best of what earlier ones left, then the best of the rest fill up."""
+    steps = [f"ranked AS (SELECT *, round(outlet_count * 10 + len(countries) * 2 + coalesce(hi, 0) * 5, 9) AS rank_score FROM {stories})", "taken0 AS (SELECT 0::BIGINT AS cluster_id, 0 AS slot, '' AS quota_region, 0 AS filled WHERE false)"]
+    for n, (region, quota) in enumerate(quotas.items()):
+        steps.append(f"""taken{n + 1} AS (SELECT cluster_id, slot, quota_region FROM taken{n} UNION ALL
+  SELECT cluster_id, (SELECT count(*) FROM taken{n}) + row_number() OVER (ORDER BY rank_score DESC, min_ord) - 1, '{region}' FROM ranked
+  WHERE list_contains(regions, '{region}') AND cluster_id NOT IN (SELECT cluster_id FROM taken{n}) QUALIFY row_number() OVER (ORDER BY rank_score DESC, min_ord) <= {quota})""")
+    n = len(quotas)
+    steps.append(f"""filled AS (SELECT cluster_id, slot, quota_region FROM taken{n} UNION ALL
+  SELECT cluster_id, (SELECT count(*) FROM taken{n}) + row_number() OVER (ORDER BY rank_score DESC, min_ord) - 1, NULL FROM ranked WHERE cluster_id NOT IN (SELECT cluster_id FROM taken{n}))""")
+    return ",\n".join(steps)
+
+
 VECS, PAIRS, CLUSTERS, STORIES = vecs(), pairs(), clusters(), stories_of()
 
 _NUMBER = "(?i)([$€£₹]|\\bUS\\$|\\bC\\$)?\\s?(\\d[\\d,]*(?:\\.\\d+)?)\\s*(percent|per cent|%|thousand|million|billion|trillion|bn|tn|k|m|b)?"

@@ -33,10 +33,10 @@ class Cache:
     def _known(self, df: DataFrame) -> DataFrame:
         return df.dropna(subset=self.keys)
 
-    def live(self, now) -> DataFrame:
-        """The rows that count at the time ``now``, with ``written_at``."""
+    def live(self, now, before: int | None = None) -> DataFrame:
+        """The rows that count at the time ``now``, with ``written_at``; ``before``: those of earlier batches only."""
         kind = T.StructType([*self.schema.fields, T.StructField("written_at", T.TimestampType()), T.StructField("batch", T.LongType())])
-        paths = [f"{self.path}/batch={n}" for n in self._batches()]
+        paths = [f"{self.path}/batch={n}" for n in self._batches() if before is None or n < before]
         rows = self.spark.read.schema(kind).option("basePath", self.path).parquet(*paths) if paths else self.spark.createDataFrame([], kind)
         at = F.lit(now).cast("timestamp")
         seen = rows.where(F.col("written_at") <= at).groupBy(*self.keys).agg(F.max_by(F.struct(*self.values, "written_at"), F.struct("written_at", "batch")).alias("x"))
@@ -49,9 +49,9 @@ class Cache:
         one = own.groupBy(*self.keys).agg(F.max_by(F.struct(*self.values), F.struct(*flat) if flat else F.lit(0)).alias("x")).select(*self.keys, "x.*")
         one.withColumn("written_at", F.lit(now).cast("timestamp")).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
 
-    def get(self, wanted: DataFrame, now) -> DataFrame:
+    def get(self, wanted: DataFrame, now, before: int | None = None) -> DataFrame:
         """Every row of ``wanted`` with the values of its key and ``written_at``; nulls where the cache has none."""
-        found = self.live(now).select(*(F.col(c).alias(f"__{c}") for c in self.keys), *self.values, "written_at")
+        found = self.live(now, before).select(*(F.col(c).alias(f"__{c}") for c in self.keys), *self.values, "written_at")
         cond = F.lit(True)
         for c in self.keys:
             cond &= F.col(c) == F.col(f"__{c}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,11 +62,10 @@ def gate(starved: DataFrame, empty_sides: DataFrame, empty_leans: DataFrame, sum
 
 def run_report(counts: dict[str, DataFrame], balance: DataFrame, fill: DataFrame, failures: DataFrame) -> DataFrame:
     """One row: counts by name, balance by side, fill by region, and all failures by layer and reason (counted)."""
-    row = None
-    for name, df in counts.items():
-        n = df.agg(F.count(F.lit(1)).alias(name))
-        row = n if row is None else row.join(F.broadcast(n))
-    row = row.select(F.struct("*").alias("counts"))
+    # one pass over all inputs, each task counting first
+    every = reduce(DataFrame.unionAll, (df.select(F.lit(name).alias("name")) for name, df in counts.items()))
+    each = every.groupBy("name").agg(F.count(F.lit(1)).alias("n")).agg(*(F.coalesce(F.sum(F.when(F.col("name") == c, F.col("n"))), F.lit(0)).alias(c) for c in counts))
+    row = each.select(F.struct("*").alias("counts"))
     b = balance.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("side", "candidates")))).alias("balance"))
     f = fill.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("region", F.struct("quota", "filled", "available"))))).alias("region_fill"))
     x = failures.groupBy("layer", "reason").agg(F.count(F.lit(1)).alias("n")).agg(F.array_sort(F.collect_list(F.struct("layer", "reason", "n"))).alias("failures"))

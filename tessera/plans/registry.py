@@ -12,7 +12,7 @@ from tessera.functions import urls as U
 from tessera.operators import cluster as C
 from tessera.operators import feeds, matching, stories, validation
 from tessera.plans import adapters as A
-from tessera.plans import history, ingest  # noqa: F401
+from tessera.plans import edges, history, ingest  # noqa: F401
 from tessera.plans import sql as S
 from tessera.plans.catalog import ORACLE_SQL, QUERIES, query  # noqa: F401
 from tessera.sources import sinks
@@ -53,7 +53,7 @@ def stories_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("cluster_id", "outlet_count", F.size("items").alias("n_items"), F.col("region.regions").alias("regions"), F.round("similarity.max", 5).alias("sim_max"), "countries")
 
 
-_QUOTAS = {"Canada": 3, "India": 3, "Europe": 3, "Global": 3}
+_QUOTAS = L.parse_quotas("Canada=3, India=3,Europe=3,Global=3,Asia=x")
 
 
 _CHOSEN = "SELECT slot::INT AS slot, cluster_id::BIGINT AS cluster_id, quota_region, round(rank_score, 4) AS rank_score FROM filled JOIN ranked USING (cluster_id) WHERE slot < 14"

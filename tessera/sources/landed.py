@@ -105,6 +105,11 @@ def build_query(terms: list[str], country: str | None = None, language: str = "e
     return " ".join(parts)
 
 
+def standing_searches(spark: SparkSession) -> DataFrame:
+    """(label, query) of the standing searches; landed responses are joined by the query."""
+    return spark.createDataFrame([(label, build_query(terms, country)) for label, terms, country in STANDING], "label string, query string")
+
+
 def seen_date(c: Column) -> Column:
     return F.try_to_timestamp(c, F.lit("yyyyMMdd'T'HHmmssX"))
 

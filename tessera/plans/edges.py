@@ -13,7 +13,7 @@ from tessera.operators import cluster as C
 from tessera.operators import feeds, matching
 from tessera.plans import adapters as A
 from tessera.plans.catalog import query
-from tessera.sources import landed
+from tessera.sources import landed, reports, sinks
 from tessera.storage import Stored, delete, shared_dir
 
 
@@ -131,3 +131,38 @@ def digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     pick = lambda n, *xs: F.get(F.array(*(F.lit(x) for x in xs)), (F.col("page_id") % n).cast("int"))
     url, title = F.concat("url", pick(4, "/Live-Updates", "/news", "/week-in-review/1", "")), pick(3, "Report", "One. And, two", "Is it? It is. So", "Report. Also")
     return A.table(spark, sf_dir, "pages").select("page_id", X.is_digest(title, url).alias("digest"))
+
+
+@query(f"""WITH {A.ROSTER_SQL}, c AS (SELECT *, CASE WHEN domain IS NOT NULL THEN 'https://www.' || domain || '/rss' END AS feed, CASE WHEN verified AND pos % 5 = 0 THEN 'https://new.example/' || pos END AS moved, CASE WHEN NOT verified AND pos % 6 = 0 THEN 'https://try.example/' || pos END AS try FROM roster)
+SELECT 0 AS part, 0 AS kind, '# Feed validation report' AS line UNION ALL SELECT 0, 1, '' UNION ALL SELECT 0, 2, 'Run: now' UNION ALL SELECT 0, 3, 'Verified: ' || count(*) FILTER (verified) || '/' || count(*) FROM c UNION ALL SELECT 0, 9, ''
+UNION ALL SELECT part, unnest([0, 1, 9]), unnest(['## ' || name, '', '']) FROM (VALUES (1, 'Balance by lean'), (2, 'Failures'), (3, 'Redirects worth pinning')) h(part, name)
+UNION ALL SELECT 1, 3, '- ' || lean || ': ' || count(*) FILTER (verified) || '/' || count(*) || ' verified' FROM c GROUP BY lean
+UNION ALL SELECT 2, 3, '- **' || name || '** (' || lean || ') — HTTP 404' || CASE WHEN try IS NOT NULL THEN ' — try `' || try || '`' ELSE '' END || chr(10) || '  - tried: `' || coalesce(feed, '(none)') || '`' FROM c WHERE NOT verified
+UNION ALL SELECT 3, 3, '- **' || name || '**: `' || coalesce(feed, '-') || '` -> `' || moved || '`' FROM c WHERE moved IS NOT NULL""")
+def feed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on checked feeds, line by line."""
+    k = F.col("pos")
+    address = lambda host: F.concat(F.lit(f"https://{host}.example/"), k.cast("string"))
+    checks = A.roster(spark, sf_dir).select("name", "lean", "country", F.col("feed").alias("url"), F.col("verified").alias("ok"), F.lit("HTTP 404").alias("note"), F.when(F.col("verified") & (k % 5 == 0), address("new")).alias("redirected"), F.when(~F.col("verified") & (k % 6 == 0), address("try")).alias("suggested"))
+    return reports.feed_report(checks, "now")
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 5 <> 3 THEN '<p>' || url || '</p>const STORIES = [{"id": ' || page_id || '}]; const OTHER = [1];' END AS page FROM pages""")
+def spliced_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose list of stories is replaced; one that does not end gives no page."""
+    old = F.concat(F.lit('["a]\\"]", [\'['), F.col("url"), F.lit("'], `]` /* "), F.col("page_id").cast("string"), F.lit(" */, []"))
+    page = F.concat(F.lit("<p>"), F.col("url"), F.lit("</p>const STORIES = "), old, F.when(F.col("page_id") % 5 == 3, "").otherwise("]; const OTHER = [1];"))
+    payload = F.concat(F.lit('[{"id": '), F.col("page_id").cast("string"), F.lit("}]"))
+    return A.table(spark, sf_dir, "pages").select("page_id", sinks.splice(page, "STORIES", payload).alias("page"))
+
+
+@query(f"WITH {A.ITEMS_SQL} SELECT ord, title, excerpt, country, CASE WHEN ord % 3 = 0 THEN lean END AS lean, ord % 3 <> 0 AS null_kept FROM it")
+def json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items written as JSON and read again, nulls included."""
+    path = f"{shared_dir(spark)}/json-{uuid.uuid4().hex}"
+    items = A.items(spark, sf_dir).select("ord", "title", "excerpt", "country", F.when(F.col("ord") % 3 == 0, F.col("lean")).alias("lean"))
+    sinks.write_json(items, path)
+    text = spark.read.text(path)
+    found = Stored(text.select(F.from_json("value", items.schema).alias("i"), F.col("value").contains('"lean":null').alias("null_kept")).select("i.*", "null_kept"), "items")
+    delete(spark, path)
+    return found.df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,41 +15,54 @@ def write_json(df: DataFrame, path: str, dry_run: bool = False) -> bool:
     return not dry_run
 
 
-def markdown(title: str, sections: dict[str, DataFrame], most: int = 200) -> str:
-    """A report of small tables; each shows ``most`` rows at most and says how many there are."""
-    out = [f"# {title}", ""]
-    for name, df in sections.items():
-        rows = df.limit(most + 1).collect()
-        out += [f"## {name}", ""]
-        if not rows:
-            out += ["None.", ""]
-            continue
-        out += ["| " + " | ".join(df.columns) + " |", "|" + "-|" * len(df.columns)]
-        out += ["| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |" for r in rows[:most]]
-        out += ([f"({df.count()} rows)"] if len(rows) > most else []) + [""]
-    return "\n".join(out)
-
-
-def splice(page: str, name: str, payload: str) -> str:
-    """``page`` with the array literal of ``const name = [...]`` replaced; brackets in strings do not count. On the driver: one page."""
-    at = page.find(f"const {name} = [")
-    if at < 0:
-        raise ValueError(f"no array {name}")
-    start = page.index("[", at)
-    depth, quote, i = 0, "", start
-    while i < len(page):
-        ch = page[i]
-        if quote:
-            i += ch == "\\"
-            quote = "" if ch == quote else quote
-        elif ch in "\"'`":
-            quote = ch
-        else:
-            depth += (ch == "[") - (ch == "]")
-            if not depth:
-                return page[:start] + payload + page[i + 1 :]
-        i += 1
-    raise ValueError(f"array {name} does not end")
+def lines(spark: SparkSession, title: str, head: list[DataFrame], sections: dict[str, DataFrame], tables: dict[str, str] | None = None) -> DataFrame:
+    """(part, kind, line): a Markdown report, to be sorted by its columns. head and sections: frames with a column ``line``; a section's
+    lines come in their own order, an empty one says so. tables: what stands above the lines of a section that is a table."""
+    fixed = [(0, 0, f"# {title}"), (0, 1, ""), (0, 9, "")]
+    for i, name in enumerate(sections, 1):
+        fixed += [(i, 0, f"## {name}"), (i, 1, ""), (i, 9, ""), *((i, 2, t) for n, t in (tables or {}).items() if n == name)]
+    out = spark.createDataFrame(fixed, "part int, kind int, line string")
+    for n, df in enumerate(head):
+        out = out.unionByName(df.select(F.lit(0).alias("part"), F.lit(2 + n).alias("kind"), "line"))
+    for i, df in enumerate(sections.values(), 1):
+        none = df.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(F.lit("None.").alias("line"))
+        out = out.unionByName(df.select("line").unionByName(none).select(F.lit(i).alias("part"), F.lit(3).alias("kind"), "line"))
+    return out
+
+
+def write_lines(report: DataFrame, path: str) -> None:
+    """A report as one text file in a folder; the sort before it is distributed, the file is written by one task that streams."""
+    report.orderBy("part", "kind", "line").coalesce(1).select("line").write.mode("overwrite").text(path)
+
+
+def table_rows(df: DataFrame) -> DataFrame:
+    """The rows of a frame as lines of a Markdown table; bars in values are escaped, nulls are empty."""
+    cell = lambda c: F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("|"), F.lit("\\|"))
+    return df.select(F.concat(F.lit("| "), F.concat_ws(" | ", *(cell(c) for c in df.columns)), F.lit(" |")).alias("line"))
+
+
+def table_head(df: DataFrame) -> str:
+    return "| " + " | ".join(df.columns) + " |\n|" + "-|" * len(df.columns)
+
+
+def splice(page: Column, name: str, payload: Column) -> Column:
+    """``page`` with the array literal of ``const name = [...]`` replaced; brackets in strings do not count. Null where there is no such
+    array or it does not end, so that callers can stop."""
+    mark = f"const {name} = "
+    rest = F.substring(page, F.instr(page, mark + "[") + len(mark), F.length(page))
+    tokens = F.regexp_extract_all(rest, F.lit(r"""(?s)\\.|["'`]|[\[\]]|[^\\"'`\[\]]+|\\"""), F.lit(0))
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("quote"), F.lit(0).alias("at"), F.lit(None).cast("int").alias("end"))
+
+    def step(a: Column, t: Column) -> Column:
+        free = a["quote"] == ""
+        depth = a["depth"] + F.when(free & (t == "["), 1).when(free & (t == "]"), -1).otherwise(0)
+        quote = F.when(free & t.isin('"', "'", "`"), t).when(t == a["quote"], "").otherwise(a["quote"])
+        at = a["at"] + F.length(t)
+        return F.when(a["end"].isNotNull(), a).otherwise(F.struct(depth.alias("depth"), quote.alias("quote"), at.alias("at"), F.when(depth == 0, at).alias("end")))
+
+    end = F.aggregate(tokens, start, step)["end"]
+    at = F.instr(page, mark + "[")
+    return F.when(at > 0, F.concat(F.substring(page, F.lit(1), at + len(mark) - 1), payload, F.substring(rest, end + 1, F.length(page))))
 
 
 def gate(starved: DataFrame, empty_sides: DataFrame, empty_leans: DataFrame, summary: DataFrame) -> DataFrame:

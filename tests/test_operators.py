@@ -249,14 +249,28 @@ def test_search_hits_records_and_roster_file(spark, tmp_path):
     assert rows[0].feed is None and rows[1].mbfc.bias == "left" and rows[1].pos == 1
 
 
+def said(report):
+    return "\n".join(r.line for r in report.orderBy("part", "kind", "line").collect())
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     assert not sinks.write_json(df, f"file://{tmp_path}/o", dry_run=True) and not (tmp_path / "o").exists()
     assert sinks.write_json(df, f"file://{tmp_path}/o")
     # empty partitions may leave files of their own
     assert '"b":null' in "".join(f.read_text() for f in (tmp_path / "o").glob("part-*"))
-    assert "| 1 |  |" in sinks.markdown("R", {"S": df, "E": df.limit(0)}) and "None." in sinks.markdown("R", {"E": df.limit(0)})
-    assert sinks.splice('x const S = [1, "]", [2]]; y', "S", "[9]") == "x const S = [9]; y"
+    piped = spark.createDataFrame([(1, "a|b"), (2, None)], "a int, b string")
+    report = sinks.lines(spark, "R", [spark.createDataFrame([("one",), ], "line string")], {"S": sinks.table_rows(piped), "E": sinks.table_rows(df.limit(0))}, {"S": sinks.table_head(piped)})
+    assert said(report) == "# R\n\none\n\n## S\n\n| a | b |\n|-|-|\n| 1 | a\\|b |\n| 2 |  |\n\n## E\n\nNone.\n"
+    sinks.write_lines(report, f"file://{tmp_path}/report")
+    (file,) = (tmp_path / "report").glob("part-*.txt")
+    assert file.read_text() == said(report) + "\n"
+    pages = {
+        'x const S = [1, "]", [2]]; y': "x const S = [9]; y", "const S = []": "const S = [9]", "const S = [[], '\\']', `[`, \"\\\\\"] z]": "const S = [9] z]", "const S = [1": None, "const T = [1]": None, "": None, None: None,
+        "const S = [" + '"a\\"]", ' * 3000 + "];": "const S = [9];", "const S = ['" + "x" * 200_000 + "']": "const S = [9]",
+    }
+    got = spark.createDataFrame([(p, w) for p, w in pages.items()], "page string, want string").select(sinks.splice(F.col("page"), "S", F.lit("[9]")).alias("got"), "want").collect()
+    assert all(r.got == r.want for r in got)
     none = spark.range(0)
     gate = sinks.gate(none, none, none, validation.summarise(none.select(F.lit("error").alias("level")))).first()
     assert gate.exit_code == 0
@@ -264,18 +278,18 @@ def test_sinks(spark, tmp_path):
 
 def test_reports(spark):
     checks = spark.createDataFrame([("a", "A", "left", "CA", "https://a/rss", True, None, "https://a/new", None), ("b", "B", None, "CA", None, False, "no feed url", None, "https://b/feed"), ("z", "Z", "left", None, "https://z", False, "HTTP 404", None, None)], "id string, name string, lean string, country string, url string, ok boolean, note string, redirected string, suggested string")
-    text = reports.feed_report(checks, "now")
+    text = said(reports.feed_report(checks, "now"))
     assert "Verified: 1/3" in text and "- left: 1/2 verified" in text and "- **B** (CA) — no feed url — try `https://b/feed`\n  - tried: `(none)`" in text and "- **A**: `https://a/rss` -> `https://a/new`" in text
-    assert "## Redirects worth pinning\n\nNone." in reports.feed_report(checks.where("NOT ok"), "now")
+    assert "## Redirects worth pinning\n\nNone." in said(reports.feed_report(checks.where("NOT ok"), "now"))
     diag = spark.createDataFrame([("x", "current", False, "HTTP 403"), ("x", "browser", True, "7")], "id string, agent string, ok boolean, note string")
-    assert "| x | HTTP 403 | - | OK (7) | only a browser string works" in reports.diagnosis_report(diag, "now")
+    assert "| x | HTTP 403 | - | OK (7) | only a browser string works" in said(reports.diagnosis_report(diag, "now"))
     roster = spark.createDataFrame([("a", "A", "CA", "left", "https://a/rss"), ("b", "B", "CA", "right", None), ("c", "C", "IN", "centre", None)], "id string, name string, country string, lean string, feed string")
     ladder = spark.createDataFrame([("a", "applied", "domain", "A"), ("b", "review", "name", "Bee"), ("c", "missed", None, None)], "id string, status string, matched_on string, rating_name string")
     ratings = spark.createDataFrame([("A", "Left-Center", "High", "https://m/a"), ("Bee", "Right", None, None)], "name string, bias string, factual string, mbfc_url string")
-    text = reports.rating_review(ladder, roster, ratings)
+    text = said(reports.rating_review(ladder, roster, ratings))
     assert "Applied: 1/3" in text and "- **A** — roster `left` vs rating `Left-Center`" in text and "link none: cannot be shown" in text and "- **C** (IN, centre)" in text
     merged = roster.withColumn("feed", F.when(F.col("id") == "a", "https://a/new").otherwise(F.col("feed")))
-    text = reports.applied_report(checks, roster, merged, "now")
+    text = said(reports.applied_report(checks, roster, merged, "now"))
     assert "  - was: `https://a/rss`\n  - now: `https://a/new`" in text and "- z (Z)" in text and "- **Z** (left) — HTTP 404" in text
 
 

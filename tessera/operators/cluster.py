@@ -84,7 +84,8 @@ def prune(members: DataFrame, vecs: DataFrame, floor: float = FLOOR) -> DataFram
     """(ord, cluster_id, pruned): while more than two members hold together less than the floor on average, the loosest goes.
 
     Dropped members are in no cluster. Grouped Python: each removal depends on the one before. The sum of all members' vectors
-    tells each one's similarity to all others, so a component takes memory in proportion to its terms and needs no pairs.
+    tells each one's similarity to all others, so a component takes memory in proportion to its terms and needs no pairs; a removal
+    touches only members that share a term with the one that goes.
     """
     sized = members.join(members.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n")), "cluster_id")
     large = sized.where("n > 2")
@@ -95,21 +96,27 @@ def prune(members: DataFrame, vecs: DataFrame, floor: float = FLOOR) -> DataFram
         import numpy as np
 
         pdf = pdf.sort_values("ord")
-        rows = np.repeat(np.arange(len(pdf)), pdf["terms"].map(len))
+        n_terms = pdf["terms"].map(len).to_numpy()
+        rows, first = np.repeat(np.arange(len(pdf)), n_terms), np.concatenate(([0], np.cumsum(n_terms)))
         names, at = np.unique(np.concatenate(pdf["terms"].to_list()).astype(np.int64), return_inverse=True)
         w = np.concatenate(pdf["weights"].to_list()).astype(float)
-        own = np.bincount(rows, w * w, len(pdf))
-        alive = np.ones(len(pdf), bool)
+        # who has a term: entries by term
+        by = np.argsort(at, kind="stable")
+        who, much, begin = rows[by], w[by], np.concatenate(([0], np.cumsum(np.bincount(at, minlength=len(names)))))
         whole = np.bincount(at, w, len(names))
-        while (n := int(alive.sum())) > 2:
-            # a member's similarity to all others that are left
-            near = np.bincount(rows, w * whole[at], len(pdf)) - own
-            if near[alive].sum() / (n * (n - 1)) >= floor:
-                break
+        # a member's similarity to all others that are left
+        near = np.bincount(rows, w * whole[at], len(pdf)) - np.bincount(rows, w * w, len(pdf))
+        alive, n = np.ones(len(pdf), bool), len(pdf)
+        while n > 2 and near[alive].sum() / (n * (n - 1)) < floor:
             # copies are equally loose whatever the order of their sums: the first goes
             worst = int(np.where(alive, np.round(near, 9), np.inf).argmin())
             alive[worst] = False
-            np.subtract.at(whole, at[rows == worst], w[rows == worst])
+            n -= 1
+            own = range(first[worst], first[worst + 1])
+            if own:
+                met = np.concatenate([np.arange(begin[at[e]], begin[at[e] + 1]) for e in own])
+                shares = np.repeat(w[own.start : own.stop], [begin[at[e] + 1] - begin[at[e]] for e in own])
+                near -= np.bincount(who[met], much[met] * shares, len(pdf))
         return pd.DataFrame({"ord": pdf["ord"].to_numpy()[alive], "cluster_id": pdf["cluster_id"].iloc[0], "pruned": len(pdf) - int(alive.sum())})
 
     kept = terms.groupBy("cluster_id").applyInPandas(keep, "ord bigint, cluster_id bigint, pruned int")

@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.storage import Stored as Saved  # noqa: F401
@@ -70,3 +70,14 @@ def labelled(labels: DataFrame, label: str, parts: int, held: int, per_class: in
     rows = rows.where(split_of(F.col("doc_id"), parts) != held).groupBy("doc_id").agg(F.min("y").alias("y"))
     part = [rows.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     return part[0].unionByName(part[1])
+
+
+def sampled(docs: DataFrame, labels: DataFrame, label: str, parts: int, held: int, per_class: int) -> DataFrame:
+    """(doc_id, y, text): the rows of ``docs`` that teach, at most ``per_class`` of either class, the first by a hash of id and text.
+
+    Rows of one labelled id all teach, as far as the bound goes. The ids that are broadcast are 2 * per_class at most.
+    """
+    ids = labelled(labels, label, parts, held, per_class)
+    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+    nth = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text"))
+    return rows.withColumn("nth", nth).where(F.col("nth") <= per_class).select("doc_id", "y", "text")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batches_of, modest, labelled, split_of
+from tessera.llm.common import batches_of, modest, sampled, split_of
 
 BITS = 18
 DIMS = 1 << BITS
@@ -158,10 +158,9 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int = 3, held: int = 1, per_class: int = PER_CLASS) -> dict:
-    """The model from a bounded sample of labelled rows whose split is not ``held``. The sample's ids (2 * per_class) are broadcast."""
+    """The model from a bounded sample of labelled rows whose split is not ``held``: per_class rows of either class at most, however often an id repeats."""
     modest(docs.sparkSession)
-    sample = labelled(labels, label, parts, held, per_class)
-    texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.col("text")).join(F.broadcast(sample), "doc_id").select("y", "text")
+    texts = sampled(docs, labels, label, parts, held, per_class).select("y", "text")
     got = texts.mapInArrow(_slots, "y int, slots array<int>").toArrow()
     y = got.column("y").to_numpy()
     rows = [np.asarray(s.values.to_numpy(), np.int32) if s.is_valid else np.zeros(0, np.int32) for s in got.column("slots")]

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Saved, batches_of, labelled, modest, split_of
+from tessera.llm.common import Saved, batches_of, sampled, modest, split_of
 
 ORDER = 5
 #: Bits of a symbol; letters with a symbol of their own.
@@ -242,11 +242,11 @@ def gather(docs: DataFrame, wanted: DataFrame, table: np.ndarray) -> list[tuple]
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 5, held: int = 0, per_class: int = PER_CLASS) -> dict:
-    """The model from a bounded sample of labelled rows whose split is not ``held``: two thirds for the counts, the rest for the curve."""
+    """The model from a bounded sample of labelled rows whose split is not ``held``, per_class rows of either class at
+    most, however often an id repeats; all of it for the counts, and for the curve by folds that are left out of the counts in turn."""
     modest(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
-    sample = labelled(labels, label, parts, held, per_class)
-    texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    texts = sampled(docs, labels, label, parts, held, per_class)
     kept = Saved(texts.select("y", "text", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int").alias("fold")), "toxic-sample")
     n = {(r.fold, r.y): r.n for r in kept.df.groupBy("fold", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = [sum(v for (_, y), v in n.items() if y == k) for k in (0, 1)]

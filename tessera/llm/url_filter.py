@@ -1,8 +1,8 @@
 """URL filters: host and path rules, then logistic regression on hashed character n-grams of host and path.
 
 Everything is DataFrame functions: parsing, rules, n-grams, training and scoring. The model is trained from a small labelled
-table (of a larger one the MAX_LABELLED rows that a hash of the url puts first) by gradient descent inside one expression: labelled rows and their active
-slots become one row of arrays, and a fold over the epochs updates the weights. The weights (DIMS numbers at most) come to
+table (of a larger one the MAX_LABELLED rows that a hash of the url puts first) by gradient descent inside one expression: labelled rows and the rows of
+every slot become two arrays, and a fold over the epochs updates the weights. The weights (DIMS numbers) come to
 the driver once and go into the scoring expression as a constant; scoring is one pass without a shuffle.
 
 Defined cases: null urls and urls without :// have an empty host and path, no rule, and the verdict of the model's bias;
@@ -12,12 +12,13 @@ nothing, and without both labels the model allows all; of a url's labels the sma
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 DIMS = 4096
 SIZES = (3, 4, 5)
-EPOCHS, RATE, DECAY = 150, 0.3, 0.002
+#: The rate is for the mean over the labelled rows, so that tables of any size train alike.
+EPOCHS, RATE, DECAY = 150, 30.0, 0.002
 MAX_LABELLED = 5000
 
 #: (verdict, host, path): a rule fits its host and all subdomains if the path starts with the rule's; the longest wins.
@@ -81,8 +82,8 @@ aggregate(sequence(1, {EPOCHS}),
   (m, e) -> transform(array(
       transform(rows, r -> r.y - 1D / (1D + exp(-(m.b + aggregate(r.idx, 0D, (s, i) -> s + m.w[i]) / sqrt(1D + size(r.idx))))))
     ), err -> named_struct(
-      'w', transform(slots, (s, j) -> m.w[j] * (1 - {DECAY}) + {RATE} * aggregate(s.ids, 0D, (g, i) -> g + err[i])),
-      'b', m.b + {RATE} * aggregate(err, 0D, (g, x) -> g + x) / size(rows)))[0])"""
+      'w', transform(slots, (s, j) -> m.w[j] * (1 - {DECAY}) + aggregate(s.ids, 0D, (g, i) -> g + err[i]) * {RATE} / size(rows)),
+      'b', m.b + {RATE / 100} * aggregate(err, 0D, (g, x) -> g + x) / size(rows)))[0])"""
 
 
 def labelled_table(spark: SparkSession) -> DataFrame:
@@ -98,18 +99,13 @@ def train(labelled: DataFrame) -> tuple[list[float], float]:
     seen = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("up")).first()
     if not seen.n or seen.up in (0.0, float(seen.n)):
         return [0.0] * DIMS, -1.0
-    # one row of arrays: its size is bounded by the labelled table's
-    one = rows.agg(F.array_sort(F.collect_list(F.struct("url", "y", "idx"))).alias("raw"))
-    one = one.withColumn("active", F.expr("array_sort(array_distinct(flatten(transform(raw, r -> r.idx))))"))
-    one = one.withColumn("rows", F.expr("transform(raw, r -> named_struct('y', r.y, 'idx', transform(r.idx, s -> int(array_position(active, s)) - 1)))"))
-    pairs = "flatten(transform(rows, (r, i) -> transform(r.idx, j -> named_struct('j', j, 'i', i))))"
-    one = one.select("active", "rows", F.explode(F.expr(pairs)).alias("p")).groupBy("active", "rows", F.col("p.j").alias("j")).agg(F.sort_array(F.collect_list("p.i")).alias("ids"))
-    one = one.groupBy("active", "rows").agg(F.array_sort(F.collect_list(F.struct("j", "ids"))).alias("slots"))
-    got = one.select("active", F.expr(_TRAIN).alias("m")).first()
-    weights = [0.0] * DIMS
-    for slot, w in zip(got.active, got.m.w, strict=True):
-        weights[slot] = round(w, 6)
-    return weights, round(got.m.b, 6)
+    # two rows of arrays, of the labelled rows and of the slots; their sizes are bounded by the labelled table's and by DIMS
+    numbered = rows.withColumn("i", F.row_number().over(Window.orderBy("url")) - 1)
+    of_slot = numbered.select("i", F.explode("idx").alias("slot")).groupBy("slot").agg(F.sort_array(F.collect_list("i")).alias("ids"))
+    every = labelled.sparkSession.range(DIMS).select(F.col("id").cast("int").alias("slot")).join(of_slot, "slot", "left").select("slot", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    one = numbered.agg(F.array_sort(F.collect_list(F.struct("i", "y", "idx"))).alias("rows")).crossJoin(every.agg(F.array_sort(F.collect_list(F.struct("slot", "ids"))).alias("slots")))
+    got = one.select(F.expr(_TRAIN).alias("m")).first().m
+    return [round(w, 6) for w in got.w], round(got.b, 6)
 
 
 def judge(pages: DataFrame, model: tuple[list[float], float], rules=RULES, threshold: float = 0.5) -> DataFrame:

@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import tracemalloc
 import zlib
 
@@ -17,7 +18,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tessera.llm import ann, chat, decontam, mixing, neardup, quality, queries, secrets, token_counts, toxicity, url_filter
-from tessera.llm.common import table
+from tessera.llm.common import sampled, table
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -290,6 +291,19 @@ def test_classifiers_defined_cases(spark, odd, none):
     assert quality.keep_good(odd, quality.train(odd, no_labels)).columns == odd.columns
 
 
+def test_labelled_rows_are_bounded(spark):
+    """An id that repeats without end brings no more than the bound to the driver, and the same rows whatever the partitions."""
+    hot = next(i for i in (2, 4, 6, 8, 10) if zlib.crc32(str(i).encode()) % 3 != 1)
+    docs = spark.range(20_000).select(F.when(F.col("id") < 15_000, hot).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 700).cast("string")).alias("text"))
+    labels = spark.range(20_000).where(f"id = {hot} OR id BETWEEN 15000 AND 15400").select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    got = sampled(docs, labels, "quality", 3, 1, 300)
+    n = {r.y: r["count"] for r in got.groupBy("y").count().collect()}
+    assert n[0] == 300 and 100 < n[1] < 300 and got.where(F.col("doc_id") == hot).count() > 100
+    assert sorted(map(str, got.collect())) == sorted(map(str, sampled(docs.repartition(7), labels, "quality", 3, 1, 300).collect()))
+    model = quality.train(docs, labels, per_class=50)
+    assert quality.score_documents(docs.limit(10), model).count() == 10
+
+
 def test_kneser_ney_backs_off_alike():
     history = 1 << toxicity.BITS
     keys = np.sort(np.array([history | 2, history | 3, 5 * history | 2], np.uint64))
@@ -427,8 +441,8 @@ def test_url_model_matches_plain_gradient_descent(spark):
         new = {i: v * (1 - url_filter.DECAY) for i, v in w.items()}
         for e, (_, idx, _) in zip(err, rows, strict=True):
             for i in idx:
-                new[i] = new.get(i, 0.0) + url_filter.RATE * e
-        w, b = collections.Counter(new), b + url_filter.RATE * sum(err) / len(rows)
+                new[i] = new.get(i, 0.0) + url_filter.RATE * e / len(rows)
+        w, b = collections.Counter(new), b + url_filter.RATE / 100 * sum(err) / len(rows)
     weights, bias = url_filter.train(spark.createDataFrame(url_filter.LABELLED[::3], "url string, label int"))
     assert abs(bias - b) < 1e-4 and all(abs(weights[i] - w[i]) < 1e-4 for i in range(url_filter.DIMS))
     urls = ["https://Casino.example.org/win?x", "http://news.example.edu/a/b#c", "x://", "https://é.example/ü", "https://" + "a" * 30_000 + "/" + "b" * 30_000, "https://news.example.edu", "https://news.example.edu"]
@@ -461,6 +475,21 @@ def test_large_labelled_tables_are_sampled(spark, monkeypatch):
     assert url_filter.train(lab) == url_filter.train(lab.repartition(5)) and any(url_filter.train(lab)[0])
 
 
+def test_training_reaches_its_bound(spark):
+    """As many rows as MAX_LABELLED, of hosts and paths that do not repeat, train within a minute and hold for others of their kind."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randrange(3, 9)))
+    lures = ["casino", "bonus", "cheap", "pills", "win", "adult", "crack"]
+    url = lambda bad: f"https://{word()}.{rng.choice(lures) if bad and rng.random() < 0.6 else word()}.test/{word()}/{rng.choice(lures) if bad else word()}-{word()}"
+    rows = [(url(y), y) for y in [0, 1] * (url_filter.MAX_LABELLED // 2 + 100)]
+    start = time.time()
+    model = url_filter.train(spark.createDataFrame(rows, "url string, label int"))
+    assert time.time() - start < 60
+    fresh = [(i, url(i % 2)) for i in range(400)]
+    got = url_filter.judge(spark.createDataFrame(fresh, "page_id bigint, url string"), model, rules=()).collect()
+    assert sum((r.verdict == "block") == bool(r.page_id % 2) for r in got) / len(got) > 0.9
+
+
 # --- token counts ----------------------------------------------------------------------------------------------------
 
 

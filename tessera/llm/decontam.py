@@ -1,14 +1,14 @@
 """Benchmark decontamination by the q-gram lemma.
 
 A benchmark item of m characters (normalised: letters and digits lower-cased, all else one blank) leaks into a document if
-a region of the document is within k = floor(ERROR * m) edits of it. An edit destroys at most Q of the item's q-grams, so
-such a region shares m - Q + 1 - k * Q of them at least, and all lie within k diagonals of each other. Shared q-grams are
+a region of the document is within k = floor(ERROR * m) edits of it. An edit destroys at most q of the item's q-grams, so
+such a region shares m - q + 1 - k * q of them at least, and all lie within k diagonals of each other. Shared q-grams are
 counted in overlapping bands of diagonals, each at least 2 k + 1 wide; bands that meet the bound are verified by a banded
-alignment.
+alignment. Each item takes the longest q up to Q that leaves it a bound of LEAST, and 4 at least, so every item with a budget has a
+bound; bands of short items, of which common words bring many, are aligned together, row by row.
 
-Some short items have no bound of a q-gram or more (34 characters at most). Such an item is cut into k + 1 pieces: k edits leave
-one of them whole, and the diagonals around each place of a piece are verified by the same alignment. So no region within the
-budget is lost. Items without a budget (8 characters at most) must occur exactly, as whole words.
+Items without a budget (8 characters at most) must occur exactly, as whole words; this is the one rule on word borders, for matches of
+so few characters inside longer words are no leaks.
 
 Scale: the index holds the benchmark only. It is shipped to every task while it has at most MAX_INDEX q-grams (proven by
 counting); beyond that the benchmark is cut into blocks of that size and each block is a further pass over the documents,
@@ -32,6 +32,10 @@ from tessera.llm.common import batches_of, modest
 
 Q = 7
 ERROR = 0.12
+#: Shared q-grams that an item's q must leave it.
+LEAST = 3
+#: Items of up to so many characters are aligned together, so many cells at a time.
+SHORT, CELLS = 64, 2_000_000
 MAX_INDEX = 4_000_000
 #: Hits (a place in a text with one in an item) that are held at a time.
 PAIRS = 1_000_000
@@ -103,73 +107,39 @@ class Keys:
         return some[real], i[real]
 
 
+def gram_size(m: int, k: int) -> int:
+    """The longest q up to Q that leaves an item of m characters and k edits a bound of LEAST; 4 at least, whose bound is never below 1."""
+    return next((q for q in range(Q, 4, -1) if m - q + 1 - k * q >= LEAST), 4)
+
+
 class Index:
-    """The q-grams of benchmark items."""
+    """Benchmark items: those with a budget by their q-grams, one group a length of these, the others by hash."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.ids, self.x, self.k, self.bound = [], [], [], []
-        self.small: list[tuple[int, np.ndarray, int]] = []
+        self.small: list[tuple[int, np.ndarray]] = []
         exact: dict[int, list[int]] = {}
-        pieces: dict[int, list[tuple[int, int]]] = {}
-        keys, owner, place = [], [], []
+        groups: dict[int, list[tuple[int, np.ndarray, int]]] = {}
         for item, text in items:
-            x, _ = normalise(text or "")
-            x = x[1:-1]
-            m = len(x)
-            if not m:
-                continue
-            k = int(ERROR * m)
-            bound = m - Q + 1 - k * Q
-            if not k:
-                exact.setdefault(m, []).append(len(self.small))
-            elif bound < 1:
-                cuts = [j * m // (k + 1) for j in range(k + 2)]
-                for a, b in zip(cuts, cuts[1:], strict=False):
-                    pieces.setdefault(b - a, []).append((len(self.small), a))
-            if not k or bound < 1:
-                self.small.append((item, x, k))
+            x = normalise(text or "")[0][1:-1]
+            if not len(x):
                 continue
-            g = qgrams(x)
-            keys.append(g)
-            owner.append(np.full(len(g), len(self.ids)))
-            place.append(np.arange(len(g)))
-            self.ids.append(item)
-            self.x.append(x)
-            self.k.append(k)
-            self.bound.append(bound)
-        self.found = Keys(np.concatenate(keys) if keys else np.zeros(0, np.uint64))
-        order, self.keys, self.first = self.found.order, self.found.keys, self.found.first
-        self.owner = np.concatenate(owner)[order] if keys else np.zeros(0, np.int64)
-        self.place = np.concatenate(place)[order] if keys else np.zeros(0, np.int64)
+            if k := int(ERROR * len(x)):
+                groups.setdefault(gram_size(len(x), k), []).append((item, x, k))
+            else:
+                exact.setdefault(len(x), []).append(len(self.small))
+                self.small.append((item, x))
+        self.groups = [Group(q, own) for q, own in sorted(groups.items())]
         self.exact = {m: (Keys(np.array([qgrams(self.small[o][1], m)[0] for o in own], np.uint64)), np.array(own)) for m, own in exact.items()}
-        self.pieces = {n: (Keys(np.array([qgrams(self.small[o][1][a : a + n], n)[0] for o, a in own], np.uint64)), np.array(own)) for n, own in pieces.items()}
-        # sorted, for an item's own part of a q-gram's places
-        self.rank = np.repeat(np.arange(len(self.keys)), np.diff(self.first)) * len(self.ids) + self.owner
-        self.k, self.bound = np.array(self.k, np.int64), np.array(self.bound, np.int64)
-        self.length = np.array([len(x) for x in self.x], np.int64)
-        # two sets of bands, each of twice the width that one set must cover, half a band apart
-        self.width = 2 * (2 * self.k + 1)
 
     def hits(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item id, start, end, edits) of every item's best region in the text, places in code points of the text."""
         x, at = normalise(text)
-        out = [(self.small[o][0], int(at[a]), int(at[max(a, b - 1)]) + 1, d) for o, (a, b, d) in self._small_hits(x).items()]
-        some, i = self.found.find(qgrams(x)) if len(self.keys) else ((), ())
-        if not len(some) or len(some) < self.bound.min():
-            return sorted(out)
-        best: dict[int, tuple[int, int, int]] = {}
-        for low, high in self._ranges(i):
-            for half, key in self._likely_bands(some, i, low, high):
-                o = key >> 40
-                if o not in best or best[o][2]:
-                    got = self._verified(x, some, i, o, key & ((1 << 40) - 1), half)
-                    if got and (o not in best or got[2] < best[o][2]):
-                        best[o] = got
-        out += [(self.ids[o], int(at[s]), int(at[max(s, e - 1)]) + 1, d) for o, (s, e, d) in best.items()]
-        return sorted(out)
+        found = [(self.small[o][0], *region) for o, region in self._whole_words(x).items()]
+        found += [(group.ids[o], *region) for group in self.groups for o, region in group.hits(x).items()]
+        return sorted((item, int(at[a]), int(at[max(a, b - 1)]) + 1, d) for item, a, b, d in found)
 
-    def _small_hits(self, x: np.ndarray) -> dict[int, tuple[int, int, int]]:
-        """The best region (start, end, edits) of every small item: whole words where it has no budget, else around its pieces."""
+    def _whole_words(self, x: np.ndarray) -> dict[int, tuple[int, int, int]]:
+        """The first region (start, end, 0) of every item without a budget."""
         best: dict[int, tuple[int, int, int]] = {}
         for m, (keys, own) in self.exact.items():
             starts = np.flatnonzero((x[:-1] == 32)[: max(0, len(x) - m - 1)] & (x[m + 1 :] == 32)) + 1
@@ -178,20 +148,67 @@ class Index:
                 for o in own[keys.order[keys.first[i[first]] : keys.first[i[first] + 1]]].tolist():
                     if np.array_equal(x[(s := int(starts[some[first]])) : s + m], self.small[o][1]):
                         best[o] = (s, s + m, 0)
-        for n, (keys, own) in self.pieces.items():
-            some, i = keys.find(qgrams(x, n))
-            for entry in np.unique(i).tolist():
-                places = some[i == entry]
-                for o, a in own[keys.order[keys.first[entry] : keys.first[entry + 1]]].tolist():
-                    _, item, k = self.small[o]
-                    for d in (places - a).tolist():
-                        if o in best and not best[o][2]:
-                            break
-                        got = align(item, x, d - k, d + k, k)
-                        if got and (o not in best or got[2] < best[o][2]):
+        return best
+
+
+class Group:
+    """The q-grams of benchmark items that have one length of them."""
+
+    def __init__(self, q: int, items: list[tuple[int, np.ndarray, int]]):
+        self.q = q
+        self.ids, self.x, self.k = [list(c) for c in zip(*items, strict=True)]
+        self.bound = [len(x) - q + 1 - k * q for x, k in zip(self.x, self.k, strict=True)]
+        keys = [qgrams(x, q) for x in self.x]
+        owner = [np.full(len(g), o) for o, g in enumerate(keys)]
+        place = [np.arange(len(g)) for g in keys]
+        self.found = Keys(np.concatenate(keys))
+        order, self.keys, self.first = self.found.order, self.found.keys, self.found.first
+        self.owner, self.place = np.concatenate(owner)[order], np.concatenate(place)[order]
+        # sorted, for an item's own part of a q-gram's places
+        self.rank = np.repeat(np.arange(len(self.keys)), np.diff(self.first)) * len(self.ids) + self.owner
+        self.k, self.bound = np.array(self.k, np.int64), np.array(self.bound, np.int64)
+        self.length = np.array([len(x) for x in self.x], np.int64)
+        # the order of the items by their characters
+        self.alike = np.empty(len(self.x), np.int64)
+        self.alike[sorted(range(len(self.x)), key=lambda o: self.x[o].tobytes())] = np.arange(len(self.x))
+        # two sets of bands, each of twice the width that one set must cover, half a band apart
+        self.width = 2 * (2 * self.k + 1)
+
+    def hits(self, x: np.ndarray) -> dict[int, tuple[int, int, int]]:
+        """The best region (start, end, edits) of every item in a normalised text; of equally good ones the first."""
+        best: dict[int, tuple[int, int, int]] = {}
+        some, i = self.found.find(qgrams(x, self.q))
+        if not len(some) or len(some) < self.bound.min():
+            return best
+        for low, high in self._ranges(i):
+            for half, keys in self._likely_bands(some, i, low, high):
+                owner, band = keys >> 40, keys & ((1 << 40) - 1)
+                short = self.length[owner] <= SHORT
+                self._together(x, owner[short], band[short], half, best)
+                for o, at in zip(owner[~short].tolist(), band[~short].tolist(), strict=True):
+                    if o not in best or best[o][2]:
+                        got = self._verified(x, some, i, o, at, half)
+                        if got and (o not in best or (got[2], got[0]) < (best[o][2], best[o][0])):
                             best[o] = got
         return best
 
+    def _together(self, x: np.ndarray, owner: np.ndarray, band: np.ndarray, half: int, best: dict[int, tuple[int, int, int]]) -> None:
+        """The best alignments of short items within their bands, those of one width and so one budget at a time."""
+        low = band * self.width[owner] - half * (self.width[owner] // 2) - int(self.length.max())
+        for w in np.unique(self.width[owner]).tolist():
+            of = np.flatnonzero(self.width[owner] == w)
+            of = of[np.lexsort((self.alike[owner[of]], low[of]))]
+            for i in range(0, len(of), max(1, CELLS // w)):
+                some = of[i : i + max(1, CELLS // w)]
+                start, end, cost = align_many([self.x[o] for o in owner[some].tolist()], x, low[some], w, int(self.k[owner[some[0]]]))
+                found = np.flatnonzero(end >= 0)
+                found = found[np.lexsort((end[found], start[found], cost[found], owner[some[found]]))]
+                first = np.unique(owner[some[found]], return_index=True)[1]
+                for f in found[first].tolist():
+                    o, got = int(owner[some[f]]), (int(start[f]), int(end[f]), int(cost[f]))
+                    if o not in best or (got[2], got[0]) < (best[o][2], best[o][0]):
+                        best[o] = got
+
     def _ranges(self, i: np.ndarray) -> list[tuple[int, int]]:
         """Ranges of items that have PAIRS hits at most, or of one item each."""
         n = len(self.ids)
@@ -224,8 +241,8 @@ class Index:
             yield np.repeat(some[at:to], size[at:to]), self.place[post], self.owner[post]
             at, done = to, int(ends[to - 1])
 
-    def _likely_bands(self, some: np.ndarray, i: np.ndarray, low: int, high: int) -> list[tuple[int, int]]:
-        """(half, item << 40 | band) of the bands with as many hits as the lemma asks for, counted over the whole text."""
+    def _likely_bands(self, some: np.ndarray, i: np.ndarray, low: int, high: int) -> list[tuple[int, np.ndarray]]:
+        """(half, item << 40 | band of each) of the bands with as many hits as the lemma asks for, counted over the whole text."""
         found, count = [np.zeros(0, np.int64)] * 2, [np.zeros(0, np.int64)] * 2
         alone = int((self.first[i + 1] - self.first[i]).sum()) <= PAIRS  # all hits come in one block
         for at, place, owner in self._pairs(some, i, low, high):
@@ -240,7 +257,7 @@ class Index:
                     new, inverse = np.unique(np.concatenate((found[half], new)), return_inverse=True)
                     times = np.bincount(inverse, np.concatenate((count[half], times))).astype(np.int64)
                 found[half], count[half] = new, times
-        return [(half, key) for half in (0, 1) for key in found[half][count[half] >= self.bound[found[half] >> 40]].tolist()]
+        return [(half, found[half][count[half] >= self.bound[found[half] >> 40]]) for half in (0, 1)]
 
     def _verified(self, x: np.ndarray, some: np.ndarray, i: np.ndarray, o: int, band: int, half: int) -> tuple[int, int, int] | None:
         """The best alignment of an item within a band. The lemma counts each q-gram of the item once; bands short of that go."""
@@ -291,6 +308,57 @@ def align(item: np.ndarray, x: np.ndarray, low: int, high: int, k: int) -> tuple
     return (int(start[j]), int(d[j] + m), int(cost[j])) if cost[j] <= k else None
 
 
+def align_many(items: list[np.ndarray], x: np.ndarray, low: np.ndarray, wide: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``align`` of many items, each with the diagonals low to low + wide - 1: (start, end, edits), an end of -1 beyond k edits.
+
+    All go through their rows together. They must be sorted by low and then by their characters, so that neighbours that begin alike have
+    one state until they part; those that end or can no more stay within k edits drop out.
+    """
+    n, m, big = len(x), np.array([len(t) for t in items]), np.int32(k + 100)
+    chars = np.zeros((len(items), int(m.max())), np.uint32)
+    chars[np.arange(chars.shape[1]) < m[:, None]] = np.concatenate(items)
+    padded = np.concatenate((np.zeros(1, np.uint32), x, np.zeros(1, np.uint32)))  # no character before or after
+    out = np.zeros(len(items), np.int64), np.full(len(items), -1, np.int64), np.full(len(items), k + 1, np.int64)
+    live, steps = np.arange(len(items)), np.arange(wide, dtype=np.int32)
+    # how many characters each has in common with the one before it, -1 on other diagonals
+    alike = chars[1:] == chars[:-1]
+    common = np.concatenate(([-1], np.where(low[1:] != low[:-1], -1, np.where(alike.all(1), chars.shape[1], alike.argmin(1)))))
+    opens = np.flatnonzero(common < 0)
+    state = np.cumsum(common < 0) - 1
+    d = low[opens, None].astype(np.int32) + steps
+    cost, start = np.where((d >= 0) & (d <= n), np.int32(0), big), d
+    for i in range(1, chars.shape[1] + 1):
+        opens = np.flatnonzero(common < i)
+        before, char = state[opens], chars[live[opens], i - 1][:, None]
+        d, cost, start = d[before], cost[before], start[before]
+        state = np.cumsum(common < i) - 1
+        end = d + i
+        replace = cost + (padded[np.clip(end, 0, n + 1)] != char)
+        drop = np.concatenate((cost[:, 1:], np.full((len(opens), 1), big, np.int32)), 1) + 1
+        ok = (end >= 0) & (end <= n)
+        new = np.where(ok, np.minimum(replace, drop), big)
+        source = np.where(replace <= drop, start, np.concatenate((start[:, 1:], start[:, -1:]), 1))
+        reach = new - steps
+        least = np.minimum.accumulate(reach, axis=1)
+        origin = np.maximum.accumulate(np.where(reach == least, steps, np.int32(0)), axis=1)
+        cost, start = np.where(ok, np.minimum(least + steps, big), big), np.take_along_axis(source, origin, 1)
+        least = cost.min(1)
+        ended = m[live] == i
+        at = np.flatnonzero(ended & (least[state] <= k))
+        if len(at):
+            of = state[at]
+            j = cost[of].argmin(1)
+            out[0][live[at]], out[1][live[at]], out[2][live[at]] = start[of, j], d[of, j] + i, least[of]
+        stay = np.flatnonzero(~ended & (least[state] <= k))
+        if not len(stay):
+            break
+        if len(stay) < len(live):
+            # what those that stay have in common with the one that now stands before them
+            common = np.minimum.reduceat(common, np.concatenate(([0], stay[:-1] + 1)))
+            live, state = live[stay], state[stay]
+    return out
+
+
 _OUT = "doc_id bigint, item_id bigint, start bigint, end bigint, edits bigint"
 
 

@@ -836,7 +836,7 @@ def test_regions_within_the_budget_are_found():
     passage = lambda n: (" ".join(word() for _ in range(n)))[:n].strip()
     items = [passage(n) for n in [*range(1, 46), 60, 110, 200]]
     index = decontam.Index(list(enumerate(items)))
-    assert any(k and decontam.Q * (k + 1) > len(x) for _, x, k in index.small)
+    assert [g.q for g in index.groups] == [4, 5, 6, 7] and all((g.bound >= 1).all() for g in index.groups)
     caught = collections.Counter()
     for n, item in enumerate(items):
         for _ in range(6):
@@ -869,6 +869,46 @@ def test_copies_with_one_word_in_ten_changed_are_found():
     assert not any(index.hits(" ".join(word() for _ in range(300))) for _ in range(20))
 
 
+def test_short_items_that_begin_alike():
+    """Hundreds of short items with one opening against a text that is full of it: aligned together, and equal to brute force."""
+    rng = random.Random(12)
+    word = lambda a, b: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(a, b)))
+    text = " ".join(f"what is the {word(2, 6)}" if rng.random() < 0.2 else word(2, 9) for _ in range(3000))
+    items = [f"what is the {word(1, 9)} {word(1, 10)}"[: rng.randrange(9, 35)].strip() for _ in range(400)]
+    index = decontam.Index(list(enumerate(items)))
+    start = time.time()
+    hits = index.hits(text)
+    assert time.time() - start < 15
+    plain = "".join(map(chr, decontam.normalise(text)[0]))
+    some = rng.sample(range(400), 25)
+    got = {h[0]: h[3] for h in hits}
+    assert {i: got[i] for i in some if i in got} == {i: d for i in some if (d := found_by_brute_force(items[i], plain)) is not None}
+
+
+def test_items_aligned_together_or_alone():
+    rng = random.Random(13)
+    for _ in range(60):
+        k = rng.randrange(1, 4)
+        x = decontam.normalise("".join(rng.choices("ab ", k=rng.randrange(1, 60))))[0]
+        items = [np.array([ord(c) for c in "".join(rng.choices("ab", k=rng.randrange(1, 14)))], np.uint32) for _ in range(12)]
+        rows = sorted(((rng.randrange(-4, 30), t) for t in items * 2), key=lambda r: (r[0], r[1].tobytes()))
+        start, end, cost = decontam.align_many([t for _, t in rows], x, np.array([a for a, _ in rows]), 2 * k + 1, k)
+        for i, (a, t) in enumerate(rows):
+            want = decontam.align(t, x, a, a + 2 * k, k)
+            assert (want is None and end[i] == -1) or want == (start[i], end[i], cost[i])
+
+
+def test_query_matches_brute_force(spark):
+    """The whole query path over short texts, against edit distances."""
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randrange(2, 7)))
+    items = [(i, " ".join(word() for _ in range(rng.randrange(1, 8)))) for i in range(40)]
+    docs = [(d, " ".join([*(word() for _ in range(rng.randrange(30))), "".join(c if rng.random() > 0.06 else "z" for c in rng.choice(items)[1]), word()])) for d in range(60)]
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), limit=300).collect()
+    want = {(d, i): n for d, t in docs for i, y in items if (n := found_by_brute_force(y, "".join(map(chr, decontam.normalise(t)[0])))) is not None}
+    assert {(r.doc_id, r.item_id): r.edits for r in got} == want and len(got) == len(want) > 50
+
+
 def test_hits_in_small_blocks_give_the_same_regions(monkeypatch):
     rng = random.Random(8)
     shared = " ".join("".join(rng.choices("abcdef", k=5)) for _ in range(12))

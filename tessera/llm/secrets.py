@@ -104,7 +104,8 @@ class BlobLedger:
         return f"{self.path}/rule_version={self.rule_version}"
 
     def rows(self) -> DataFrame | None:
-        """What has been scanned under these rules: one row per blob; None before the first scan."""
+        """What has been scanned under these rules; None before the first scan. A blob has a row for each scan that wrote it: one, or
+        more where two scans ran at once or an append was repeated; they say the same."""
         return self.spark.read.schema(_LEDGER_DDL).parquet(self._part) if exists(self.spark, self._part) else None
 
     def scan(self, docs: DataFrame) -> None:
@@ -117,8 +118,8 @@ class BlobLedger:
         blobs.mapInArrow(scan_batches, _LEDGER_DDL).write.mode("append").parquet(self._part)
 
     def findings(self) -> DataFrame:
-        """The blobs with at least one span."""
-        return self.rows().where(F.col("spans") != "")
+        """The blobs with at least one span, one row each."""
+        return self.rows().where(F.col("spans") != "").dropDuplicates(["blob"])
 
     def drop(self) -> None:
         remove(self.spark, self.path)
